@@ -5,26 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CLOCK = "([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
+# SQL predicates over {v}: YYYY-MM-DD naming a real day (years from 1000 keep four
+# digits), and YYYY-MM-DD HH:MM:SS naming a real second of a real day.
+CALENDAR_DATE = ("coalesce(date_format(try_to_date({v}, 'yyyy-MM-dd'), 'yyyy-MM-dd') = {v} "
+                 "and {v} >= '1000', false)")
+CALENDAR_DATE_TIME = (
+    "({v} rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$' "
+    "and " + CALENDAR_DATE.replace("{v}", "substr({v}, 1, 10)") + ")")
 
+FORMAT_CHECKS = {"pipeline-date": CALENDAR_DATE, "pipeline-date-time": CALENDAR_DATE_TIME}
 
-def is_calendar_date(text: Column) -> Column:
-    """``YYYY-MM-DD`` naming a real day (years from 1000 round-trip as four digits)."""
-    parsed = F.try_to_date(text, "yyyy-MM-dd")
-    return F.coalesce(
-        (F.date_format(parsed, "yyyy-MM-dd") == text) & (text >= "1000"), F.lit(False))
 
+def is_calendar_date(column: str) -> Column:
+    return F.expr(CALENDAR_DATE.format(v=column))
 
-def is_calendar_date_time(text: Column) -> Column:
-    """``YYYY-MM-DD HH:MM:SS`` naming a real second of a real day."""
-    shaped = text.rlike(f"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} {CLOCK}$")
-    return shaped & is_calendar_date(F.substring(text, 1, 10))
 
-
-FORMAT_CHECKS = {
-    "pipeline-date": is_calendar_date,
-    "pipeline-date-time": is_calendar_date_time,
-}
+def is_calendar_date_time(column: str) -> Column:
+    return F.expr(CALENDAR_DATE_TIME.format(v=column))
 
 
 def event_time(text: Column) -> Column:
@@ -43,14 +40,18 @@ def days_crossed(start: Column, end: Column) -> Column:
     return F.datediff(end, start)
 
 
-def partition_time(text: Column) -> Column:
-    """Time used for year/month layout.
+def iso_text(text: Column) -> Column:
+    """Trimmed, without the Z that marks UTC."""
+    return F.replace(F.trim(text), F.lit("Z"), F.lit(""))
+
+
+def partition_time(plain: Column) -> Column:
+    """Time used for year/month layout, from an ``iso_text``.
 
     Accepts ISO dates and date-times ('T' or blank, fractions, zone suffix kept
-    as written), a trailing Z, the compact ``YYYYMMDD`` day, and otherwise the
+    as written), the compact ``YYYYMMDD`` day, and otherwise the
     first 19 characters read as ``Y-m-d H:M:S``.
     """
-    plain = F.replace(F.trim(text), F.lit("Z"), F.lit(""))
     iso = F.when(
         plain.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?([+-]\d{2}:\d{2})?)?$"),
         plain.try_cast("timestamp_ntz"))

@@ -5,61 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+NUMERIC = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
-def member(record: Column, name: str) -> Column:
-    """The member as VARIANT; SQL NULL when absent, a VARIANT null when JSON null."""
-    return F.try_variant_get(record, f"$.{name}", "variant")
 
+def kind_sql(record: str, name: str) -> str:
+    """STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID (JSON null), OBJECT<…>, ARRAY<…>;
+    SQL NULL when the member is absent."""
+    return f"schema_of_variant(try_variant_get({record}, '$.{name}', 'variant'))"
 
-def member_text(record: Column, name: str) -> Column:
-    return F.try_variant_get(record, f"$.{name}", "string")
 
+def member_kind(record: str, name: str) -> Column:
+    return F.expr(kind_sql(record, name))
 
-def member_number(record: Column, name: str) -> Column:
-    return F.try_variant_get(record, f"$.{name}", "double")
 
+def member_text(record: str, name: str) -> Column:
+    return F.expr(f"try_variant_get({record}, '$.{name}', 'string')")
 
-def json_kind(value: Column) -> Column:
-    """string, number, boolean, null, object or array; NULL when absent."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(schema == "STRING", "string")
-        .when(schema.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "number")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema == "VOID", "null")
-        .when(schema.startswith("OBJECT"), "object")
-        .when(schema.startswith("ARRAY"), "array")
-    )
 
-
-def typed_key(record: Column, name: str) -> Column:
+def typed_key(record: str, kind: str, name: str) -> Column:
     """Join/group key in which the string "5" and the number 5 stay apart.
 
     Numbers and booleans compare by value (1, 1.0 and true are one key);
     absent and null members have no key.
     """
-    kind = json_kind(member(record, name))
-    text = member_text(record, name)
-    exact = F.try_variant_get(record, f"$.{name}", "decimal(38,10)").cast("string")
-    loose = member_number(record, name).cast("string")
-    return (
-        F.when(kind == "string", F.concat(F.lit("s:"), text))
-        .when(kind.isin("number", "boolean"), F.concat(F.lit("n:"), F.coalesce(exact, loose)))
-        .when(kind.isin("object", "array"), F.concat(F.lit("j:"), text))
-    )
+    text = f"try_variant_get({record}, '$.{name}', 'string')"
+    exact = f"cast(try_variant_get({record}, '$.{name}', 'decimal(38,10)') as string)"
+    return F.expr(f"""
+        case when {kind} = 'STRING' then concat('s:', {text})
+             when {kind} = 'VOID' then null
+             when {kind} = 'BOOLEAN' or {kind} rlike '{NUMERIC}'
+             then concat('n:', coalesce({exact}, {text}))
+             else concat('j:', {text}) end""")
 
 
 def key_literal(key: Column) -> Column:
     """A typed key as it is quoted in messages: strings in single quotes."""
     body = F.substring(key, 3, 2147483647)
     return F.when(key.startswith("s:"), F.concat(F.lit("'"), body, F.lit("'"))).otherwise(body)
-
-
-def value_literal(kind: Column, text: Column) -> Column:
-    """A JSON value as it is quoted in messages."""
-    return (
-        F.when(kind == "string", F.concat(F.lit("'"), text, F.lit("'")))
-        .when(kind == "null", "None")
-        .when(kind == "boolean", F.initcap(text))
-        .otherwise(text)
-    )

@@ -1,102 +1,165 @@
-"""A contract compiled to one array-of-failures Column (no per-record Python)."""
+"""A contract compiled to Columns (no per-record Python).
+
+Every (field, keyword) pair of a contract is a numbered rule.  A record gets the
+array of rule numbers it breaks; only broken records also get the quoted values
+that messages need, and only their failures are expanded to rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.contracts import HARD_FAIL, Dataset, Field
+from paylens.contracts import HARD_FAIL, Dataset
 from paylens.functions.calendar import FORMAT_CHECKS
-from paylens.functions.json_fields import (
-    json_kind, member, member_number, member_text, value_literal)
+from paylens.functions.json_fields import NUMERIC, kind_sql
 
 RULE_GROUPS = {"schema": 0, "unique": 1, "referential_integrity": 2, "late_arriving_event": 3}
 
-# seq orders failures inside one record; rule_group orders whole rule families.
-FAILURE_FIELDS = "rule_group int, seq int, field string, rule string, severity string, message string"
 
+def failure(group: str, seq, field: Column, rule, severity: str, message: Column) -> Column:
+    """seq orders failures inside one record; rule_group orders whole rule families."""
+    def column(value):
+        return value if isinstance(value, Column) else F.lit(value)
 
-def failure(group: str, seq: int, field: Column, rule: str, severity: str, message: Column) -> Column:
     return F.struct(
         F.lit(RULE_GROUPS[group]).alias("rule_group"),
-        F.lit(seq).alias("seq"),
+        column(seq).alias("seq"),
         field.alias("field"),
-        F.lit(rule).alias("rule"),
+        column(rule).alias("rule"),
         F.lit(severity).alias("severity"),
         message.alias("message"),
     )
 
 
-def _schema_failure(seq: int, field: str, rule: str, message: Column) -> Column:
-    return failure("schema", seq, F.lit(field), rule, HARD_FAIL, message)
+@dataclass(frozen=True)
+class Rule:
+    """``text`` follows the quoted value at position ``value`` (0 names unknown members,
+    -1 quotes nothing).  ``broken`` is a SQL predicate."""
+
+    field: str
+    keyword: str
+    broken: str
+    value: int
+    text: str
 
 
-def _quoted(values) -> str:
+def _list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-def _record_rules(record: Column, line: Column, dataset: Dataset) -> list[Column]:
-    names = F.array(*[F.lit(n) for n in dataset.field_names])
-    extra = F.array_except(F.json_object_keys(line), names)
-    listed = F.concat(F.lit("'"), F.array_join(F.array_sort(extra), "', '"), F.lit("'"))
-    verb = F.when(F.size(extra) == 1, " was").otherwise(" were")
-    rules = [
-        F.when(F.size(extra) > 0, _schema_failure(
-            0, "record", "additionalProperties",
-            F.concat(F.lit("Additional properties are not allowed ("), listed, verb,
-                     F.lit(" unexpected)"))))
-    ]
-    for position, name in enumerate(dataset.field_names, 1):
-        rules.append(F.when(
-            member(record, name).isNull(),
-            _schema_failure(position, "record", "required",
-                            F.lit(f"'{name}' is a required property"))))
-    return rules
+def _literal(text: str) -> str:
+    return "r\"" + text + "\""
+
+
+def _members(dataset: Dataset) -> str:
+    return f"array({_list(dataset.field_names)})"
 
 
-def _field_rules(record: Column, spec: Field, seq: int) -> list[Column]:
-    value = member(record, spec.name)
-    kind, text = json_kind(value), member_text(record, spec.name)
-    number = member_number(record, spec.name)
-    literal = value_literal(kind, text)
-    is_string, is_number = kind == "string", kind == "number"
-
-    def rule(step: int, name: str, broken: Column, *message) -> Column:
-        parts = [p if isinstance(p, Column) else F.lit(p) for p in message]
-        return F.when(broken, _schema_failure(seq + step, spec.name, name, F.concat(*parts)))
-
-    wrong_type = ~(is_number & (number == F.floor(number))) if spec.kind == "integer" \
-        else kind != spec.kind
-    rules = [rule(0, "type", wrong_type, literal, f" is not of type '{spec.kind}'")]
-    if spec.enum:
-        allowed = is_string & F.coalesce(text.isin(*spec.enum), F.lit(False))
-        rules.append(rule(1, "enum", ~allowed, literal, f" is not one of [{_quoted(spec.enum)}]"))
-    if spec.pattern:
-        rules.append(rule(2, "pattern", is_string & ~text.rlike(spec.pattern),
-                          literal, f" does not match '{spec.pattern}'"))
-    if spec.minimum is not None:
-        rules.append(rule(3, "minimum", is_number & (number < spec.minimum),
-                          literal, f" is less than the minimum of {spec.minimum}"))
-    if spec.maximum is not None:
-        rules.append(rule(4, "maximum", is_number & (number > spec.maximum),
-                          literal, f" is greater than the maximum of {spec.maximum}"))
-    if spec.exclusive_minimum is not None:
-        rules.append(rule(5, "exclusiveMinimum", is_number & (number <= spec.exclusive_minimum),
-                          literal, " is less than or equal to the minimum of "
-                          f"{spec.exclusive_minimum}"))
-    if spec.format:
-        rules.append(rule(6, "format", is_string & ~FORMAT_CHECKS[spec.format](text),
-                          literal, f" is not a '{spec.format}'"))
+def with_members(parsed: DataFrame, dataset: Dataset) -> DataFrame:
+    """Kind and typed value of every contract field, each extracted once.
+
+    ``_kind_*`` is the member's JSON kind (see ``functions.json_fields``),
+    ``_string_*`` the text of JSON strings, ``_number_*`` the value of numbers.
+    """
+    kinds = parsed.selectExpr("*", *[
+        f"{kind_sql('record', f.name)} as _kind_{f.name}" for f in dataset.fields])
+    values = []
+    for f in dataset.fields:
+        if f.kind in ("number", "integer"):
+            values.append(f"case when _kind_{f.name} rlike '{NUMERIC}' then "
+                          f"try_variant_get(record, '$.{f.name}', 'double') end as _number_{f.name}")
+        elif f.kind == "string":
+            values.append(f"case when _kind_{f.name} = 'STRING' then "
+                          f"try_variant_get(record, '$.{f.name}', 'string') end as _string_{f.name}")
+    return kinds.selectExpr("*", *values)
+
+
+def contract_rules(dataset: Dataset) -> list[Rule]:
+    """Rules in report order: record-level ones, then fields by name.
+
+    An absent field breaks only ``required``: every other predicate is NULL.
+    """
+    unknown = f"size(array_except(json_object_keys(line), {_members(dataset)})) > 0"
+    rules = [Rule("record", "additionalProperties", unknown, 0, " unexpected)")]
+    rules += [Rule("record", "required", f"_kind_{n} is null", -1, f"'{n}' is a required property")
+              for n in dataset.field_names]
+    for f in sorted(dataset.fields, key=lambda f: f.name):
+        kind, number, string = f"_kind_{f.name}", f"_number_{f.name}", f"_string_{f.name}"
+        quoted = dataset.field_names.index(f.name) + 1
+
+        def add(keyword: str, broken: str, text: str) -> None:
+            rules.append(Rule(f.name, keyword, broken, quoted, text))
+
+        add("type", {
+            "string": f"{kind} <> 'STRING'",
+            "boolean": f"{kind} <> 'BOOLEAN'",
+            "number": f"{kind} is not null and {number} is null",
+            "integer": f"{kind} is not null and ({number} is null or {number} <> floor({number}))",
+        }[f.kind], f" is not of type '{f.kind}'")
+        if f.enum:
+            add("enum", f"{kind} is not null and not coalesce({string} in ({_list(f.enum)}), false)",
+                f" is not one of [{_list(f.enum)}]")
+        if f.pattern:
+            add("pattern", f"not {string} rlike {_literal(f.pattern)}",
+                f" does not match '{f.pattern}'")
+        if f.minimum is not None:
+            add("minimum", f"{number} < {f.minimum}", f" is less than the minimum of {f.minimum}")
+        if f.maximum is not None:
+            add("maximum", f"{number} > {f.maximum}", f" is greater than the maximum of {f.maximum}")
+        if f.exclusive_minimum is not None:
+            add("exclusiveMinimum", f"{number} <= {f.exclusive_minimum}",
+                f" is less than or equal to the minimum of {f.exclusive_minimum}")
+        if f.format:
+            add("format", f"{string} is not null and not {FORMAT_CHECKS[f.format].format(v=string)}",
+                f" is not a '{f.format}'")
     return rules
 
 
-def schema_failures(record: Column, line: Column, dataset: Dataset) -> Column:
-    """Array of failure structs; empty for a conforming record, all hard failures.
+def with_broken_rules(parsed: DataFrame, dataset: Dataset) -> DataFrame:
+    """Add the contract members and ``broken``: the numbers of the rules a record
+    breaks, empty when it conforms, NULL for a malformed line."""
+    cases = ", ".join(
+        f"case when {r.broken} then {i} end" for i, r in enumerate(contract_rules(dataset)))
+    # array_except drops the NULLs of unbroken rules and, unlike array_compact,
+    # keeps all rule predicates inside generated code.
+    return with_members(parsed, dataset).selectExpr(
+        "*", f"case when problem is null then array_except(array({cases}), "
+             "array(cast(null as int))) end as broken")
+
+
+def expand_broken_rules(rows: DataFrame, dataset: Dataset) -> DataFrame:
+    """One row per broken rule of ``rows`` (line, broken, …) with its ``failure``.
 
-    An absent field fails only ``required`` because every other predicate is
-    NULL for it.  Record-level failures come first, then fields by name.
+    Quoted values are extracted here, for broken records only, so that the
+    check of all records stays small.
     """
-    rules = _record_rules(record, line, dataset)
-    for position, spec in enumerate(sorted(dataset.fields, key=lambda f: f.name), 1):
-        rules += _field_rules(record, spec, 100 * position)
-    return F.array_compact(F.array(*rules))
+    unknown = f"array_except(json_object_keys(line), {_members(dataset)})"
+    named = (f"concat('Additional properties are not allowed (', "
+             f"'\\'', array_join(array_sort({unknown}), '\\', \\''), '\\'', "
+             f"if(size({unknown}) = 1, ' was', ' were'))")
+    quoted = ", ".join([named] + [_quoted_sql(n) for n in dataset.field_names])
+    record = rows.withColumn("record", F.parse_json("line"))
+    each = record.selectExpr(
+        "*", *[f"{kind_sql('record', n)} as _kind_{n}" for n in dataset.field_names],
+    ).selectExpr(*rows.columns, f"array({quoted}) as quoted", "explode(broken) as number")
+    return each.withColumn("failure", rule_failure(dataset, "number", "quoted"))
+
+
+def _quoted_sql(name: str) -> str:
+    text = f"try_variant_get(record, '$.{name}', 'string')"
+    return (f"case _kind_{name} when 'STRING' then concat('\\'', {text}, '\\'') "
+            f"when 'VOID' then 'None' when 'BOOLEAN' then initcap({text}) else {text} end")
+
+
+def rule_failure(dataset: Dataset, number: str, quoted: str) -> Column:
+    """The failure struct of one broken rule, looked up in a constant table."""
+    table = ", ".join(
+        f"named_struct('field', '{r.field}', 'keyword', '{r.keyword}', 'value', {r.value}, "
+        f"'text', {_literal(r.text)})" for r in contract_rules(dataset))
+    rule = F.expr(f"get(array({table}), {number})")
+    value = F.when(rule["value"] < 0, "").otherwise(F.get(F.col(quoted), rule["value"]))
+    return failure("schema", F.col(number), rule["field"], rule["keyword"], HARD_FAIL,
+                   F.concat(value, rule["text"]))

@@ -13,7 +13,7 @@ from paylens.functions.identifiers import check_run_id, utc_text
 from paylens.operators.verdicts import dataset_summaries, run_summary
 from paylens.plans.validation import validate_run
 from paylens.sinks.materialise import build_models
-from paylens.sinks.outcomes import read_reports, write_outcome
+from paylens.sinks.outcomes import read_reports, write_outcomes
 from paylens.sinks.partitions import partition_run
 from paylens.sinks.promotion import load_run, read_raw
 from paylens.sinks.publishing import publish_run
@@ -42,8 +42,9 @@ def validate_and_store(spark: SparkSession, root: str, run_id: str) -> None:
     require_no_problems(snapshot_problems(spark, raw, run_id), "Raw snapshot check failed")
     for folder in ("validated", "validation_reports", "quarantine"):
         Storage(spark).delete(f"{root}/{folder}/{run_id}")
-    reports = [write_outcome(spark, o, run_id, root)
-               for o in validate_run(spark, run_id, raw).values()]
+    # The next stage regroups rows by month, so the files need no order.
+    reports = write_outcomes(spark, validate_run(spark, run_id, raw), run_id, root,
+                             keep_order=False)
     failed = [r["dataset"] for r in reports if r["batch_status"] == "FAILED"]
     if failed:
         raise RuntimeError(f"Contract validation failed: {', '.join(failed)}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,15 @@ from paylens.contracts import (
     CONTRACT_VERSION, DATASETS, HARD_FAIL, WARN, Dataset, with_ancestors)
 from paylens.functions.calendar import event_time
 from paylens.functions.identifiers import check_run_id
-from paylens.functions.json_fields import json_kind, member, member_text, typed_key
+from paylens.functions.json_fields import member_text, typed_key
 from paylens.operators.lateness import late_rows
 from paylens.operators.references import key_column, missing_references
-from paylens.operators.schema_rules import RULE_GROUPS, failure, schema_failures
+from paylens.operators.schema_rules import (
+    RULE_GROUPS, expand_broken_rules, failure, with_broken_rules)
 from paylens.operators.uniqueness import repeated_rows
 from paylens.operators.verdicts import dataset_report
 from paylens.sources.jsonl import read_json_lines
-from paylens.workspace import settle
+from paylens.workspace import settle, together
 
 ROW_ID = ["source_file", "line_number"]
 FAILURE_COLUMNS = ["rule_group", "seq", "field", "rule", "severity", "message"]
@@ -38,19 +40,17 @@ def key_fields(dataset: Dataset) -> list[str]:
 
 def stage_rows(parsed: DataFrame, dataset: Dataset) -> DataFrame:
     """Parsed lines with everything later rules need, so JSON is parsed once."""
-    record, pk = F.col("record"), dataset.primary_key
-    timed = json_kind(member(record, dataset.event_field)) == "string"
-    return parsed.select(
+    pk, when = dataset.primary_key, f"_string_{dataset.event_field}"
+    return with_broken_rules(parsed, dataset).select(
         F.lit(dataset.name).alias("dataset"),
         *ROW_ID,
         "line",
         "problem",
-        F.when(member(record, pk).isNull(), "UNKNOWN")
-        .otherwise(member_text(record, pk)).alias("record_id"),
-        *[typed_key(record, f).alias(key_column(f)) for f in key_fields(dataset)],
-        F.when(timed, event_time(member_text(record, dataset.event_field))).alias("event_time"),
-        F.when(F.col("problem").isNull(), schema_failures(record, F.col("line"), dataset))
-        .alias("schema_failures"),
+        F.when(F.col(f"_kind_{pk}").isNull(), "UNKNOWN").otherwise(member_text("record", pk))
+        .alias("record_id"),
+        *[typed_key("record", f"_kind_{f}", f).alias(key_column(f)) for f in key_fields(dataset)],
+        event_time(F.col(when)).alias("event_time"),
+        "broken",
     )
 
 
@@ -68,8 +68,10 @@ def malformed_failures(stage: DataFrame) -> DataFrame:
     return _long(broken, F.trim("line"))
 
 
-def contract_failures(stage: DataFrame) -> DataFrame:
-    return _long(stage.withColumn("failure", F.explode("schema_failures")))
+def contract_failures(stage: DataFrame, dataset: Dataset) -> DataFrame:
+    broken = stage.filter(F.size("broken") > 0).select(
+        "dataset", *ROW_ID, "record_id", "line", "broken")
+    return _long(expand_broken_rules(broken, dataset))
 
 
 def duplicate_failures(stage: DataFrame, dataset: Dataset) -> DataFrame:
@@ -104,7 +106,7 @@ def find_failures(stage: DataFrame, dataset: Dataset, malformed: bool,
     """
     if malformed:
         return malformed_failures(stage)
-    found = contract_failures(stage).unionByName(duplicate_failures(stage, dataset))
+    found = contract_failures(stage, dataset).unionByName(duplicate_failures(stage, dataset))
     if valid_parents is not None and dataset.references:
         found = found.unionByName(reference_failures(stage, dataset, valid_parents))
     return found.unionByName(late_warnings(stage, dataset))
@@ -154,6 +156,18 @@ class Outcome:
         return dataset_report(self.stage, self.failures, self.dataset.name)
 
 
+def stage_batch(parsed: DataFrame, dataset: Dataset) -> DataFrame:
+    return settle(stage_rows(parsed, dataset), f"stage-{dataset.name}")
+
+
+def check_stage(stage: DataFrame, dataset: Dataset,
+                valid_parents: dict[str, DataFrame] | None) -> Outcome:
+    malformed = not stage.filter(F.col("problem").isNotNull()).isEmpty()
+    failures = settle(
+        find_failures(stage, dataset, malformed, valid_parents), f"failures-{dataset.name}")
+    return Outcome(dataset, stage, failures, malformed)
+
+
 def validate_lines(parsed: DataFrame, dataset: Dataset,
                    valid_parents: dict[str, DataFrame] | None) -> Outcome:
     """Validate one batch of parsed lines (see ``sources.jsonl.with_records``).
@@ -162,20 +176,28 @@ def validate_lines(parsed: DataFrame, dataset: Dataset,
     time, every rule shuffles only row ids and keys, and the record text moves
     again only for the final valid/invalid split.
     """
-    stage = settle(stage_rows(parsed, dataset), f"stage-{dataset.name}")
-    malformed = not stage.filter(F.col("problem").isNotNull()).isEmpty()
-    failures = settle(
-        find_failures(stage, dataset, malformed, valid_parents), f"failures-{dataset.name}")
-    return Outcome(dataset, stage, failures, malformed)
+    return check_stage(stage_batch(parsed, dataset), dataset, valid_parents)
+
+
+def _depth(name: str) -> int:
+    return max([1 + _depth(r.parent) for r in DATASETS[name].references], default=0)
 
 
 def validate_suite(batches: dict[str, DataFrame]) -> dict[str, Outcome]:
-    """Validate several datasets parents first; a failed parent still lends its valid rows."""
+    """Validate several datasets; a failed parent still lends its valid rows.
+
+    Staging needs no parent, so all batches are staged at once; the checks
+    follow the relationships, datasets of equal depth together.
+    """
+    names = [n for n in DATASETS if n in batches]
+    stages = together({n: partial(stage_batch, batches[n], DATASETS[n]) for n in names})
     outcomes: dict[str, Outcome] = {}
-    for name in (n for n in DATASETS if n in batches):
+    for depth in sorted({_depth(n) for n in names}):
         parents = {p: o.valid_keys for p, o in outcomes.items()}
-        outcomes[name] = validate_lines(batches[name], DATASETS[name], parents)
-    return outcomes
+        outcomes |= together({
+            n: partial(check_stage, stages[n], DATASETS[n], parents)
+            for n in names if _depth(n) == depth})
+    return {n: outcomes[n] for n in names}
 
 
 def validate_run(spark: SparkSession, run_id: str, raw_run_dir: str,

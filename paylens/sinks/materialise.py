@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.plans.bronze import bronze_models
 from paylens.plans.gold import gold_models
 from paylens.plans.monitoring import pipeline_row_counts
 from paylens.plans.silver import dispute_outcomes, transactions_enriched
+from paylens.workspace import together
 
 # Schema of each layer.
 LAYERS = {"bronze": "BRONZE", "silver": "SILVER", "gold": "MARTS", "monitoring": "MONITORING"}
@@ -43,8 +46,8 @@ def build_models(raw: dict[str, DataFrame], warehouse: str,
     silver["silver_dispute_outcomes"] = store(dispute_outcomes(
         bronze["disputes"], silver["silver_transactions_enriched"],
         bronze["chargeback_outcomes"], as_of), warehouse, "silver", "silver_dispute_outcomes")
-    gold = {n: store(df, warehouse, "gold", n)
-            for n, df in gold_models(silver, bronze, as_of).items()}
+    gold = together({n: partial(store, df, warehouse, "gold", n)
+                     for n, df in gold_models(silver, bronze, as_of).items()})
     counts = store(pipeline_row_counts(raw, silver, gold, as_of), warehouse, "monitoring",
                    "monitoring_pipeline_row_counts")
     return models | silver | gold | {"monitoring_pipeline_row_counts": counts}

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.functions.identifiers import utc_text
 from paylens.plans.validation import ROW_ID, Outcome
-from paylens.workspace import Storage
+from paylens.workspace import Storage, together
 
 AUDIT_FIELDS = (
     "contract_version", "batch_status", "pipeline_action", "total_records", "valid_records",
@@ -61,18 +62,29 @@ def write_outcome(spark: SparkSession, outcome: Outcome, run_id: str, root: str,
     report = {"run_id": run_id, "validation_run_at_utc": utc_text(), **report,
               "failed_rules_table": failed_rules}
     storage.write_text(report_path, json.dumps(report, indent=2))
-    append_validation_audit(spark, report, report_path, f"{reports}/validation_audit_log.jsonl")
     return report
 
 
-def append_validation_audit(spark: SparkSession, report: dict, report_path: str, log: str) -> None:
-    """One audit row per validated dataset, appended."""
-    row = {k: report[k] for k in ("run_id", "validation_run_at_utc", "dataset")}
-    row |= {k: report[k] for k in AUDIT_FIELDS}
-    row |= {"report_file": report_path, "quarantine_file": report["quarantine_file"],
-            "validated_file": report["validated_file"]}
-    text = json.dumps(row)
-    spark.range(1).select(F.lit(text).alias("value")).write.mode("append").text(log)
+def write_outcomes(spark: SparkSession, outcomes: dict[str, Outcome], run_id: str, root: str,
+                   keep_order: bool = True) -> list[dict]:
+    """Files, reports and audit rows of all validated datasets."""
+    reports = together({n: partial(write_outcome, spark, o, run_id, root, keep_order)
+                        for n, o in outcomes.items()})
+    append_validation_audit(spark, root, list(reports.values()))
+    return list(reports.values())
+
+
+def append_validation_audit(spark: SparkSession, root: str, reports: list[dict]) -> None:
+    """Append one audit row per validated dataset."""
+    rows = []
+    for report in reports:
+        folder = f"{root}/validation_reports/{report['run_id']}"
+        row = {k: report[k] for k in ("run_id", "validation_run_at_utc", "dataset", *AUDIT_FIELDS)}
+        row["report_file"] = f"{folder}/{report['dataset']}_validation_report.json"
+        row |= {k: report[k] for k in ("quarantine_file", "validated_file")}
+        rows.append((json.dumps(row),))
+    spark.createDataFrame(rows, "value string").coalesce(1).write.mode("append").text(
+        f"{folder}/validation_audit_log.jsonl")
 
 
 REPORT_SCHEMA = (

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import json
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.contracts import DATASETS, Dataset
-from paylens.functions.calendar import month_text, partition_time, year_text
+from paylens.functions.calendar import iso_text, month_text, partition_time, year_text
 from paylens.functions.identifiers import check_run_id, is_safe_dataset_path, relative_key, utc_text
-from paylens.functions.json_fields import json_kind, member, member_text
+from paylens.functions.json_fields import NUMERIC, member_kind, member_text
 from paylens.sources.files import count_records, list_files, plain_key
 from paylens.sources.jsonl import read_json_lines
 from paylens.sources.landing import strict_records
-from paylens.workspace import Storage
+from paylens.workspace import Storage, settle, together
 
 MANIFEST = "partition_manifest.json"
 FILE_TABLE = "_manifest_files"
@@ -28,23 +29,24 @@ def partition_rows(parsed: DataFrame, dataset: Dataset) -> DataFrame:
     A missing date is an absent, null, empty, zero or false value.  Any other
     value that is not a date stops the job.
     """
-    record, name = F.col("record"), dataset.event_field
-    text = member_text(record, name)
-    kind = json_kind(member(record, name))
+    name = dataset.event_field
+    kind, text, time = F.col("_kind"), F.col("_text"), F.col("_time")
     falsy = (
-        kind.isNull() | (kind == "null") | ((kind == "string") & (text == ""))
-        | ((kind == "boolean") & (text == "false"))
-        | ((kind == "number") & (text.try_cast("double") == 0)))
-    time = partition_time(text)
-    checked = F.when(~falsy, F.when(time.isNotNull(), time).otherwise(F.raise_error(F.concat(
-        F.lit(f"{dataset.name} record has an invalid {name} value: "), text))
-        .cast("timestamp_ntz")))
+        kind.isNull() | (kind == "VOID") | ((kind == "STRING") & (text == ""))
+        | ((kind == "BOOLEAN") & (text == "false"))
+        | (kind.rlike(NUMERIC) & (text.try_cast("double") == 0)))
+    complaint = F.concat(F.lit(f"{dataset.name} record has an invalid {name} value: "), text)
     return (
-        parsed.withColumn("time", checked)
+        parsed.withColumns({"_kind": member_kind("record", name), "_text": member_text("record", name)})
+        .withColumn("_missing", falsy)
+        .withColumn("_plain", F.when(~F.col("_missing"), iso_text(text)))
+        .withColumn("_time", partition_time(F.col("_plain")))
+        .withColumn("year", F.when(F.col("_missing"), None).when(time.isNotNull(), year_text(time))
+                    .otherwise(F.raise_error(complaint).cast("string")))
         .select(
             *[F.variant_get("record", f"$.{f.name}", JSON_TYPES[f.kind]).alias(f.name)
               for f in dataset.fields],
-            year_text(F.col("time")).alias("year"), month_text(F.col("time")).alias("month")))
+            "year", month_text(time).alias("month")))
 
 
 def write_partitions(spark: SparkSession, dataset: Dataset, validated: str, run_dir: str) -> dict:
@@ -56,12 +58,12 @@ def write_partitions(spark: SparkSession, dataset: Dataset, validated: str, run_
     if not Storage(spark).exists(validated):
         raise FileNotFoundError(f"Missing validated input file: {validated}")
     parsed = strict_records(read_json_lines(spark, validated), f"partitioning of {dataset.name}")
-    rows = partition_rows(parsed, dataset)
+    # Parsed once into a column store: counting and laying out read that.
+    rows = settle(partition_rows(parsed, dataset), f"partition-{dataset.name}")
     target = f"{run_dir}/raw/{dataset.name}"
     dated = spark.sql("select /*+ rebalance(year, month) */ * from {rows} where year is not null",
                       rows=rows)
     dated.write.mode("overwrite").partitionBy("year", "month").json(target)
-    # Counted from the data and the files, so a retried task cannot distort it.
     received = rows.agg(F.count("*").alias("received"),
                         F.count_if(F.col("year").isNull()).alias("missing")).first()
     written = count_records(spark, target, "*.json").agg(
@@ -83,8 +85,9 @@ def partition_run(spark: SparkSession, run_id: str, validated_dir: str, run_dir:
     check_run_id(run_id)
     storage = Storage(spark)
     storage.delete(run_dir)
-    results = [write_partitions(spark, d, f"{validated_dir}/{d.file_name}", run_dir)
-               for d in DATASETS.values()]
+    results = list(together({
+        n: partial(write_partitions, spark, d, f"{validated_dir}/{d.file_name}", run_dir)
+        for n, d in DATASETS.items()}).values())
     files = list_files(spark, f"{run_dir}/raw", "*.json").select(
         F.split("relative_key", "/")[0].alias("dataset"),
         F.concat(F.lit("raw/"), F.col("relative_key")).alias("output_file"))
@@ -229,7 +232,7 @@ def _with_dataset_checks(spark: SparkSession, header: dict, run_id: str, per_fil
     return general.unionByName(per_file).unionByName(compared)
 
 
-def expected_loads(header: dict, spark: SparkSession, listed: DataFrame) -> DataFrame:
+def expected_loads(spark: SparkSession, header: dict, listed: DataFrame) -> DataFrame:
     """dataset, expected_rows, expected_files — what a load must reproduce."""
     rows = spark.createDataFrame(
         [(d["dataset"], d["records_partitioned"]) for d in header["datasets"]],

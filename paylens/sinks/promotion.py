@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from paylens.sinks.partitions import (
     expected_loads, partition_problems, read_partition_manifest)
 from paylens.sinks.snapshots import require_no_problems
 from paylens.sources.landing import RAW_SCHEMA, land_run, with_lineage_columns
-from paylens.workspace import Storage
+from paylens.workspace import Storage, together
 
 POINTER = "CURRENT"
 
@@ -78,8 +79,8 @@ def write_raw_version(spark: SparkSession, warehouse: str, label: str,
                       landed: dict[str, DataFrame]) -> str:
     """Stage the five tables as one new, not yet visible version; returns its name."""
     version = f"{label}-{uuid.uuid4().hex[:8]}"
-    for name, rows in landed.items():
-        rows.write.parquet(f"{warehouse}/raw/versions/{version}/{name}")
+    together({n: partial(rows.write.parquet, f"{warehouse}/raw/versions/{version}/{n}")
+              for n, rows in landed.items()})
     return version
 
 
@@ -102,8 +103,7 @@ def load_run(spark: SparkSession, run_dir: str, published_root: str, run_id: str
     version = write_raw_version(
         spark, warehouse, run_id, land_run(spark, published_root, run_id, loaded_at))
     staged = {n: spark.read.parquet(f"{warehouse}/raw/versions/{version}/{n}") for n in DATASETS}
-    expected = expected_loads(read_partition_manifest(spark, run_dir)[0], spark,
-                              read_partition_manifest(spark, run_dir)[1])
+    expected = expected_loads(spark, *read_partition_manifest(spark, run_dir))
     require_no_problems(guardrail_problems(load_facts(staged, run_id), expected),
                         "Load guardrail failed")
     promote(spark, warehouse, version)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from paylens.contracts import DATASETS
 from paylens.functions.identifiers import check_run_id, utc_text
 from paylens.sources.files import describe_files, list_files
-from paylens.workspace import Storage
+from paylens.workspace import Storage, together
 
 MANIFEST = "raw_manifest.json"
 FILE_TABLE = "_manifest_files"
@@ -124,8 +125,9 @@ def create_snapshot(spark: SparkSession, root: str, run_id: str, lines: dict[str
         return target, True
     draft = f"{root.rstrip('/')}/.{run_id}.{uuid.uuid4().hex}.tmp"
     storage.make_dirs(draft)
-    for name, rows in lines.items():
-        rows.select("line").write.text(f"{draft}/{DATASETS[name].file_name}")
+    together({
+        name: partial(rows.select("line").write.text, f"{draft}/{DATASETS[name].file_name}")
+        for name, rows in lines.items()})
     files = describe_snapshot(spark, draft)
     files.write.json(f"{draft}/{FILE_TABLE}")
     written = spark.read.schema(FILE_SCHEMA).json(f"{draft}/{FILE_TABLE}")

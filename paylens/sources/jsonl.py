@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 NOT_JSON = "Line is not valid JSON."
@@ -12,34 +12,26 @@ NOT_OBJECT = "JSON line must contain an object."
 MAX_BROADCAST_SPLITS = 100_000
 
 
-def parse_line(line: Column) -> tuple[Column, Column]:
-    """(record VARIANT, problem text) of one non-blank line.
+def with_records(lines: DataFrame) -> DataFrame:
+    """Add ``record`` (VARIANT, NULL when malformed) and ``problem`` to ``line`` rows.
 
     The JSON reader stops after the first value, so ``{"a":1} junk`` would pass.
     Inside an object wrapper only ``,`` or ``}`` may follow the value, inside an
     array wrapper only ``,`` or ``]``; no trailing text satisfies both.  A line
     with a single pair of braces cannot hide a second one and skips the second
-    parse.
+    parse.  Each step is a column of its own, so nothing is parsed twice.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}")))
+    line, wrapped = F.col("line"), F.col("_wrapped")
     flat = line.rlike(r"^\s*\{[^{}]*\}\s*$")
-    whole = F.when(flat, wrapped.isNotNull()).otherwise(
-        wrapped.isNotNull()
-        & F.try_parse_json(F.concat(F.lit("["), line, F.lit("]"))).isNotNull())
-    record = F.try_variant_get(wrapped, "$.r", "variant")
-    is_object = F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
-    problem = F.when(~whole, NOT_JSON).when(~is_object, NOT_OBJECT)
-    return record, problem
-
-
-def with_records(lines: DataFrame) -> DataFrame:
-    """Add ``record`` (VARIANT, NULL when malformed) and ``problem`` to ``line`` rows."""
-    record, problem = parse_line(F.col("line"))
+    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    whole = wrapped.isNotNull() & (flat | listed.isNotNull())
+    is_object = line.rlike(r"^\s*\{")
     return (
-        lines.withColumn("record", record)
-        .withColumn("problem", problem)
-        .withColumn("record", F.when(F.col("problem").isNull(), F.col("record")))
-    )
+        lines.withColumn("_wrapped", F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}"))))
+        .withColumn("problem", F.when(~whole, NOT_JSON).when(~is_object, NOT_OBJECT))
+        .withColumn("record", F.when(
+            F.col("problem").isNull(), F.try_variant_get(wrapped, "$.r", "variant")))
+        .select(*lines.columns, "record", "problem"))
 
 
 def _text_rows(spark: SparkSession, path: str, name_filter: str | None) -> DataFrame:

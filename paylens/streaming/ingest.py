@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from paylens.sources.jsonl import parse_line
+from paylens.sources.jsonl import with_records
 
 
 def read_new_records(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -20,12 +20,12 @@ def read_new_records(spark: SparkSession, folder: str, files_per_trigger: int =
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
         .text(folder)
-        .filter(F.col("value").rlike(r"\S")))
-    record, problem = parse_line(F.col("value"))
-    return lines.select(
-        F.when(problem.isNull(), record)
-        .otherwise(F.raise_error(F.concat(problem, F.lit(" "), F.col("value"))).cast("variant"))
-        .alias("raw_record"),
+        .select(F.col("value").alias("line"))
+        .filter(F.col("line").rlike(r"\S")))
+    complaint = F.concat(F.col("problem"), F.lit(" "), F.col("line"))
+    return with_records(lines).select(
+        F.when(F.col("problem").isNull(), F.col("record"))
+        .otherwise(F.raise_error(complaint).cast("variant")).alias("raw_record"),
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,9 @@ RUNTIME_SETTINGS = {
     # columns, so the bronze casts read only the members they ask for.
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
+    # The JVM never compiles methods above 8000 bytes; let wide projections be
+    # generated in pieces instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -69,6 +74,16 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(jobs: dict[str, Callable[[], object]]) -> dict:
+    """Submit independent jobs at once, so small ones share the cluster.
+
+    All run to their end; the first failure in the given order is then raised.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: future.result() for name, future in running.items()}
+
+
 class Storage:
     """Small control files and whole-directory operations on any Hadoop filesystem."""
 
