@@ -23,12 +23,13 @@ from paylens.sinks.partitions import (
     expected_loads, partition_problems, publish_problems, read_partition_manifest)
 from paylens.sinks.promotion import (
     guardrail_problems, load_facts, promote, read_raw, write_raw_version)
-from paylens.sinks.publishing import MARKER, load_batch, publication_problems, publish_run, run_folder
+from paylens.sinks.publishing import publish_run, run_folder
 from paylens.sinks.snapshots import create_snapshot, read_raw_manifest, snapshot_problems
+from paylens.sources.files import count_records
 from paylens.sources.jsonl import read_json_lines
 from paylens.sources.landing import land_run
 from paylens.streaming.ingest import ingest, latest_records, loaded_rows
-from paylens.workload.model_queries import comparable, query, with_models
+from paylens.workload.model_queries import BRONZE_CTES, comparable, query, with_models
 from paylens.workload.rule_queries import checked_intake, with_intake
 from paylens.workload.tables import (
     LOADED, NOISY, RUN_A, RUN_B, TYPED, clean_lines, for_duckdb, landed, run_sql)
@@ -53,17 +54,42 @@ def _partitioned(root: str) -> str:
     return f"{root}/partitioned/{RUN_A}"
 
 
-def _in_run_a(select: str) -> str:
-    """One select per dataset over its rows of run A, as ``br``."""
-    parts = [f"select '{n}' as dataset, * from ({select.format(table=f'br_{n}', event=d.event_field)})"
-             for n, d in DATASETS.items()]
-    return with_models("\nunion all ".join(parts))
+# What run A holds after validation: children of unmatched parents are quarantined.
+_LOADED_BRONZE = ",\n".join(f"all_{n} as ({for_duckdb(TYPED[n])})" for n in DATASETS) + f""",
+br_customers as (select * from all_customers where pipeline_run_id = '{RUN_A}'),
+br_transactions as (select t.* from all_transactions t join br_customers c using (customer_id)
+  where t.pipeline_run_id = '{RUN_A}' and t.account_id = c.account_id),
+br_fraud_signals as (select * from all_fraud_signals where pipeline_run_id = '{RUN_A}'
+  and transaction_id in (select transaction_id from br_transactions)),
+br_disputes as (select * from all_disputes where pipeline_run_id = '{RUN_A}'
+  and transaction_id in (select transaction_id from br_transactions)),
+br_chargeback_outcomes as (select * from all_chargeback_outcomes where pipeline_run_id = '{RUN_A}'
+  and dispute_id in (select dispute_id from br_disputes))"""
 
 
-_ROW_COUNTS = _in_run_a(f"select count(*) as record_count from {{table}} where pipeline_run_id = '{RUN_A}'")
-_MONTH_COUNTS = _in_run_a(f"""select cast(year({{event}}) as varchar) as year,
-  lpad(cast(month({{event}}) as varchar), 2, '0') as month, count(*) as record_count
-  from {{table}} where pipeline_run_id = '{RUN_A}' group by 1, 2""")
+def with_loaded(sql: str) -> str:
+    """The model CTEs over the rows of run A that pass validation."""
+    return with_models(sql).replace(BRONZE_CTES, _LOADED_BRONZE, 1)
+
+
+def _per_dataset(select: str) -> str:
+    """One select per dataset; ``{table}`` is its bronze name, ``{event}`` its date field."""
+    return "\nunion all ".join(
+        f"select '{n}' as dataset, * from ({select.format(table=n, event=d.event_field)})"
+        for n, d in DATASETS.items())
+
+
+_DELIVERED = with_loaded(_per_dataset(
+    f"select count(*) as record_count from all_{{table}} where pipeline_run_id = '{RUN_A}'"))
+_VALID = with_loaded(_per_dataset("select count(*) as valid_records from br_{table}"))
+_MONTHS = with_loaded(_per_dataset("""select cast(year({event}) as varchar) as year,
+  lpad(cast(month({event}) as varchar), 2, '0') as month, count(*) as record_count
+  from br_{table} group by 1, 2"""))
+_LOADED_TOTAL = "(select sum(n) from (" + " union all ".join(
+    f"select count(*) as n from br_{n}" for n in DATASETS) + "))::bigint"
+_DELIVERED_TOTAL = "(select sum(n) from (" + " union all ".join(
+    f"select count(*) as n from all_{n} where pipeline_run_id = '{RUN_A}'" for n in DATASETS) \
+    + "))::bigint"
 
 
 # --------------------------------------------------------------------- scans
@@ -118,9 +144,9 @@ def rule_valid_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rule", "severity", "message", "failures")
 
 
-@query("raw_land", _in_run_a(f"""select pipeline_run_id, cast(year({{event}}) as varchar) as year,
-  count(*) as row_count, 0 as bad_numbers, '{LOADED[RUN_A]}' as loaded_at from {{table}}
-  where pipeline_run_id = '{RUN_A}' group by 1, 2"""))
+@query("raw_land", with_loaded(_per_dataset(f"""select pipeline_run_id,
+  cast(year({{event}}) as varchar) as year, count(*) as row_count, 0 as bad_numbers,
+  '{LOADED[RUN_A]}' as loaded_at from br_{{table}} group by 1, 2""")))
 def raw_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per landed folder; bad_numbers counts files whose row numbers are not 1..n."""
     root = finished_run(spark, sf_dir)
@@ -143,7 +169,7 @@ def raw_land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- snapshots
 
-@query("raw_snapshot_write", _ROW_COUNTS)
+@query("raw_snapshot_write", _DELIVERED)
 def raw_snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = {n: clean_lines(spark, sf_dir, n, RUN_A) for n in DATASETS}
     folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), RUN_A, lines)
@@ -238,7 +264,7 @@ def validation_audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("dataset", "contract_version", "total_records", "invalid_records", "warning_count")
 
 
-@query("validate_suite", _ROW_COUNTS.replace("record_count", "valid_records"))
+@query("validate_suite", _VALID)
 def validate_suite_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot of the clean run is written, scanned with line numbers and validated."""
     lines = {n: clean_lines(spark, sf_dir, n, RUN_A) for n in DATASETS}
@@ -253,7 +279,7 @@ def validate_suite_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- partitions
 
-@query("partition_write", _MONTH_COUNTS)
+@query("partition_write", _MONTHS)
 def partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{_partitioned(finished_run(spark, sf_dir))}/raw"
     text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(folder)
@@ -265,9 +291,9 @@ def partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("record_count"))
 
 
-@query("partition_manifest", _in_run_a(f"""select count(*) as records_received,
-  count(*) as records_partitioned, 0 as records_missing_date, '{{event}}' as date_field
-  from {{table}} where pipeline_run_id = '{RUN_A}'"""))
+@query("partition_manifest", with_loaded(_per_dataset("""select count(*) as records_received,
+  count(*) as records_partitioned, 0 as records_missing_date, '{event}' as date_field
+  from br_{table}""")))
 def partition_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{_partitioned(finished_run(spark, sf_dir))}/partition_manifest.json"
     manifest = spark.read.option("multiLine", "true").schema(
@@ -292,18 +318,15 @@ def publish_manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- publication
 
-@query("run_publish", with_models(f"""select state, (select sum(n) from (
-  {" union all ".join(f"select count(*) as n from br_{n} where pipeline_run_id = '{RUN_A}'" for n in DATASETS)}
-  ))::bigint as records from (values ('DRY_RUN'), ('UPLOADED'), ('SKIPPED')) s(state)"""))
+@query("run_publish", with_loaded(f"""select state, {_LOADED_TOTAL} as records
+from (values ('DRY_RUN'), ('UPLOADED'), ('SKIPPED')) s(state)"""))
 def run_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dry run, a publication and its repetition, with the marker's record count."""
+    """A dry run, a publication and its repetition, with the published record count."""
     run_dir, target = _partitioned(finished_run(spark, sf_dir)), scratch_dir(spark, "publish")
     states = [publish_run(spark, run_dir, target, RUN_A, execute=e) for e in (False, True, True)]
-    marker = spark.read.option("multiLine", "true").schema("records_partitioned bigint").json(
-        f"{run_folder(target, 'raw', RUN_A)}/{MARKER}")
-    return marker.select(
-        F.explode(F.array(*[F.lit(s) for s in states])).alias("state"),
-        F.col("records_partitioned").alias("records"))
+    published = count_records(spark, run_folder(target, "raw", RUN_A), "part-*.json")
+    total = published.agg(F.sum("record_count").alias("records"))
+    return total.select(F.explode(F.array(*[F.lit(s) for s in states])).alias("state"), "records")
 
 
 # One listing entry per dataset and month, sized and hashed from its records.
@@ -373,19 +396,18 @@ def marker_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------- load and promote
 
-@query("load_guardrail", with_models(f"""
-select dataset, problem from (
-  select 'transactions' as dataset, 'found ' || cast(count(*) as varchar)
-    || ' rows with an incorrect or missing run ID' as problem, count(*) as n
-  from br_transactions where pipeline_run_id <> '{RUN_A}'
-  union all
-  select 'transactions', 'expected ' || cast(count(*) filter (where pipeline_run_id = '{RUN_A}') as varchar)
-    || ' rows, found ' || cast(count(*) as varchar), 1 from br_transactions) where n > 0"""))
+@query("load_guardrail", with_loaded(f"""
+select 'transactions' as dataset, 'found ' || cast(count(*) as varchar)
+  || ' rows with an incorrect or missing run ID' as problem
+from all_transactions where pipeline_run_id <> '{RUN_A}'
+union all
+select 'transactions', 'expected ' || cast((select count(*) from br_transactions) as varchar)
+  || ' rows, found ' || cast(count(*) as varchar) from all_transactions"""))
 def load_guardrail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both runs' transactions staged where one run was promised: the load is blocked."""
-    root = finished_run(spark, sf_dir)
-    expected = expected_loads(spark, *read_partition_manifest(spark, _partitioned(root)))
-    expected = expected.filter("dataset = 'transactions'").withColumn("expected_files", F.lit(
+    promised = expected_loads(
+        spark, *read_partition_manifest(spark, _partitioned(finished_run(spark, sf_dir))))
+    expected = promised.filter("dataset = 'transactions'").withColumn("expected_files", F.lit(
         landed(spark, sf_dir, "transactions").agg(F.count_distinct("source_file")).first()[0]))
     staged = {"transactions": landed(spark, sf_dir, "transactions")}
     return guardrail_problems(load_facts(staged, RUN_A), expected)
@@ -418,29 +440,27 @@ def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(models["gold_dispute_chargeback_summary_by_network"])
 
 
-@query("mart_scan", with_models(
-    f"select * from gold_daily_fraud_kpis where pipeline_run_id = '{RUN_A}'"))
+@query("mart_scan", with_loaded("select * from gold_daily_fraud_kpis"))
 def mart_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = read_mart(spark, f"{finished_run(spark, sf_dir)}/warehouse", "gold_daily_fraud_kpis")
     return comparable(in_dashboard_order(mart))
 
 
-@query("pipeline_batch", with_models(
-    f"select * from gold_fraud_summary_by_network where pipeline_run_id = '{RUN_A}'"))
+@query("pipeline_batch", with_loaded("select * from gold_fraud_summary_by_network"))
 def pipeline_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_mart(
         spark, f"{finished_run(spark, sf_dir)}/warehouse", "gold_fraud_summary_by_network"))
 
 
-@query("run_audit_append", with_models(f"""
-select '{RUN_A}' as run_id, 'SUCCESS' as status, 6 as steps, n as rows_received, n as rows_valid,
-  0 as rows_invalid from (select sum(c)::bigint as n from (
-  {" union all ".join(f"select count(*) as c from br_{n} where pipeline_run_id = '{RUN_A}'" for n in DATASETS)}))"""))
+@query("run_audit_append", with_loaded(f"""
+select '{RUN_A}' as run_id, 'SUCCESS' as status, 6 as steps, delivered as rows_received,
+  loaded as rows_valid, delivered - loaded as rows_invalid
+from (select {_LOADED_TOTAL} as loaded, {_DELIVERED_TOTAL} as delivered)"""))
 def run_audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = f"{finished_run(spark, sf_dir)}/pipeline_audit_logs/pipeline_run_audit_log.jsonl"
     return spark.read.schema(
         "run_id string, status string, steps array<struct<step_name string, status string>>, "
-        "validation_summary struct<rows_received bigint, rows_valid bigint, rows_invalid int>",
+        "validation_summary struct<rows_received bigint, rows_valid bigint, rows_invalid bigint>",
     ).json(log).select("run_id", "status", F.size("steps").alias("steps"), "validation_summary.*")
 
 
