@@ -29,7 +29,8 @@ def typed_key(record: str, kind: str, name: str) -> Column:
     absent and null members have no key.
     """
     text = f"try_variant_get({record}, '$.{name}', 'string')"
-    exact = f"cast(try_variant_get({record}, '$.{name}', 'decimal(38,10)') as string)"
+    exact = (f"regexp_replace(cast(try_variant_get({record}, '$.{name}', 'decimal(38,10)') "
+             "as string), '[.]?0+$', '')")
     return F.expr(f"""
         case when {kind} = 'STRING' then concat('s:', {text})
              when {kind} = 'VOID' then null
