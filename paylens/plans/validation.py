@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
@@ -179,25 +180,26 @@ def validate_lines(parsed: DataFrame, dataset: Dataset,
     return check_stage(stage_batch(parsed, dataset), dataset, valid_parents)
 
 
-def _depth(name: str) -> int:
-    return max([1 + _depth(r.parent) for r in DATASETS[name].references], default=0)
-
-
 def validate_suite(batches: dict[str, DataFrame]) -> dict[str, Outcome]:
     """Validate several datasets; a failed parent still lends its valid rows.
 
-    Staging needs no parent, so all batches are staged at once; the checks
-    follow the relationships, datasets of equal depth together.
+    Staging needs no parent, so all batches are staged at once; each check
+    starts when its own stage and its parents' outcomes are there.
     """
     names = [n for n in DATASETS if n in batches]
-    stages = together({n: partial(stage_batch, batches[n], DATASETS[n]) for n in names})
-    outcomes: dict[str, Outcome] = {}
-    for depth in sorted({_depth(n) for n in names}):
-        parents = {p: o.valid_keys for p, o in outcomes.items()}
-        outcomes |= together({
-            n: partial(check_stage, stages[n], DATASETS[n], parents)
-            for n in names if _depth(n) == depth})
-    return {n: outcomes[n] for n in names}
+    running: dict[str, Future[Outcome]] = {}
+
+    def validate(name: str) -> Outcome:
+        stage = stage_batch(batches[name], DATASETS[name])
+        parents = {r.parent for r in DATASETS[name].references} & set(names)
+        return check_stage(stage, DATASETS[name],
+                           {p: running[p].result().valid_keys for p in parents})
+
+    # Parents are submitted first and every batch has a thread, so none waits in vain.
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        for name in names:
+            running[name] = pool.submit(validate, name)
+    return {n: running[n].result() for n in names}
 
 
 def validate_run(spark: SparkSession, run_id: str, raw_run_dir: str,
@@ -205,8 +207,9 @@ def validate_run(spark: SparkSession, run_id: str, raw_run_dir: str,
     """Validate a raw snapshot; naming one dataset also validates its ancestors."""
     check_run_id(run_id)
     names = with_ancestors(dataset) if dataset else tuple(DATASETS)
-    return validate_suite({
-        n: read_json_lines(spark, f"{raw_run_dir}/{DATASETS[n].file_name}") for n in names})
+    return validate_suite(together({
+        n: partial(read_json_lines, spark, f"{raw_run_dir}/{DATASETS[n].file_name}")
+        for n in names}))
 
 
 def validate_file(spark: SparkSession, dataset: str, path: str) -> Outcome:

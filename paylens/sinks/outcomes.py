@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paylens.functions.identifiers import utc_text
 from paylens.plans.validation import ROW_ID, Outcome
-from paylens.workspace import Storage, together
+from paylens.workspace import Storage, small_rows, together
 
 AUDIT_FIELDS = (
     "contract_version", "batch_status", "pipeline_action", "total_records", "valid_records",
@@ -50,13 +50,14 @@ def write_outcome(spark: SparkSession, outcome: Outcome, run_id: str, root: str,
     failed = report["batch_status"] == "FAILED"
     for stale in (validated, quarantine):
         storage.delete(stale)
-    report["quarantine_file"] = report["validated_file"] = None
+    failed_rules = f"{reports}/{name}_failed_rules"
+    files = {"failed_rules": partial(outcome.failures.write.mode("overwrite").json, failed_rules)}
     if report["invalid_records"] and not outcome.malformed:
-        report["quarantine_file"] = write_quarantine(outcome, quarantine, keep_order)
+        files["quarantine_file"] = partial(write_quarantine, outcome, quarantine, keep_order)
     if not failed:
-        report["validated_file"] = write_validated(outcome, validated, keep_order)
-    failed_rules = f"{reports}/{name}_failed_rules"
-    outcome.failures.write.mode("overwrite").json(failed_rules)
+        files["validated_file"] = partial(write_validated, outcome, validated, keep_order)
+    written = together(files)
+    report |= {k: written.get(k) for k in ("quarantine_file", "validated_file")}
 
     report_path = f"{reports}/{name}_validation_report.json"
     report = {"run_id": run_id, "validation_run_at_utc": utc_text(), **report,
@@ -83,7 +84,7 @@ def append_validation_audit(spark: SparkSession, root: str, reports: list[dict])
         row["report_file"] = f"{folder}/{report['dataset']}_validation_report.json"
         row |= {k: report[k] for k in ("quarantine_file", "validated_file")}
         rows.append((json.dumps(row),))
-    spark.createDataFrame(rows, "value string").coalesce(1).write.mode("append").text(
+    small_rows(spark, rows, "value string").write.mode("append").text(
         f"{folder}/validation_audit_log.jsonl")
 
 

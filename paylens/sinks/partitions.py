@@ -15,11 +15,12 @@ from paylens.functions.json_fields import NUMERIC, member_kind, member_text
 from paylens.sources.files import count_records, list_files, plain_key
 from paylens.sources.jsonl import read_json_lines
 from paylens.sources.landing import strict_records
-from paylens.workspace import Storage, settle, together
+from paylens.workspace import Storage, small_rows, together
 
 MANIFEST = "partition_manifest.json"
 FILE_TABLE = "_manifest_files"
 FILE_SCHEMA = "dataset string, output_file string"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 JSON_TYPES = {"string": "string", "number": "double", "integer": "bigint", "boolean": "boolean"}
 
 
@@ -54,25 +55,30 @@ def write_partitions(spark: SparkSession, dataset: Dataset, validated: str, run_
 
     A rebalance on (year, month) merges small months into one file and splits a
     month that outgrows a task, so a hot month never lands in a single task.
+    Records without a date land in the null partition, which is counted and
+    dropped: filtering them before the write would push the whole parsing
+    chain into the scan's filter and evaluate it twice.
     """
-    if not Storage(spark).exists(validated):
+    storage = Storage(spark)
+    if not storage.exists(validated):
         raise FileNotFoundError(f"Missing validated input file: {validated}")
     parsed = strict_records(read_json_lines(spark, validated), f"partitioning of {dataset.name}")
-    # Parsed once into a column store: counting and laying out read that.
-    rows = settle(partition_rows(parsed, dataset), f"partition-{dataset.name}")
     target = f"{run_dir}/raw/{dataset.name}"
-    dated = spark.sql("select /*+ rebalance(year, month) */ * from {rows} where year is not null",
-                      rows=rows)
-    dated.write.mode("overwrite").partitionBy("year", "month").json(target)
-    received = rows.agg(F.count("*").alias("received"),
-                        F.count_if(F.col("year").isNull()).alias("missing")).first()
+    spark.sql("select /*+ rebalance(year, month) */ * from {rows}",
+              rows=partition_rows(parsed, dataset)
+              ).write.mode("overwrite").partitionBy("year", "month").json(target)
+    # Counted from the written files, so a retried task cannot distort it.
+    undated = F.contains(F.col("path"), F.lit(f"/year={NULL_PARTITION}/"))
     written = count_records(spark, target, "*.json").agg(
-        F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
-        F.count("*").alias("files")).first()
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("received"),
+        F.coalesce(F.sum(F.when(undated, F.col("record_count"))), F.lit(0)).alias("missing"),
+        F.count_if(~undated).alias("files")).first()
+    storage.delete(f"{target}/year={NULL_PARTITION}")
     return {
         "dataset": dataset.name, "input_file": validated, "date_field": dataset.event_field,
-        "records_received": received["received"], "records_partitioned": written["records"],
-        "records_missing_date": received["missing"], "partition_count": written["files"],
+        "records_received": written["received"],
+        "records_partitioned": written["received"] - written["missing"],
+        "records_missing_date": written["missing"], "partition_count": written["files"],
     }
 
 
@@ -120,7 +126,7 @@ def read_partition_manifest(spark: SparkSession, run_dir: str) -> tuple[dict, Da
         return header, spark.read.schema(FILE_SCHEMA).json(f"{run_dir}/{header['files_table']}")
     rows = [(d.get("dataset"), str(f)) for d in header["datasets"] if isinstance(d, dict)
             for f in (d.get("output_files") or [])]
-    return header, spark.createDataFrame(rows, FILE_SCHEMA)
+    return header, small_rows(spark, rows, FILE_SCHEMA)
 
 
 def name_set_problems(found: set, expected: set) -> list[str]:
@@ -214,11 +220,11 @@ def publish_problems(spark: SparkSession, run_dir: str, run_id: str) -> DataFram
 
 def _with_dataset_checks(spark: SparkSession, header: dict, run_id: str, per_file: DataFrame,
                          per_dataset: DataFrame, publishing: bool) -> DataFrame:
-    general = spark.createDataFrame(
-        [(d, None, p) for d, p in header_problems(header, run_id, publishing)],
+    general = small_rows(
+        spark, [(d, None, p) for d, p in header_problems(header, run_id, publishing)],
         "dataset string, output_file string, problem string")
-    promised = spark.createDataFrame(
-        [(d.get("dataset"), d.get("partition_count"), d.get("records_partitioned"))
+    promised = small_rows(
+        spark, [(d.get("dataset"), d.get("partition_count"), d.get("records_partitioned"))
          for d in header["datasets"] if isinstance(d, dict)],
         "dataset string, partition_count bigint, records_partitioned bigint")
     compared = promised.join(per_dataset, "dataset", "left").select(
@@ -234,8 +240,8 @@ def _with_dataset_checks(spark: SparkSession, header: dict, run_id: str, per_fil
 
 def expected_loads(spark: SparkSession, header: dict, listed: DataFrame) -> DataFrame:
     """dataset, expected_rows, expected_files — what a load must reproduce."""
-    rows = spark.createDataFrame(
-        [(d["dataset"], d["records_partitioned"]) for d in header["datasets"]],
+    rows = small_rows(
+        spark, [(d["dataset"], d["records_partitioned"]) for d in header["datasets"]],
         "dataset string, expected_rows bigint")
     files = listed.groupBy("dataset").agg(F.count_distinct("output_file").alias("expected_files"))
     return rows.join(files, "dataset", "left")

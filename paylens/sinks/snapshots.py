@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from paylens.contracts import DATASETS
 from paylens.functions.identifiers import check_run_id, utc_text
 from paylens.sources.files import describe_files, list_files
-from paylens.workspace import Storage, together
+from paylens.workspace import Storage, small_rows, together
 
 MANIFEST = "raw_manifest.json"
 FILE_TABLE = "_manifest_files"
@@ -54,7 +54,7 @@ def read_raw_manifest(spark: SparkSession, run_dir: str) -> tuple[dict, DataFram
     if isinstance(listed, dict):
         rows = [(n, m.get("file_name"), m.get("record_count"), m.get("file_size_bytes"),
                  m.get("sha256")) for n, m in listed.items() if isinstance(m, dict)]
-        return header, spark.createDataFrame(rows, FILE_SCHEMA)
+        return header, small_rows(spark, rows, FILE_SCHEMA)
     if not storage.exists(f"{run_dir}/{FILE_TABLE}"):
         raise ValueError("Raw-data manifest has no valid files object.")
     return header, spark.read.schema(FILE_SCHEMA).json(f"{run_dir}/{FILE_TABLE}")
@@ -73,10 +73,10 @@ def snapshot_problems(spark: SparkSession, run_dir: str, run_id: str,
         general.append("Raw manifest run ID does not match requested run ID.")
     if counts and header.get("seed") != seed:
         general.append("Existing raw snapshot was generated with another seed.")
-    notes = spark.createDataFrame(
-        [(None, None, g) for g in general], "dataset string, file_name string, problem string")
+    notes = small_rows(spark, [(None, None, g) for g in general],
+                       "dataset string, file_name string, problem string")
 
-    expected_names = spark.createDataFrame([(n,) for n in DATASETS], "dataset string")
+    expected_names = small_rows(spark, [(n,) for n in DATASETS], "dataset string")
     absent = expected_names.join(listed, "dataset", "left_anti").select(
         "dataset", F.lit(None).cast("string").alias("file_name"),
         F.lit("Raw-data manifest is missing dataset.").alias("problem"))

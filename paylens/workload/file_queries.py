@@ -33,7 +33,7 @@ from paylens.workload.model_queries import BRONZE_CTES, comparable, query, with_
 from paylens.workload.rule_queries import checked_intake, with_intake
 from paylens.workload.tables import (
     LOADED, NOISY, RUN_A, RUN_B, TYPED, clean_lines, for_duckdb, landed, run_sql)
-from paylens.workspace import Storage, scratch_dir
+from paylens.workspace import Storage, scratch_dir, small_rows
 
 _RUNS: dict[tuple[str, str], str] = {}
 
@@ -203,7 +203,7 @@ def raw_snapshot_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _problems_per_dataset(spark: SparkSession, problems: DataFrame) -> DataFrame:
-    names = spark.createDataFrame([(n,) for n in DATASETS], "dataset string")
+    names = small_rows(spark, [(n,) for n in DATASETS], "dataset string")
     return names.join(problems.select("dataset", "problem"), "dataset", "left").groupBy("dataset").agg(
         F.count("problem").cast("int").alias("problems"))
 

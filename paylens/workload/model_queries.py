@@ -17,7 +17,8 @@ from paylens.operators import data_tests
 from paylens.operators.uniqueness import key_counts
 from paylens.plans import gold, monitoring
 from paylens.plans.bronze import bronze
-from paylens.plans.silver import high_risk, silver_models
+from paylens.plans.silver import (
+    dispute_outcomes, high_risk, silver_models, transactions_enriched)
 from paylens.sources.landing import with_lineage_columns
 from paylens.workload.tables import (
     RUN_A, TYPED, for_duckdb, landed, run_sql, typed, typed_models)
@@ -183,8 +184,27 @@ for _name in DATASETS:
 
 # --------------------------------------------------------------------- silver
 
-def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return silver_models(typed_models(spark, sf_dir), AS_OF)
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transactions_enriched(
+        *[typed(spark, sf_dir, n) for n in ("transactions", "customers", "fraud_signals")], AS_OF)
+
+
+def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dispute_outcomes(typed(spark, sf_dir, "disputes"), _enriched(spark, sf_dir),
+                            typed(spark, sf_dir, "chargeback_outcomes"), AS_OF)
+
+
+# Each mart builds only what it reads.
+MARTS: dict[str, Query] = {
+    "gold_daily_fraud_kpis": lambda s, d: gold.daily_fraud_kpis(_enriched(s, d), AS_OF),
+    "gold_daily_dispute_kpis": lambda s, d: gold.daily_dispute_kpis(_outcomes(s, d), AS_OF),
+    "gold_fraud_summary_by_network":
+        lambda s, d: gold.fraud_summary_by_network(_enriched(s, d), AS_OF),
+    "gold_dispute_chargeback_summary_by_network":
+        lambda s, d: gold.dispute_summary_by_network(_outcomes(s, d), AS_OF),
+    "gold_pipeline_batch_metadata":
+        lambda s, d: gold.pipeline_batch_metadata(typed_models(s, d), AS_OF),
+}
 
 
 def _all_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -194,11 +214,6 @@ def _all_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {f"br_{n}": df for n, df in base.items()} | silver | marts
 
 
-def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    base = typed_models(spark, sf_dir)
-    return gold.gold_models(silver_models(base, AS_OF), base, AS_OF)
-
-
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = typed_models(spark, sf_dir)
     silver = silver_models(base, AS_OF)
@@ -215,12 +230,12 @@ _D_COLUMNS = ("opened_date resolved_date transaction_amount dispute_amount final
 @query("silver_transactions_enriched",
        with_models(_plain("silver_transactions_enriched", _T_COLUMNS)))
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_silver(spark, sf_dir)["silver_transactions_enriched"])
+    return comparable(_enriched(spark, sf_dir))
 
 
 @query("silver_dispute_outcomes", with_models(_plain("silver_dispute_outcomes", _D_COLUMNS)))
 def silver_disputes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_silver(spark, sf_dir)["silver_dispute_outcomes"])
+    return comparable(_outcomes(spark, sf_dir))
 
 
 @query("high_risk_flag", with_models(
@@ -242,7 +257,7 @@ select dispute_id, dispute_source_file, dispute_source_row_number, transaction_s
   fraud_signal_source_file, fraud_signal_source_row_number, chargeback_source_file,
   chargeback_source_row_number from silver_dispute_outcomes"""))
 def lineage_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = _silver(spark, sf_dir)["silver_dispute_outcomes"]
+    outcomes = _outcomes(spark, sf_dir)
     return outcomes.select("dispute_id", *[
         f"{s}_{c}" for s in ("dispute", "transaction", "customer", "fraud_signal", "chargeback")
         for c in ("source_file", "source_row_number")])
@@ -251,17 +266,16 @@ def lineage_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("modeled_at", with_models(
     f"select '{AS_OF}' as modeled_at, count(*) as row_count from gold_daily_fraud_kpis"))
 def modeled_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = _gold(spark, sf_dir)["gold_daily_fraud_kpis"]
+    mart = MARTS["gold_daily_fraud_kpis"](spark, sf_dir)
     return mart.groupBy(F.col("modeled_at").cast("string").alias("modeled_at")).agg(
         F.count("*").alias("row_count"))
 
 
 # ----------------------------------------------------------------------- gold
 
-for _name in ("gold_daily_fraud_kpis", "gold_daily_dispute_kpis", "gold_fraud_summary_by_network",
-              "gold_dispute_chargeback_summary_by_network", "gold_pipeline_batch_metadata"):
+for _name in MARTS:
     def _mart(spark: SparkSession, sf_dir: str, name: str = _name) -> DataFrame:
-        return comparable(_gold(spark, sf_dir)[name])
+        return comparable(MARTS[name](spark, sf_dir))
 
     query(_name, with_models(f"select * from {_name}"))(_mart)
 
@@ -306,15 +320,15 @@ select (select sum(total_transactions)::bigint from gold_fraud_summary_by_networ
   (select sum(total_disputes)::bigint from gold_dispute_chargeback_summary_by_network) as total_disputes,
   (select sum(total_chargebacks)::bigint from gold_dispute_chargeback_summary_by_network) as total_chargebacks"""))
 def dash_exec_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marts = _gold(spark, sf_dir)
     return monitoring.executive_summary(
-        marts["gold_fraud_summary_by_network"], marts["gold_dispute_chargeback_summary_by_network"])
+        MARTS["gold_fraud_summary_by_network"](spark, sf_dir),
+        MARTS["gold_dispute_chargeback_summary_by_network"](spark, sf_dir))
 
 
 @query("dash_high_risk_rate", with_models(
     "select card_network, high_risk_rate_pct from gold_fraud_summary_by_network"))
 def dash_high_risk_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.high_risk_rate(_gold(spark, sf_dir)["gold_fraud_summary_by_network"])
+    return monitoring.high_risk_rate(MARTS["gold_fraud_summary_by_network"](spark, sf_dir))
 
 
 @query("dash_disputes_vs_chargebacks", with_models(
@@ -322,7 +336,7 @@ def dash_high_risk_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     "from gold_dispute_chargeback_summary_by_network"))
 def dash_disputes_vs_chargebacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.disputes_vs_chargebacks(
-        _gold(spark, sf_dir)["gold_dispute_chargeback_summary_by_network"])
+        MARTS["gold_dispute_chargeback_summary_by_network"](spark, sf_dir))
 
 
 @query("dash_rows_by_layer", with_models(
@@ -335,7 +349,7 @@ def dash_rows_by_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select * from gold_daily_dispute_kpis order by pipeline_run_id, dispute_opened_date"))
 def order_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(monitoring.in_dashboard_order(monitoring.displayable(
-        _gold(spark, sf_dir)["gold_daily_dispute_kpis"])))
+        MARTS["gold_daily_dispute_kpis"](spark, sf_dir))))
 
 
 # ----------------------------------------------------------------- data tests
@@ -420,7 +434,7 @@ from silver_transactions_enriched
 where customer_source_file is null or fraud_signal_source_file is null"""))
 def lineage_null_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data_tests.lineage_gaps(
-        _silver(spark, sf_dir)["silver_transactions_enriched"], "silver_transactions_enriched",
+        _enriched(spark, sf_dir), "silver_transactions_enriched",
         "transaction_id", ("customer_source_file", "fraud_signal_source_file"))
 
 
@@ -446,7 +460,7 @@ def variant_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("datediff_days", with_models("""
 select dispute_id, days_to_resolution from silver_dispute_outcomes where chargeback_id is not null"""))
 def datediff_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = _silver(spark, sf_dir)["silver_dispute_outcomes"]
+    outcomes = _outcomes(spark, sf_dir)
     return outcomes.filter(F.col("chargeback_id").isNotNull()).select("dispute_id", "days_to_resolution")
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUNTIME_SETTINGS = {
     # Runtime re-planning: small sides become broadcast joins after their true
@@ -84,6 +86,13 @@ def together(jobs: dict[str, Callable[[], object]]) -> dict:
     return {name: future.result() for name, future in running.items()}
 
 
+def small_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A handful of driver values as a DataFrame, without starting Python workers."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema}>>")))
+
+
 class Storage:
     """Small control files and whole-directory operations on any Hadoop filesystem."""
 
