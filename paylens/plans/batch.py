@@ -20,7 +20,7 @@ from paylens.sinks.publishing import publish_run
 from paylens.sinks.snapshots import create_snapshot, require_no_problems, snapshot_problems
 from paylens.workspace import Storage
 
-PIPELINE_NAME = "fraud_dispute_analytics_pipeline"
+PIPELINE_NAME = "payment_risk_batch"
 
 
 def validation_summary(spark: SparkSession, root: str, run_id: str) -> dict:

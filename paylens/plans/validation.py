@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.contracts import (
-    CONTRACT_VERSION, DATASETS, HARD_FAIL, WARN, Dataset, with_ancestors)
+    DATASETS, HARD_FAIL, WARN, Dataset, with_ancestors)
 from paylens.functions.calendar import event_time
 from paylens.functions.identifiers import check_run_id
 from paylens.functions.json_fields import member_text, typed_key
@@ -224,7 +224,3 @@ def suite_reports(outcomes: dict[str, Outcome]) -> DataFrame:
     for frame in frames[1:]:
         result = result.unionByName(frame)
     return result
-
-
-__all__ = ["CONTRACT_VERSION", "Outcome", "in_report_order", "suite_reports", "validate_file",
-           "validate_lines", "validate_run", "validate_suite"]

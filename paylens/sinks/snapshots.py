@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paylens.contracts import DATASETS
 from paylens.functions.identifiers import check_run_id, utc_text
-from paylens.sources.files import describe_files, list_files
+from paylens.sources.files import describe_files
 from paylens.workspace import Storage, small_rows, together
 
 MANIFEST = "raw_manifest.json"
@@ -144,7 +144,3 @@ def create_snapshot(spark: SparkSession, root: str, run_id: str, lines: dict[str
         require_no_problems(snapshot_problems(spark, target, run_id, seed, counts=True), target)
         return target, True
     return target, False
-
-
-__all__ = ["create_snapshot", "describe_snapshot", "list_files", "read_raw_manifest",
-           "require_no_problems", "snapshot_problems"]

@@ -124,6 +124,14 @@ def _metadata(label: str, prefix: str, upper: bool) -> str:
   from br_{n} group by pipeline_run_id""" for n in DATASETS)
 
 
+_COUNTED = (
+    [("RAW", f"raw_{n}", f"br_{n}") for n in DATASETS]
+    + [("SILVER", n, n) for n in ("silver_transactions_enriched", "silver_dispute_outcomes")]
+    + [("GOLD", n, n) for n in monitoring.COUNTED_MARTS])
+_COUNTS = " union all ".join(
+    f"select '{layer}' as layer, '{name.upper()}' as object_name, count(*) as row_count from {table}"
+    for layer, name, table in _COUNTED)
+
 GOLD_CTES = SILVER_CTES + f""",
 gold_daily_fraud_kpis as (
   select pipeline_run_id, cast(cast(transaction_timestamp as date) as varchar) as transaction_date,
@@ -148,10 +156,7 @@ gold_dispute_chargeback_summary_by_network as (
 gold_pipeline_batch_metadata as (
   {_metadata('dataset_name', '', False)}),
 monitoring_pipeline_row_counts as (
-  {" union all ".join(f"select '{layer}' as layer, '{name.upper()}' as object_name, count(*) as row_count from {table}" for layer, name, table in (
-      [("RAW", f"raw_{n}", f"br_{n}") for n in DATASETS]
-      + [("SILVER", n, n) for n in ("silver_transactions_enriched", "silver_dispute_outcomes")]
-      + [("GOLD", n, n) for n in monitoring.COUNTED_MARTS]))})"""
+  {_COUNTS})"""
 
 TIMES = {"transaction_timestamp", "created_at", "score_timestamp", "opened_date", "resolved_date",
          "loaded_at", "transaction_loaded_at", "customer_loaded_at", "fraud_signal_loaded_at",

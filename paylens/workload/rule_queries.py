@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.contracts import DATASETS, HARD_FAIL, QUARANTINE, WARN, Dataset
+from paylens.contracts import DATASETS, HARD_FAIL, QUARANTINE, Dataset
 from paylens.operators.verdicts import dataset_summaries, overall_status, run_summary
 from paylens.plans.validation import Outcome, in_report_order, suite_reports, validate_suite
 from paylens.sources.jsonl import with_records
@@ -291,14 +291,13 @@ def ri_quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-@query("order_failures", with_intake(_failure_rows({
-    "required", "additionalProperties", "type", "enum", "pattern", "minimum", "maximum",
-    "exclusiveMinimum", "format"}).replace("select '", "select '", 1)
-    .join(["select dataset, record_id, field, rule, severity from (", """
+_SCHEMA_KEYWORDS = {"required", "additionalProperties", "type", "enum", "pattern", "minimum",
+                    "maximum", "exclusiveMinimum", "format"}
+
+
+@query("order_failures", with_intake(f"""select dataset, record_id, field, rule, severity from (
+{_failure_rows(_SCHEMA_KEYWORDS)}
 union all select 'customers', record_id, 'customer_id', 'unique', 'hard_fail' from u_customers where dup)
-where dataset = 'customers'"""])))
+where dataset = 'customers'"""))
 def order_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_report_order(checked_intake(spark, sf_dir)["customers"].failures).select(*COLUMNS)
-
-
-__all__ = ["WARN", "checked_intake", "intake_batches"]
