@@ -38,15 +38,19 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def local_session(app: str = "paylens", cores: str = "*", partitions: int = 8) -> SparkSession:
     """A single-JVM session for tests and the benchmark."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
-        .getOrCreate()
     )
+    spark = builder.getOrCreate()
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        # a static setting: only a new session of this single JVM can carry it
+        spark.stop()
+        spark = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paylens-")).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 
@@ -54,15 +58,12 @@ def local_session(app: str = "paylens", cores: str = "*", partitions: int = 8) -
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder of its
-    own; on a cluster a machine-local folder would not be shared.
+    ``local_session`` sets one when it is unset; any other session without it
+    is refused, because a machine-local folder would not be shared.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
-        base = tempfile.mkdtemp(prefix="paylens-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
     return f"{base.rstrip('/')}/paylens/{label}-{uuid.uuid4().hex}"
 
 
