@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from paylens.llm import circulant_minhash
+from paylens.llm import (
+    circulant_minhash, compression_toxicity, curve_packing, language_id, pii_spans)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +20,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op5_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@query
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans.find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = compression_toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return compression_toxicity.score(docs, model)
+
+
+@query
+def op10_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+@query
+def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_packing.digests(curve_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
