@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylens.llm import (
-    circulant_minhash, compression_toxicity, curve_packing, language_id, pii_spans)
+    chat_format, circulant_minhash, class_scan_bpe, compression_toxicity, curve_packing, language_id,
+    multi_index, pii_spans, target_quality, url_trust)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +54,49 @@ def op10_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.digests(curve_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@query
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trust.verdicts(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op1_url_trust"] = url_trust.oracle()
+
+#: What user and assistant of the added conversation -7 say.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    turns = chat_format.canonical_turns(chat_format.turn_records(rows)).filter("layout is not null")
+    found = chat_format.digests(chat_format.format_turns(turns))
+    return found.withColumn("conv_id", F.col("conv_id").cast("bigint"))
+
+
+ORACLES["op2_chat_format"] = chat_format.oracle(CONTROL_TEXT)
+
+
+@query
+def op4_target_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return target_quality.judge(docs, target_quality.log_ratios(docs, trusted))
+
+
+@query
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"), similarity=0.98)
+
+
+ORACLES["op6_multi_index"] = multi_index.oracle(0.98)
+
+
+@query
+def op8_class_scan_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    return class_scan_bpe.digests(class_scan_bpe.encode(table(spark, sf_dir, "documents"), path), path)
