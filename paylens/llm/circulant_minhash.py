@@ -7,11 +7,15 @@ permutations give the whole signature:  h_k = min over s of pi(sigma(s) + k).
 
 Documents with equal sets are merged first.  Bands of the signature put the
 remaining representatives into buckets; bucket pairs are verified on full sets.
-No pair list of a bucket is ever built: each bucket is compared with one leader
-at a time, verified links are merged into components, and only members of
-different components stay open.  When what is left over all buckets is small
-against the number of documents, it is compared directly.  Either way every
-pair that shares a bucket ends up linked, joined by other links, or refused.
+No pair list of a bucket is ever built: each bucket is compared with its
+smallest id, and verified links are merged into components.  Buckets whose
+other members lie in more than one component stay open.  Their documents are
+compared by an exact prefix filter: shingles are ordered from rare to frequent
+among them, and two sets can only reach the threshold if the first few of the
+smaller set meet the first few of the larger one.  Passages that many
+documents share come last in that order, so they bring no candidates.  Either
+way every pair that shares a bucket ends up linked, joined by other links, or
+refused on its full sets.
 
 Nulls and edge cases: a null or blank text has an empty set and links with
 nothing.  Rows without an id link with nothing, have no component and are kept.
@@ -41,8 +45,6 @@ COORDINATES = BAND_ROWS * BANDS
 #: A pair goes on to exact verification unless its signatures agree in fewer
 #: coordinates than six standard deviations below the threshold.
 SIGMAS = 6.0
-#: Open pairs per document up to which they are compared without further rounds.
-DIRECT_PAIRS = 2
 
 
 def _permute(x: np.ndarray) -> np.ndarray:
@@ -162,6 +164,54 @@ def _confirmed(percent: int):
     return run
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document and shingle."""
+    schema = pa.schema([("shingle", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            sets = [np.frombuffer(m.as_buffer(), np.int64) for m in part.column("members")]
+            sizes = np.array([len(m) for m in sets], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets)), pa.array(np.repeat(part.column("id").to_numpy(), sizes)),
+                 pa.array(np.repeat(sizes, sizes))], schema=schema)
+
+
+def _prefix_pairs(sets: DataFrame, components: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs of ``sets`` in different components that may reach the threshold; none that does is missing.
+
+    A pair with sizes a <= b needs an overlap of percent * (a + b) / (100 + percent),
+    which is at least 2 * percent * a / (100 + percent) and percent * b / 100.
+    So, in any one order of shingles, some common shingle lies among the first
+    a - (first bound) + 1 of the smaller and b - (second bound) + 1 of the larger set.
+    """
+    rows = scratch.settle(sets.mapInArrow(_listed, "shingle bigint, id bigint, n bigint"), "listed")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("seen")).filter("seen > 1")
+    # Shingles of one document alone come first and match nothing: their number is enough.
+    ranked = (rows.join(shared, "shingle").groupBy("id", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("seen", "shingle"))).alias("common"))
+              .withColumn("alone", F.col("n") - F.size("common"))
+              .join(components, "id", "left")
+              .withColumn("comp", F.coalesce("component", "id")))
+
+    def first(bound: str) -> DataFrame:
+        length = F.expr(f"cast(n - ceil({bound}) + 1 - alone as int)")
+        return (ranked.withColumn("length", length).filter("length > 0")
+                .select("id", "n", "comp", F.explode(F.slice("common", 1, F.col("length"))).alias("s"))
+                .select("id", "n", "comp", F.col("s.shingle").alias("shingle")))
+
+    prefixes = scratch.settle(
+        first(f"cast(2 * {percent} as decimal(20)) * n / {100 + percent}").withColumn("short", F.lit(True))
+        .unionByName(first(f"cast({percent} as decimal(20)) * n / 100").withColumn("short", F.lit(False))),
+        "prefixes")
+    smaller = prefixes.filter("short").drop("short")
+    larger = prefixes.filter("not short").select(
+        "shingle", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    return (smaller.join(larger, "shingle")
+            .filter(f"comp != comp2 and n <= n2 and n * 100 >= n2 * {percent}")
+            .select(F.least("id", "id2").alias("lead"), F.greatest("id", "id2").alias("id")).distinct())
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -181,70 +231,52 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .filter("doc_id != lead").select("lead", F.col("doc_id").alias("id")).distinct(), "copies")
     alone = linkable.join(copies.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
     shown = alone.select(F.col("doc_id").alias("id"), "n_shingles", "marks")
-    open_rows = scratch.settle(
-        alone.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")), "round0")
-    total = sketches.count()
-
-    links, sets, components, done = None, None, None, 0
-    while True:
-        rows = open_rows
-        if components is None:
-            leaders = rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("top"))
-            leaders = leaders.filter("lead < top").select("key", "lead")
-            pairs = rows.join(leaders, "key").filter("id != lead")
-        else:
-            sizes = (rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-                     .groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n")))
-                                          / 2).alias("left")))
-            left = sizes.agg(F.sum("left")).first()[0] or 0
-            if left == 0:
-                break
-            if left <= DIRECT_PAIRS * total:
-                other = rows.select("key", F.col("id").alias("lead"), F.col("comp").alias("lead_comp"))
-                pairs = rows.join(other, "key").filter("lead < id and lead_comp != comp")
-                leaders = None
-            else:
-                leaders = rows.groupBy("key").agg(
-                    F.min(F.struct(F.col("id").alias("lead"), F.col("comp").alias("lead_comp"))
-                          ).alias("first")).select("key", "first.*")
-                pairs = rows.join(leaders, "key").filter("id != lead and lead_comp != comp")
-        pairs = pairs.select(F.least("lead", "id").alias("lead"),
-                             F.greatest("lead", "id").alias("id")).distinct()
-        if links is not None:
-            pairs = pairs.join(compared, ["lead", "id"], "left_anti")
-        lead_shown = shown.select(F.col("id").alias("lead"), F.col("n_shingles").alias("lead_n"),
-                                  F.col("marks").alias("lead_marks"))
-        near = (pairs.join(lead_shown, "lead").join(shown, "id")
-                .filter(F.least("n_shingles", "lead_n") * 100
-                        >= F.greatest("n_shingles", "lead_n") * percent)
-                .select("lead", "id", "lead_marks", "marks"))
-        plausible = scratch.settle(near.mapInArrow(_plausible(percent), PAIRS), f"plausible{done}")
-        asked = plausible.select(F.explode(F.array("lead", "id")).alias("doc_id")).distinct()
-        if sets is not None:
-            asked = asked.join(sets.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
-        found = scratch.settle(
+    buckets = scratch.settle(
+        alone.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")), "buckets")
+
+    def members_of(ids: DataFrame, name: str) -> DataFrame:
+        asked = ids.select(F.col("id").alias("doc_id")).distinct()
+        return scratch.settle(
             texts.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .mapInArrow(_members(size), "id bigint, members binary"), f"sets{done}")
-        sets = found if sets is None else sets.unionByName(found)
+            .mapInArrow(_members(size), "id bigint, members binary"), name)
+
+    def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         lead_sets = sets.select(F.col("id").alias("lead"), F.col("members").alias("lead_members"))
-        verified = scratch.settle(
-            plausible.join(sets, "id").join(lead_sets, "lead")
-            .mapInArrow(_confirmed(percent), PAIRS), f"links{done}")
-        links = verified if links is None else links.unionByName(verified)
-        compared = plausible if done == 0 else compared.unionByName(plausible)
-        components = connected_components(
-            links.select(F.col("lead").alias("a"), F.col("id").alias("b")), scratch, f"round{done}")
-        done += 1
-        if leaders is None:
-            break
-        # Members still open: the bucket's rest lies in more than one component.
-        rest = open_rows.select("key", "id").join(leaders.select("key", "lead"), "key").filter("id != lead")
-        rest = (rest.select("key", "id").join(components, "id", "left")
-                .select("key", "id", F.coalesce("component", "id").alias("comp")))
-        mixed = (rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-                 .filter("low < high").select("key"))
-        open_rows = scratch.settle(rest.join(mixed, "key", "left_semi"), f"round{done}")
-        scratch.drop(f"round{done - 1}")
+        return scratch.settle(pairs.join(sets, "id").join(lead_sets, "lead")
+                              .mapInArrow(_confirmed(percent), PAIRS), name)
+
+    def as_links(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("lead").alias("a"), F.col("id").alias("b"))
+
+    # Every bucket against its smallest id.
+    leaders = (buckets.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("top"))
+               .filter("lead < top").select("key", "lead"))
+    led = scratch.settle(buckets.join(leaders, "key").filter("id != lead"), "led")
+    scratch.drop("buckets")
+    lead_shown = shown.select(F.col("id").alias("lead"), F.col("n_shingles").alias("lead_n"),
+                              F.col("marks").alias("lead_marks"))
+    near = (led.select("lead", "id").distinct().join(lead_shown, "lead").join(shown, "id")
+            .filter(F.least("n_shingles", "lead_n") * 100
+                    >= F.greatest("n_shingles", "lead_n") * percent)
+            .select("lead", "id", "lead_marks", "marks"))
+    plausible = scratch.settle(near.mapInArrow(_plausible(percent), PAIRS), "plausible")
+    sets = members_of(plausible.select(F.explode(F.array("lead", "id")).alias("id")), "sets")
+    links = verified(plausible, sets, "links")
+    components = connected_components(as_links(links), scratch, "first")
+
+    # Buckets whose other members are not one component yet.
+    rest = (led.select("key", "id").join(components, "id", "left")
+            .select("key", "id", F.coalesce("component", "id").alias("comp")))
+    mixed = (rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+             .filter("low < high").select("key"))
+    open_ids = scratch.settle(rest.join(mixed, "key", "left_semi").select("id").distinct(), "open")
+    more = members_of(open_ids.join(sets.select("id"), "id", "left_anti"), "more")
+    open_sets = sets.join(open_ids, "id", "left_semi").unionByName(more)
+    pairs = scratch.settle(_prefix_pairs(open_sets, components, percent, scratch), "pairs")
+    links = links.unionByName(verified(pairs, open_sets, "more_links"))
+    components = connected_components(as_links(links), scratch, "second")
+    for name in ("led", "plausible", "sets", "more", "listed", "prefixes", "pairs"):
+        scratch.drop(name)
 
     # Copies stand for their class: its lead's component holds them all.
     by_copy = (copies.join(components, copies.lead == components.id, "left")
