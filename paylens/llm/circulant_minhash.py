@@ -7,12 +7,12 @@ permutations give the whole signature:  h_k = min over s of pi(sigma(s) + k).
 
 Documents with equal sets are merged first.  Bands of the signature put the
 remaining representatives into buckets; bucket pairs are verified on full sets.
-No pair list of a bucket is ever built: each bucket is compared with its
-smallest id, and verified links are merged into components.  Buckets whose
+No pair list of a bucket is ever built: each bucket is compared with one
+leader, the member with most company, and verified links are merged into components.  Buckets whose
 other members lie in more than one component stay open.  Their documents are
 compared by an exact prefix filter: shingles are ordered from rare to frequent
 among them, and two sets can only reach the threshold if the first few of the
-smaller set meet the first few of the larger one.  Passages that many
+smaller set meet the first few of the larger one, with enough left behind.  Passages that many
 documents share come last in that order, so they bring no candidates.  Either
 way every pair that shares a bucket ends up linked, joined by other links, or
 refused on its full sets.
@@ -197,8 +197,9 @@ def _prefix_pairs(sets: DataFrame, components: DataFrame, percent: int, scratch:
     def first(bound: str) -> DataFrame:
         length = F.expr(f"cast(n - ceil({bound}) + 1 - alone as int)")
         return (ranked.withColumn("length", length).filter("length > 0")
-                .select("id", "n", "comp", F.explode(F.slice("common", 1, F.col("length"))).alias("s"))
-                .select("id", "n", "comp", F.col("s.shingle").alias("shingle")))
+                .select("id", "n", "comp", "alone", F.posexplode(F.slice("common", 1, F.col("length"))))
+                .select("id", "n", "comp", F.col("col.shingle").alias("shingle"),
+                        (F.col("n") - F.col("alone") - F.col("pos")).alias("rest")))
 
     prefixes = scratch.settle(
         first(f"cast(2 * {percent} as decimal(20)) * n / {100 + percent}").withColumn("short", F.lit(True))
@@ -206,9 +207,12 @@ def _prefix_pairs(sets: DataFrame, components: DataFrame, percent: int, scratch:
         "prefixes")
     smaller = prefixes.filter("short").drop("short")
     larger = prefixes.filter("not short").select(
-        "shingle", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+        "shingle", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"),
+        F.col("rest").alias("rest2"))
+    # The first common shingle must leave enough shingles (itself included) for the overlap.
     return (smaller.join(larger, "shingle")
-            .filter(f"comp != comp2 and n <= n2 and n * 100 >= n2 * {percent}")
+            .filter(f"comp != comp2 and n <= n2 and n * 100 >= n2 * {percent} "
+                    f"and least(rest, rest2) * {100 + percent} >= (n + n2) * {percent}")
             .select(F.least("id", "id2").alias("lead"), F.greatest("id", "id2").alias("id")).distinct())
 
 
@@ -248,10 +252,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     def as_links(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("lead").alias("a"), F.col("id").alias("b"))
 
-    # Every bucket against its smallest id.
-    leaders = (buckets.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("top"))
-               .filter("lead < top").select("key", "lead"))
-    led = scratch.settle(buckets.join(leaders, "key").filter("id != lead"), "led")
+    # Every bucket against the document that meets most others over all its
+    # buckets: in a group of edited copies, the one nearest to all.
+    sizes = (buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("top"), F.count("*").alias("size"))
+             .filter("low < top").select("key", "size"))
+    shared = scratch.settle(buckets.join(sizes, "key"), "shared")
+    met = shared.groupBy("id").agg(F.sum("size").alias("met"))
+    leaders = (shared.join(met, "id").groupBy("key")
+               .agg(F.max(F.struct("met", (-F.col("id")).alias("against"))).alias("first"))
+               .select("key", (-F.col("first.against")).alias("lead")))
+    led = scratch.settle(shared.drop("size").join(leaders, "key").filter("id != lead"), "led")
     scratch.drop("buckets")
     lead_shown = shown.select(F.col("id").alias("lead"), F.col("n_shingles").alias("lead_n"),
                               F.col("marks").alias("lead_marks"))
@@ -275,7 +285,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     pairs = scratch.settle(_prefix_pairs(open_sets, components, percent, scratch), "pairs")
     links = links.unionByName(verified(pairs, open_sets, "more_links"))
     components = connected_components(as_links(links), scratch, "second")
-    for name in ("led", "plausible", "sets", "more", "listed", "prefixes", "pairs"):
+    for name in ("shared", "led", "plausible", "sets", "more", "listed", "prefixes", "pairs"):
         scratch.drop(name)
 
     # Copies stand for their class: its lead's component holds them all.
