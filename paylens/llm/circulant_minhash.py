@@ -238,12 +238,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     buckets = scratch.settle(
         alone.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")), "buckets")
 
-    def members_of(ids: DataFrame, name: str) -> DataFrame:
-        asked = ids.select(F.col("id").alias("doc_id")).distinct()
-        return scratch.settle(
-            texts.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .mapInArrow(_members(size), "id bigint, members binary"), name)
-
     def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         lead_sets = sets.select(F.col("id").alias("lead"), F.col("members").alias("lead_members"))
         return scratch.settle(pairs.join(sets, "id").join(lead_sets, "lead")
@@ -263,6 +257,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                .select("key", (-F.col("first.against")).alias("lead")))
     led = scratch.settle(shared.drop("size").join(leaders, "key").filter("id != lead"), "led")
     scratch.drop("buckets")
+    # Full sets of all documents that share a bucket.  Merge joins, whatever the
+    # size, so that the plan measured on a small input is the plan on a large one.
+    asked = led.select(F.explode(F.array("lead", "id")).alias("doc_id")).distinct()
+    sets = scratch.settle(
+        texts.join(asked.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        .mapInArrow(_members(size), "id bigint, members binary"), "sets")
     lead_shown = shown.select(F.col("id").alias("lead"), F.col("n_shingles").alias("lead_n"),
                               F.col("marks").alias("lead_marks"))
     near = (led.select("lead", "id").distinct().join(lead_shown, "lead").join(shown, "id")
@@ -270,7 +270,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                     >= F.greatest("n_shingles", "lead_n") * percent)
             .select("lead", "id", "lead_marks", "marks"))
     plausible = scratch.settle(near.mapInArrow(_plausible(percent), PAIRS), "plausible")
-    sets = members_of(plausible.select(F.explode(F.array("lead", "id")).alias("id")), "sets")
     links = verified(plausible, sets, "links")
     components = connected_components(as_links(links), scratch, "first")
 
@@ -280,12 +279,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     mixed = (rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
              .filter("low < high").select("key"))
     open_ids = scratch.settle(rest.join(mixed, "key", "left_semi").select("id").distinct(), "open")
-    more = members_of(open_ids.join(sets.select("id"), "id", "left_anti"), "more")
-    open_sets = sets.join(open_ids, "id", "left_semi").unionByName(more)
+    open_sets = sets.join(open_ids, "id", "left_semi")
     pairs = scratch.settle(_prefix_pairs(open_sets, components, percent, scratch), "pairs")
     links = links.unionByName(verified(pairs, open_sets, "more_links"))
     components = connected_components(as_links(links), scratch, "second")
-    for name in ("shared", "led", "plausible", "sets", "more", "listed", "prefixes", "pairs"):
+    for name in ("shared", "led", "plausible", "sets", "listed", "prefixes", "pairs"):
         scratch.drop(name)
 
     # Copies stand for their class: its lead's component holds them all.
