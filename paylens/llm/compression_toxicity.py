@@ -10,6 +10,10 @@ directly.)  Equal content and equal offsets make ordinary text compress alike
 under both, so a window's difference in compressed length speaks of toxic
 material alone.
 
+Before that, letters are recoded by their place in the word (a fixed
+permutation per place), so both dictionaries match words from their beginning:
+a syllable inside an ordinary word does not match a toxic word made of it.
+
 Every text is covered whole by overlapping windows.  Shares of windows beyond
 calibrated byte thresholds, the mean and the largest difference enter a
 logistic calibration fitted on the same labelled sample.
@@ -45,9 +49,12 @@ WINDOW, STEP = 48, 24
 #: Byte thresholds whose window shares are features.
 BYTES = (3, 4, 5)
 GRAM, GRAM_SPACE = 5, 1 << 22
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048
+ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
 #: A gram is toxic at this ratio of document shares and this share of toxic documents.
-RATIO, LEAST_SHARE, LEAST_DOCUMENTS = 25.0, 0.01, 4
+RATIO, LEAST_SHARE, LEAST_DOCUMENTS = 8.0, 0.01, 4
+
+#: Places of a word with a recoding of their own; later ones share the last.
+PLACES = 16
 
 _SEGMENT = np.dtype([("offset", "<u8"), ("length", "<u8")])
 _NO_LETTER = np.ones(256, bool)
@@ -55,6 +62,17 @@ _NO_LETTER[97:123] = False
 _NO_LETTER[128:] = False
 
 
+def _recodings() -> np.ndarray:
+    letters = np.flatnonzero(~_NO_LETTER)
+    tables = np.tile(np.arange(256, dtype=np.uint8), (PLACES, 1))
+    for place in range(PLACES):
+        tables[place, letters] = np.random.default_rng(place).permutation(letters)
+    return tables
+
+
+_RECODED = _recodings()
+
+
 @dataclass(frozen=True)
 class Model:
     ordinary: bytes
@@ -118,8 +136,17 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=settings)
 
 
-def _padded(text: bytes) -> bytes:
-    return b" " + text.lower() + b" "
+def recoded(texts: list[bytes]) -> list[bytes]:
+    """Texts in lower case between blanks, letters recoded by their place in the word."""
+    if not texts:
+        return []
+    lengths = np.array([len(t) for t in texts], np.int64) + 2
+    raw = np.frombuffer(b"".join(b" " + t.lower() + b" " for t in texts), np.uint8)
+    index = np.arange(len(raw))
+    place = index - np.maximum.accumulate(np.where(_NO_LETTER[raw], index, 0)) - 1
+    out = _RECODED[np.clip(place, 0, PLACES - 1), raw].tobytes()
+    ends = np.cumsum(lengths)
+    return [out[e - n:e] for e, n in zip(ends.tolist(), lengths.tolist())]
 
 
 def _window_count(lengths: np.ndarray) -> np.ndarray:
@@ -148,7 +175,7 @@ class Features:
         return np.concatenate(parts)
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
-        """One row of features for each text; texts are padded and in lower case."""
+        """One row of features for each recoded text."""
         lengths = np.array([len(t) for t in texts], np.int64)
         counts = _window_count(lengths)
         ends = np.cumsum(lengths)
@@ -167,10 +194,11 @@ class Features:
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], 1.0)
+    share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))  # both labels weigh the same
     for _ in range(50):
         p = _chance(x, w)
-        slope = x.T @ (p - y) + ridge * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        slope = x.T @ (share * (p - y)) + ridge * w
+        bend = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(bend, slope)
         w -= step
         if np.abs(step).max() < 1e-9:
@@ -184,7 +212,8 @@ def _chance(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def train(rows: list[tuple[str, int]]) -> Model | None:
     """A model from (text, label) rows; their order has no influence."""
-    rows = sorted((_padded(text.encode()), label) for text, label in rows)
+    rows = sorted(rows)
+    rows = list(zip(recoded([text.encode() for text, _ in rows]), (label for _, label in rows)))
     toxic = [t for t, label in rows if label == 1]
     ordinary = [t for t, label in rows if label == 0]
     if not toxic or not ordinary:
@@ -231,7 +260,7 @@ def _scored(model: Model | None):
             else:
                 raw, at = text_bytes(batch.column("text"))
                 data = raw.tobytes()
-                scores = _chance(features([_padded(data[b:e]) for b, e in zip(at[:-1], at[1:])]),
+                scores = _chance(features(recoded([data[b:e] for b, e in zip(at[:-1], at[1:])])),
                                  np.array(model.weights))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(scores)], schema=schema)
@@ -252,7 +281,7 @@ def _ordinary_only(model: Model | None):
             if features is not None:
                 raw, at = text_bytes(batch.column("text"))
                 data = raw.tobytes()
-                chance = _chance(features([_padded(data[b:e]) for b, e in zip(at[:-1], at[1:])]),
+                chance = _chance(features(recoded([data[b:e] for b, e in zip(at[:-1], at[1:])])),
                                  np.array(model.weights))
                 batch = batch.filter(pa.array(chance < THRESHOLD))
             yield batch

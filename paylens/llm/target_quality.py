@@ -32,7 +32,7 @@ GRAM, BUCKETS = 4, 1 << 15
 #: Added to every count of both multinomials.
 SMOOTHING = 1.0
 #: Mean log ratio from which a document is kept.
-THRESHOLD = -0.25
+THRESHOLD = -0.5
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
