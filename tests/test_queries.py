@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from paylens.workload import catalog
 from paylens.workspace import RUNTIME_SETTINGS, scratch_dir
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -30,7 +31,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     cursor = duck.execute(entry_points.oracle_sql()[name])
