@@ -21,6 +21,7 @@ An empty table gives no sequences.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,12 @@ SEQUENCE, END_ID = 4096, 2
 #: Dimensions and bits per dimension of the curve; the key must fit 63 bits.
 DIMENSIONS, BITS = 4, 12
 #: Words whose ids one task remembers; beyond it the memory starts anew.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 600_000
+
+# ASCII letters and marks; the apostrophe is neither, because contractions use it.
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[97:123] = True
+_MARK[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -86,12 +92,26 @@ def curve_keys(ids: np.ndarray, at: np.ndarray, table: np.ndarray) -> np.ndarray
     return hilbert_key(np.clip(grid, 0, (1 << BITS) - 1).astype(np.uint64))
 
 
-class WordIds(dict):
-    """Ids (little-endian int32 bytes) of words without white space, filled by the tokenizer.
+def plain_words(raw: np.ndarray, at: np.ndarray) -> list[list[bytes]]:
+    """The words of each text in ASCII lower case, cut where a letter meets a mark.
 
-    The tokenizer drops white space and never joins text across it, so a text's
-    ids are its words' ids in order.
+    The tokenizer drops white space, never joins text across it and always
+    separates letters from marks, so these cuts leave every id as it is; "end",
+    "end." and "End," then share one entry of the memory.
     """
+    low = np.frombuffer(raw.tobytes().lower(), np.uint8)
+    letter, mark = _LETTER[low], _MARK[low]
+    cut = np.zeros(len(low) + 1, np.int64)
+    if len(low):
+        cut[2:] = np.cumsum((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:]))
+    out = np.full(len(low) + int(cut[-1]), 32, np.uint8)
+    out[np.arange(len(low)) + cut[1:]] = low
+    data, at = out.tobytes(), at + cut[at]
+    return [data[b:e].split() for b, e in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+class WordIds(dict):
+    """Ids (little-endian bytes) of words without white space, filled by the tokenizer."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -100,6 +120,7 @@ class WordIds(dict):
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        self.code = "H" if self.vocabulary <= 1 << 16 else "I"
 
     def learn(self, words: set[bytes]) -> None:
         unknown = [w for w in words if w not in self]
@@ -108,7 +129,7 @@ class WordIds(dict):
             unknown = list(words)
         encoded = self._tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
         for word, result in zip(unknown, encoded):
-            self[word] = np.array(result.ids, "<i4").tobytes()
+            self[word] = array(self.code, result.ids).tobytes()
 
 
 CODED = "doc_id bigint, curve_key bigint, n_tokens bigint, ids binary"
@@ -117,7 +138,6 @@ CODED = "doc_id bigint, curve_key bigint, n_tokens bigint, ids binary"
 def _coded(path: str):
     schema = pa.schema([("doc_id", pa.int64()), ("curve_key", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids", pa.binary())])
-    end = np.array([END_ID], "<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -125,15 +145,14 @@ def _coded(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         known = WordIds(path)
         table = signs(np.arange(known.vocabulary + END_ID + 1))
+        end = array(known.code, [END_ID]).tobytes()
         for batch in in_small_batches(batches, "text"):
-            raw, at = text_bytes(batch.column("text"))
-            data = raw.tobytes().lower()
-            words = [data[b:e].split() for b, e in zip(at[:-1], at[1:])]
+            words = plain_words(*text_bytes(batch.column("text")))
             known.learn(set().union(*words))
             get = known.__getitem__
             coded = [b"".join(map(get, w)) + end for w in words]
-            lengths = np.array([len(c) // 4 for c in coded], np.int64)
-            keys = curve_keys(np.frombuffer(b"".join(coded), "<i4"),
+            lengths = np.array([len(c) // len(end) for c in coded], np.int64)
+            keys = curve_keys(np.frombuffer(b"".join(coded), known.code),
                               np.concatenate([[0], np.cumsum(lengths)]), table)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(keys), pa.array(lengths),
@@ -182,20 +201,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cuts = [c for c in range(first - first % SEQUENCE + SEQUENCE, min(first + n, full + 1), SEQUENCE)]
             cuts += [t for t in tail if first < t < first + n and t > full]
             edges = [first, *cuts, first + n]
+            own = np.frombuffer(ids, np.uint16 if len(ids) == 2 * n else np.uint32).astype("<u4").tobytes()
             for begin, end in zip(edges[:-1], edges[1:]):
                 if begin < full:
                     sequence, origin = begin // SEQUENCE, begin - begin % SEQUENCE
                 else:
                     place = max(i for i, t in enumerate(tail) if t <= begin)
                     sequence, origin = full // SEQUENCE + place, tail[place]
-                rows.append((doc_id, begin - first, end - begin, ids[4 * (begin - first):4 * (end - first)],
+                rows.append((doc_id, begin - first, end - begin, own[4 * (begin - first):4 * (end - first)],
                              n, sequence, begin - origin))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
 def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """One row per piece, with its ids; pieces of a sequence follow each other by ``offset``."""
+    """One row per piece, with its ids (little-endian, 32 bits); pieces of a sequence
+    follow each other by ``offset``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     coded = scratch.settle(docs.select("doc_id", "text").mapInArrow(_coded(tokenizer), CODED), "coded")

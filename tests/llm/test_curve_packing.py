@@ -86,4 +86,16 @@ def test_memory_of_words_starts_anew(monkeypatch):
     known = packing.WordIds(PATH)
     for words in ({b"a", b"b"}, {b"c", b"a"}):
         known.learn(words)
-        assert set(known) >= words and known[b"a"] == np.array(expected_ids("a")[:-1], "<i4").tobytes()
+        assert set(known) >= words and known[b"a"] == np.array(expected_ids("a")[:-1], "<u2").tobytes()
+
+
+def test_cuts_between_letters_and_marks_leave_ids_alone():
+    from paylens.llm.arrays import text_bytes
+    import pyarrow as pa
+
+    texts = ["a.b", "It's. 's", "x!'s", "('s)", "a--b-", "é.a", "a\u0301.b", "..a1.b2", "", "don't!!", "a.", ".a", "_a_b", "K.k",
+             "a\u2026.b", "\u2026.'re.", "`a`^b"]
+    known = packing.WordIds(PATH)
+    for text, words in zip(texts, packing.plain_words(*text_bytes(pa.array(texts)))):
+        known.learn(set(words))
+        assert np.frombuffer(b"".join(known[w] for w in words), "<u2").tolist() == expected_ids(text)[:-1], text

@@ -61,7 +61,7 @@ def test_stages_against_brute_force(spark):
     for i, row in list(states[4].items())[:60]:
         words = row[1].encode().lower().split()
         known.learn(set(words))
-        assert total[i] == sum(len(known[w]) // 4 for w in words) + 1
+        assert total[i] == sum(len(known[w]) // 2 for w in words) + 1
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == docs.columns and rows.count() > 500
 
