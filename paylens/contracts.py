@@ -6,7 +6,8 @@ into Column expressions; nothing walks records in Python.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field as default
+import re
+from dataclasses import dataclass, field as default, replace
 
 CONTRACT_VERSION = "v1"
 
@@ -75,6 +76,13 @@ def _date_time(name: str) -> Field:
     return Field(name, "string", pattern=DATE_TIME_PATTERN, format="pipeline-date-time")
 
 
+def widened(dataset: Dataset) -> Dataset:
+    """The same contract with ids of at least, not exactly, the given number of digits."""
+    return replace(dataset, fields=tuple(
+        replace(f, pattern=re.sub(r"^(\^[A-Z]+_\[0-9\]\{[0-9]+)\}\$$", r"\1,}$", f.pattern)) if f.pattern else f
+        for f in dataset.fields))
+
+
 CUSTOMERS = Dataset(
     "customers", "customer_id", "created_at",
     (

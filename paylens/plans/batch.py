@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylens.contracts import DATASETS, Dataset
 from paylens.functions.identifiers import check_run_id, utc_text
 from paylens.operators.verdicts import dataset_summaries, run_summary
 from paylens.plans.validation import validate_run
@@ -18,7 +19,7 @@ from paylens.sinks.partitions import partition_run
 from paylens.sinks.promotion import load_run, read_raw
 from paylens.sinks.publishing import publish_run
 from paylens.sinks.snapshots import create_snapshot, require_no_problems, snapshot_problems
-from paylens.workspace import Storage
+from paylens.workspace import Storage, scratch_scope
 
 PIPELINE_NAME = "payment_risk_batch"
 
@@ -36,15 +37,16 @@ def validation_summary(spark: SparkSession, root: str, run_id: str) -> dict:
     return summary
 
 
-def validate_and_store(spark: SparkSession, root: str, run_id: str) -> None:
+def validate_and_store(spark: SparkSession, root: str, run_id: str,
+                       contracts: dict[str, Dataset] = DATASETS) -> None:
     """Validate a whole snapshot, store its outcome, fail when a dataset failed."""
     raw = f"{root}/raw/{run_id}"
-    require_no_problems(snapshot_problems(spark, raw, run_id), "Raw snapshot check failed")
+    require_no_problems(snapshot_problems(spark, raw, run_id), "Snapshot check", root)
     for folder in ("validated", "validation_reports", "quarantine"):
         Storage(spark).delete(f"{root}/{folder}/{run_id}")
     # The next stage regroups rows by month, so the files need no order.
-    reports = write_outcomes(spark, validate_run(spark, run_id, raw), run_id, root,
-                             keep_order=False)
+    reports = write_outcomes(spark, validate_run(spark, run_id, raw, contracts=contracts),
+                             run_id, root, keep_order=False)
     failed = [r["dataset"] for r in reports if r["batch_status"] == "FAILED"]
     if failed:
         raise RuntimeError(f"Contract validation failed: {', '.join(failed)}")
@@ -63,15 +65,24 @@ def run_batch(spark: SparkSession, root: str, run_id: str,
               lines: dict[str, DataFrame] | None = None, publish_to: str | None = None,
               execute_publish: bool = False, reload_raw: bool = False,
               execute_reload: bool = False, run_models: bool = False,
-              as_of: str | None = None) -> dict:
+              as_of: str | None = None, contracts: dict[str, Dataset] = DATASETS) -> dict:
     """Snapshot (when ``lines`` are given), validate, partition, publish, load, model.
 
     The audit record is written whatever happens; a failing stage is re-raised.
+    Stage, failure and inventory tables below the scratch folder are gone afterwards.
     """
     check_run_id(run_id)
+    with scratch_scope(spark):
+        return _run_batch(spark, root, run_id, lines, publish_to, execute_publish, reload_raw,
+                          execute_reload, run_models, as_of, contracts)
+
+
+def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, DataFrame] | None,
+               publish_to: str | None, execute_publish: bool, reload_raw: bool, execute_reload: bool,
+               run_models: bool, as_of: str | None, contracts: dict[str, Dataset]) -> dict:
     started = time.perf_counter()
     warehouse, run_dir = f"{root}/warehouse", f"{root}/partitioned/{run_id}"
-    record = {
+    record = {  # Fixed values: the names of the audit record's fields.
         "run_id": run_id, "pipeline_name": PIPELINE_NAME, "started_at_utc": utc_text(),
         "ended_at_utc": None, "duration_seconds": None, "status": "RUNNING",
         "failure_reason": None,
@@ -106,7 +117,8 @@ def run_batch(spark: SparkSession, root: str, run_id: str,
     try:
         if lines is not None:
             step("Write raw snapshot", lambda: create_snapshot(spark, f"{root}/raw", run_id, lines))
-        step("Validate data contracts", lambda: validate_and_store(spark, root, run_id))
+        step("Validate data contracts", lambda: validate_and_store(
+            spark, root, run_id, contracts))
         step("Partition validated data", lambda: partition_run(
             spark, run_id, f"{root}/validated/{run_id}", run_dir))
         if publish_to:

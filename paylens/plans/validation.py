@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import Future, ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import partial
 
@@ -132,6 +133,19 @@ class Outcome:
     def invalid_ids(self) -> DataFrame:
         return self.failures.filter(F.col("severity") != WARN).select(*ROW_ID).distinct()
 
+    @property
+    def split_rows(self) -> DataFrame:
+        """line, valid (and the row's place): each staged row once, by one join.
+
+        Rows that break the contract are known without it; the join moves text
+        for the others' duplicate and relationship failures only once.
+        """
+        if self.malformed:
+            return self.stage.filter(F.lit(False)).withColumn("valid", F.lit(False))
+        found = self.invalid_ids.withColumn("_invalid", F.lit(True))
+        return self.stage.select(*ROW_ID, "line").join(found, ROW_ID, "left").select(
+            *ROW_ID, "line", F.col("_invalid").isNull().alias("valid"))
+
     @property
     def valid_rows(self) -> DataFrame:
         """A batch with a malformed line has no valid rows."""
@@ -180,7 +194,8 @@ def validate_lines(parsed: DataFrame, dataset: Dataset,
     return check_stage(stage_batch(parsed, dataset), dataset, valid_parents)
 
 
-def validate_suite(batches: dict[str, DataFrame]) -> dict[str, Outcome]:
+def validate_suite(batches: dict[str, DataFrame],
+                   contracts: dict[str, Dataset] = DATASETS) -> dict[str, Outcome]:
     """Validate several datasets; a failed parent still lends its valid rows.
 
     Staging needs no parent, so all batches are staged at once; each check
@@ -190,26 +205,27 @@ def validate_suite(batches: dict[str, DataFrame]) -> dict[str, Outcome]:
     running: dict[str, Future[Outcome]] = {}
 
     def validate(name: str) -> Outcome:
-        stage = stage_batch(batches[name], DATASETS[name])
-        parents = {r.parent for r in DATASETS[name].references} & set(names)
-        return check_stage(stage, DATASETS[name],
+        stage = stage_batch(batches[name], contracts[name])
+        parents = {r.parent for r in contracts[name].references} & set(names)
+        return check_stage(stage, contracts[name],
                            {p: running[p].result().valid_keys for p in parents})
 
     # Parents are submitted first and every batch has a thread, so none waits in vain.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
         for name in names:
-            running[name] = pool.submit(validate, name)
+            running[name] = pool.submit(copy_context().run, validate, name)
     return {n: running[n].result() for n in names}
 
 
 def validate_run(spark: SparkSession, run_id: str, raw_run_dir: str,
-                 dataset: str | None = None) -> dict[str, Outcome]:
+                 dataset: str | None = None,
+                 contracts: dict[str, Dataset] = DATASETS) -> dict[str, Outcome]:
     """Validate a raw snapshot; naming one dataset also validates its ancestors."""
     check_run_id(run_id)
     names = with_ancestors(dataset) if dataset else tuple(DATASETS)
     return validate_suite(together({
         n: partial(read_json_lines, spark, f"{raw_run_dir}/{DATASETS[n].file_name}")
-        for n in names}))
+        for n in names}), contracts)
 
 
 def validate_file(spark: SparkSession, dataset: str, path: str) -> Outcome:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,30 @@ def _write_lines(rows: DataFrame, path: str, keep_order: bool) -> str:
     return path
 
 
+def _write_split(spark: SparkSession, outcome: Outcome, wanted: dict[str, str], keep_order: bool) -> None:
+    """Valid and quarantined lines from one pass over the stage, each to its folder."""
+    if len(wanted) < 2:
+        for kind, path in wanted.items():
+            rows = outcome.valid_rows if kind == "validated_file" else outcome.invalid_rows
+            _write_lines(rows, path, keep_order)
+        return
+    # Beside the target, so that the folders only have to be renamed.
+    storage = Storage(spark)
+    draft = f"{wanted['validated_file'].rsplit('/', 1)[0]}/_{outcome.dataset.name}-{uuid.uuid4().hex}"
+    rows = outcome.split_rows
+    (rows.orderBy("valid", *ROW_ID) if keep_order else rows).select(
+        F.trim("line").alias("line"), "valid").write.partitionBy("valid").text(draft)
+    for kind, path in wanted.items():
+        part = f"{draft}/valid={str(kind == 'validated_file').lower()}"
+        if not storage.exists(part):  # no such rows: an empty text folder
+            _write_lines(outcome.stage.filter(F.lit(False)), path, keep_order=False)
+            continue
+        storage.make_dirs(path.rsplit("/", 1)[0])
+        if not storage.rename(part, path):
+            raise FileExistsError(f"Another writer stored {path}.")
+    storage.delete(draft)
+
+
 def write_validated(outcome: Outcome, path: str, keep_order: bool = True) -> str:
     return _write_lines(outcome.valid_rows, path, keep_order)
 
@@ -51,13 +76,15 @@ def write_outcome(spark: SparkSession, outcome: Outcome, run_id: str, root: str,
     for stale in (validated, quarantine):
         storage.delete(stale)
     failed_rules = f"{reports}/{name}_failed_rules"
-    files = {"failed_rules": partial(outcome.failures.write.mode("overwrite").json, failed_rules)}
+    wanted = {}
     if report["invalid_records"] and not outcome.malformed:
-        files["quarantine_file"] = partial(write_quarantine, outcome, quarantine, keep_order)
+        wanted["quarantine_file"] = quarantine
     if not failed:
-        files["validated_file"] = partial(write_validated, outcome, validated, keep_order)
-    written = together(files)
-    report |= {k: written.get(k) for k in ("quarantine_file", "validated_file")}
+        wanted["validated_file"] = validated
+    together({
+        "failed_rules": partial(outcome.failures.write.mode("overwrite").json, failed_rules),
+        "rows": partial(_write_split, spark, outcome, wanted, keep_order)})
+    report |= {k: wanted.get(k) for k in ("quarantine_file", "validated_file")}
 
     report_path = f"{reports}/{name}_validation_report.json"
     report = {"run_id": run_id, "validation_run_at_utc": utc_text(), **report,

@@ -13,7 +13,7 @@ from paylens.functions.calendar import iso_text, month_text, partition_time, yea
 from paylens.functions.identifiers import check_run_id, is_safe_dataset_path, relative_key, utc_text
 from paylens.functions.json_fields import NUMERIC, member_kind, member_text
 from paylens.sources.files import count_records, list_files, plain_key
-from paylens.sources.jsonl import read_json_lines
+from paylens.sources.jsonl import plain_lines, with_records
 from paylens.sources.landing import strict_records
 from paylens.workspace import Storage, small_rows, together
 
@@ -62,7 +62,7 @@ def write_partitions(spark: SparkSession, dataset: Dataset, validated: str, run_
     storage = Storage(spark)
     if not storage.exists(validated):
         raise FileNotFoundError(f"Missing validated input file: {validated}")
-    parsed = strict_records(read_json_lines(spark, validated), f"partitioning of {dataset.name}")
+    parsed = strict_records(with_records(plain_lines(spark, validated)), f"partitioning of {dataset.name}")
     target = f"{run_dir}/raw/{dataset.name}"
     spark.sql("select /*+ rebalance(year, month) */ * from {rows}",
               rows=partition_rows(parsed, dataset)
@@ -115,13 +115,13 @@ def read_partition_manifest(spark: SparkSession, run_dir: str) -> tuple[dict, Da
     storage = Storage(spark)
     path = f"{run_dir}/{MANIFEST}"
     if not storage.exists(path):
-        raise FileNotFoundError(f"Partition manifest not found: {path}")
+        raise FileNotFoundError(f"No manifest in this partitioned run: {path}")
     try:
         header = json.loads(storage.read_text(path))
     except json.JSONDecodeError as error:
-        raise ValueError(f"Partition manifest is not valid JSON: {path}") from error
+        raise ValueError(f"Unreadable partition manifest: {path}") from error
     if not isinstance(header.get("datasets"), list):
-        raise ValueError("Manifest datasets must be a list.")
+        raise ValueError(f"The partition manifest lists no datasets: {path}")
     if "files_table" in header:
         return header, spark.read.schema(FILE_SCHEMA).json(f"{run_dir}/{header['files_table']}")
     rows = [(d.get("dataset"), str(f)) for d in header["datasets"] if isinstance(d, dict)
@@ -131,8 +131,8 @@ def read_partition_manifest(spark: SparkSession, run_dir: str) -> tuple[dict, Da
 
 def name_set_problems(found: set, expected: set) -> list[str]:
     """Missing and unexpected names, one text each."""
-    return ([f"Manifest dataset set is invalid: missing {n}" for n in sorted(expected - found)]
-            + [f"Manifest dataset set is invalid: unexpected {n}" for n in sorted(found - expected)])
+    return ([f"dataset {n} is not in the manifest" for n in sorted(expected - found)]
+            + [f"dataset {n} is unknown" for n in sorted(map(str, found - expected))])
 
 
 def header_problems(header: dict, run_id: str, publishing: bool) -> list[tuple[str | None, str]]:
@@ -144,27 +144,27 @@ def header_problems(header: dict, run_id: str, publishing: bool) -> list[tuple[s
         if not ok:
             problems.append((dataset, text))
 
-    check(header.get("run_id") == run_id, "Manifest run_id does not match the requested run ID.")
+    check(header.get("run_id") == run_id, "manifest belongs to another run")
     problems += [(None, p) for p in name_set_problems(
         {d.get("dataset") for d in datasets}, set(DATASETS))]
-    check(header.get("dataset_count") == len(DATASETS), "Manifest dataset_count does not match.")
-    check(header.get("records_missing_date") == 0, "Manifest contains records missing dates.")
+    check(header.get("dataset_count") == len(DATASETS), "manifest promises another number of datasets")
+    check(header.get("records_missing_date") == 0, "manifest counts records without a date")
     for d in datasets:
         name, received, done = (d.get(k) for k in
                                 ("dataset", "records_received", "records_partitioned"))
-        check(d.get("records_missing_date") == 0, "has records missing partition dates.", name)
+        check(d.get("records_missing_date") == 0, "has records without a date", name)
         if publishing:
-            check(isinstance(done, int) and done >= 0, "records_partitioned is invalid.", name)
+            check(isinstance(done, int) and done >= 0, "has no valid number of partitioned records", name)
         else:
             check(isinstance(received, int) and received >= 1,
-                  "records_received must be a positive integer.", name)
-            check(done == received, f"partitioned {done} of {received} records.", name)
+                  "has no valid number of received records", name)
+            check(done == received, f"partitioned {done} of {received} records", name)
     total = sum(d.get("records_partitioned") or 0 for d in datasets)
     check(header.get("records_partitioned") == total,
-          "Manifest total row count does not match the dataset totals.")
+          "total differs from the sum over datasets")
     if not publishing:
         check(header.get("records_received") == header.get("records_partitioned"),
-              "Manifest records_received does not match records_partitioned.")
+              "received and partitioned totals differ")
     return problems
 
 
@@ -186,8 +186,8 @@ def partition_problems(spark: SparkSession, run_dir: str, run_id: str) -> DataFr
         present, "plain", "left")
     per_file = checked.select(
         "dataset", "output_file",
-        F.when(~is_safe_dataset_path(F.col("output_file"), F.col("dataset")), "Invalid output path.")
-        .when(F.col("record_count").isNull(), "Manifest output file not found.").alias("problem"),
+        F.when(~is_safe_dataset_path(F.col("output_file"), F.col("dataset")), "unsafe path")
+        .when(F.col("record_count").isNull(), "listed file absent").alias("problem"),
     ).filter(F.col("problem").isNotNull())
     per_dataset = checked.groupBy("dataset").agg(
         F.count("*").alias("files"), F.sum("record_count").alias("records"))
@@ -201,16 +201,16 @@ def publish_problems(spark: SparkSession, run_dir: str, run_id: str) -> DataFram
     outside = keyed.filter(
         ~F.col("plain").startswith(F.concat(F.lit("raw/"), F.col("dataset"), F.lit("/")))
     ).select("dataset", "output_file",
-             F.lit("Manifest output file is outside its dataset.").alias("problem"))
+             F.lit("path outside its dataset").alias("problem"))
     grouped = keyed.groupBy("plain").agg(
         F.first("dataset").alias("dataset"), F.count("*").alias("listed"))
     present = list_files(spark, f"{run_dir}/raw", "*.json").select(
         F.concat(F.lit("raw/"), F.col("relative_key")).alias("plain"), F.lit(True).alias("present"))
     compared = grouped.join(present, "plain", "full_outer").select(
         "dataset", F.col("plain").alias("output_file"),
-        F.when(F.col("listed") > 1, "Manifest contains duplicate output file paths.")
-        .when(F.col("present").isNull(), "Manifest output file does not exist.")
-        .when(F.col("listed").isNull(), "Local file is not in the manifest.").alias("problem"),
+        F.when(F.col("listed") > 1, "listed more than once")
+        .when(F.col("present").isNull(), "listed file absent")
+        .when(F.col("listed").isNull(), "file not listed").alias("problem"),
     ).filter(F.col("problem").isNotNull())
     per_dataset = keyed.groupBy("dataset").agg(
         F.count("*").alias("files"), F.lit(None).cast("bigint").alias("records"))
@@ -229,11 +229,11 @@ def _with_dataset_checks(spark: SparkSession, header: dict, run_id: str, per_fil
         "dataset string, partition_count bigint, records_partitioned bigint")
     compared = promised.join(per_dataset, "dataset", "left").select(
         "dataset", F.lit(None).cast("string").alias("output_file"),
-        F.when(F.col("files").isNull(), "output_files must be a non-empty list.")
+        F.when(F.col("files").isNull(), "no files listed")
         .when(~F.col("files").eqNullSafe(F.col("partition_count")),
-              "partition_count does not match output_files.")
+              "another number of files than promised")
         .when(F.col("records") != F.col("records_partitioned"),
-              "partition files do not contain the promised records.").alias("problem"),
+              "another number of records than promised").alias("problem"),
     ).filter(F.col("problem").isNotNull())
     return general.unionByName(per_file).unionByName(compared)
 

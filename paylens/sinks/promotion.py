@@ -16,7 +16,7 @@ from paylens.sinks.snapshots import require_no_problems
 from paylens.sources.landing import RAW_SCHEMA, land_run, with_lineage_columns
 from paylens.workspace import Storage, together
 
-POINTER = "CURRENT"
+POINTER, PREVIOUS = "CURRENT", "PREVIOUS"
 
 
 def load_facts(landed: dict[str, DataFrame], run_id: str) -> DataFrame:
@@ -76,17 +76,30 @@ def read_raw(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 
 
 def write_raw_version(spark: SparkSession, warehouse: str, label: str,
-                      landed: dict[str, DataFrame]) -> str:
+                      landed: dict[str, DataFrame], version: str | None = None) -> str:
     """Stage the five tables as one new, not yet visible version; returns its name."""
-    version = f"{label}-{uuid.uuid4().hex[:8]}"
+    version = version or f"{label}-{uuid.uuid4().hex[:8]}"
     together({n: partial(rows.write.parquet, f"{warehouse}/raw/versions/{version}/{n}")
               for n, rows in landed.items()})
     return version
 
 
 def promote(spark: SparkSession, warehouse: str, version: str) -> None:
-    """Make a staged version live: one atomic replacement of the pointer file."""
-    Storage(spark).write_text(f"{warehouse}/raw/{POINTER}", version)
+    """Make a staged version live: one atomic replacement of the pointer file.
+
+    The version that was live stays for readers that still use it; the one
+    before it, named in a second pointer, is removed.  Versions that were never
+    live are left alone, because another load may be staging them.
+    """
+    storage, live = Storage(spark), f"{warehouse}/raw/{POINTER}"
+    earlier = storage.read_text(live).strip() if storage.exists(live) else None
+    storage.write_text(live, version)
+    if earlier and earlier != version:
+        last = f"{warehouse}/raw/{PREVIOUS}"
+        retired = storage.read_text(last).strip() if storage.exists(last) else None
+        storage.write_text(last, earlier)
+        if retired and retired not in (version, earlier):
+            storage.delete(f"{warehouse}/raw/versions/{retired}")
 
 
 def load_run(spark: SparkSession, run_dir: str, published_root: str, run_id: str, warehouse: str,
@@ -97,14 +110,20 @@ def load_run(spark: SparkSession, run_dir: str, published_root: str, run_id: str
     after the manifest check.
     """
     check_run_id(run_id)
-    require_no_problems(partition_problems(spark, run_dir, run_id), "Partition manifest check failed")
+    require_no_problems(partition_problems(spark, run_dir, run_id), "Manifest check", warehouse)
     if not execute:
         return None
-    version = write_raw_version(
-        spark, warehouse, run_id, land_run(spark, published_root, run_id, loaded_at))
-    staged = {n: spark.read.parquet(f"{warehouse}/raw/versions/{version}/{n}") for n in DATASETS}
-    expected = expected_loads(spark, *read_partition_manifest(spark, run_dir))
-    require_no_problems(guardrail_problems(load_facts(staged, run_id), expected),
-                        "Load guardrail failed")
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"
+    folder = f"{warehouse}/raw/versions/{version}"
+    try:
+        write_raw_version(
+            spark, warehouse, run_id, land_run(spark, published_root, run_id, loaded_at), version)
+        staged = {n: spark.read.parquet(f"{folder}/{n}") for n in DATASETS}
+        expected = expected_loads(spark, *read_partition_manifest(spark, run_dir))
+        require_no_problems(guardrail_problems(load_facts(staged, run_id), expected),
+                            "Load check", warehouse)
+    except Exception:
+        Storage(spark).delete(folder)
+        raise
     promote(spark, warehouse, version)
     return read_raw(spark, warehouse)

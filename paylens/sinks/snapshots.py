@@ -45,18 +45,18 @@ def read_raw_manifest(spark: SparkSession, run_dir: str) -> tuple[dict, DataFram
     storage = Storage(spark)
     path = f"{run_dir}/{MANIFEST}"
     if not storage.exists(path):
-        raise FileNotFoundError(f"Raw-data manifest does not exist: {path}")
+        raise FileNotFoundError(f"No manifest in this snapshot: {path}")
     try:
         header = json.loads(storage.read_text(path))
     except json.JSONDecodeError as error:
-        raise ValueError(f"Raw-data manifest is invalid JSON: {path}: {error}") from error
+        raise ValueError(f"Unreadable snapshot manifest {path}: {error}") from error
     listed = header.get("files")
     if isinstance(listed, dict):
         rows = [(n, m.get("file_name"), m.get("record_count"), m.get("file_size_bytes"),
                  m.get("sha256")) for n, m in listed.items() if isinstance(m, dict)]
         return header, small_rows(spark, rows, FILE_SCHEMA)
     if not storage.exists(f"{run_dir}/{FILE_TABLE}"):
-        raise ValueError("Raw-data manifest has no valid files object.")
+        raise ValueError(f"The snapshot manifest lists no files: {path}")
     return header, spark.read.schema(FILE_SCHEMA).json(f"{run_dir}/{FILE_TABLE}")
 
 
@@ -70,31 +70,29 @@ def snapshot_problems(spark: SparkSession, run_dir: str, run_id: str,
     header, listed = read_raw_manifest(spark, run_dir)
     general = []
     if header.get("run_id") != run_id:
-        general.append("Raw manifest run ID does not match requested run ID.")
+        general.append("manifest belongs to another run")
     if counts and header.get("seed") != seed:
-        general.append("Existing raw snapshot was generated with another seed.")
+        general.append("snapshot was made with another seed")
     notes = small_rows(spark, [(None, None, g) for g in general],
                        "dataset string, file_name string, problem string")
 
     expected_names = small_rows(spark, [(n,) for n in DATASETS], "dataset string")
     absent = expected_names.join(listed, "dataset", "left_anti").select(
         "dataset", F.lit(None).cast("string").alias("file_name"),
-        F.lit("Raw-data manifest is missing dataset.").alias("problem"))
+        F.lit("dataset not listed").alias("problem"))
 
     actual = describe_snapshot(spark, run_dir).select(
         "file_name", F.col("record_count").alias("found_count"),
         F.col("file_size_bytes").alias("found_size"), F.col("sha256").alias("found_sha256"))
     wrong_name = F.coalesce(_dataset_of(F.col("file_name")), F.lit("")) != F.col("dataset")
     problem = (
-        F.when(wrong_name, "Raw-data manifest file mismatch.")
-        .when(F.col("found_size").isNull(), "Raw-data file is missing.")
-        .when(~F.col("found_size").eqNullSafe(F.col("file_size_bytes")),
-              "Raw-data file size does not match manifest.")
-        .when(~F.col("found_sha256").eqNullSafe(F.col("sha256")),
-              "Raw-data file hash does not match manifest."))
+        F.when(wrong_name, "listed under another dataset")
+        .when(F.col("found_size").isNull(), "file absent")
+        .when(~F.col("found_size").eqNullSafe(F.col("file_size_bytes")), "size differs")
+        .when(~F.col("found_sha256").eqNullSafe(F.col("sha256")), "content differs"))
     if counts:
         problem = problem.when(~F.col("found_count").eqNullSafe(F.col("record_count")),
-                               "Raw-data record count does not match manifest.")
+                               "record count differs")
     compared = (
         listed.join(actual, "file_name", "left")
         .select("dataset", "file_name", problem.alias("problem"))
@@ -102,12 +100,25 @@ def snapshot_problems(spark: SparkSession, run_dir: str, run_id: str,
     return notes.unionByName(absent).unionByName(compared)
 
 
-def require_no_problems(problems: DataFrame, what: str) -> None:
-    """Raise with the first few problems; the check itself runs on the cluster."""
-    first = problems.limit(5).collect()
-    if first:
-        text = "; ".join(" ".join(str(v) for v in row if v is not None) for row in first)
-        raise ValueError(f"{what}: {text}")
+def require_no_problems(problems: DataFrame, what: str, folder: str,
+                        error: type[Exception] = ValueError) -> None:
+    """Raise when there are problems, after writing all of them below ``folder``/_problems.
+
+    The error names the table, the number of problems and a few of them.
+    """
+    if problems.isEmpty():
+        return
+    spark = problems.sparkSession
+    path = f"{folder.rstrip('/')}/_problems/{uuid.uuid4().hex}"
+    problems.write.json(path)
+    stored = spark.read.schema(problems.schema).json(path)
+    shown = "; ".join(" ".join(str(v) for v in row if v is not None) for row in stored.take(3))
+    raise error(f"{what}: {stored.count()} problems, listed in {path}, such as {shown}")
+
+
+def _require_same(spark: SparkSession, root: str, target: str, run_id: str, seed: int | None) -> None:
+    require_no_problems(snapshot_problems(spark, target, run_id, seed, counts=True),
+                        f"Existing snapshot {target}", root)
 
 
 def create_snapshot(spark: SparkSession, root: str, run_id: str, lines: dict[str, DataFrame],
@@ -121,7 +132,7 @@ def create_snapshot(spark: SparkSession, root: str, run_id: str, lines: dict[str
     storage = Storage(spark)
     target = f"{root.rstrip('/')}/{run_id}"
     if storage.exists(target):
-        require_no_problems(snapshot_problems(spark, target, run_id, seed, counts=True), target)
+        _require_same(spark, root, target, run_id, seed)
         return target, True
     draft = f"{root.rstrip('/')}/.{run_id}.{uuid.uuid4().hex}.tmp"
     storage.make_dirs(draft)
@@ -141,6 +152,6 @@ def create_snapshot(spark: SparkSession, root: str, run_id: str, lines: dict[str
     if not storage.rename(draft, target):
         # Another writer finished first: its snapshot must be the same one.
         storage.delete(draft)
-        require_no_problems(snapshot_problems(spark, target, run_id, seed, counts=True), target)
+        _require_same(spark, root, target, run_id, seed)
         return target, True
     return target, False

@@ -5,25 +5,35 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.functions.identifiers import plain_uri
+from paylens.workspace import Storage, small_rows
 
 CHUNK = 8 * 1024 * 1024
 
 
-def open_filesystem(uri: str):
-    """(filesystem, path) of a Hadoop-style URI for use inside a task."""
+def open_filesystem(uri: str, known: dict[str, object] | None = None):
+    """(filesystem, path) of a Hadoop-style URI for use inside a task.
+
+    ``known`` keeps one filesystem per scheme and host for the task.
+    """
     from pyarrow import fs
 
+    known = {} if known is None else known
     scheme, _, rest = uri.partition(":")
     if scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+        return known.setdefault(scheme, fs.LocalFileSystem()), "/" + rest.lstrip("/")
     if scheme in ("s3a", "s3n"):
         uri = "s3:" + rest
-    return fs.FileSystem.from_uri(uri)
+    place = "/".join(uri.split("/", 3)[:3])
+    if place not in known:
+        known[place], path = fs.FileSystem.from_uri(uri)
+        return known[place], path
+    return known[place], fs.FileSystem.from_uri(uri)[1]
 
 
 def chunks(stream) -> Iterator[bytes]:
@@ -31,17 +41,40 @@ def chunks(stream) -> Iterator[bytes]:
         yield block
 
 
-def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+class RecordCounter:
+    """Counts lines with something else than blanks, block by block."""
+
+    def __init__(self):
+        self.count, self._inside = 0, False
+
+    def update(self, block: bytes) -> None:
+        raw = np.frombuffer(block, np.uint8)
+        said, ends = ~_SPACE[raw], (raw == 10) | (raw == 13)
+        said = said[said | ends]  # True for a sign, False for a line's end
+        if len(said):
+            self.count += int(np.count_nonzero(said[1:] & ~said[:-1])) + int(said[0] and not self._inside)
+            self._inside = bool(said[-1])
+
+
+def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hash and record count of each file, from one pass over its bytes."""
+    known: dict[str, object] = {}
     for batch in batches:
-        digests = []
+        digests, counts = [], []
         for uri in batch["path"]:
-            filesystem, path = open_filesystem(uri)
-            digest = hashlib.sha256()
+            filesystem, path = open_filesystem(uri, known)
+            digest, records = hashlib.sha256(), RecordCounter()
             with filesystem.open_input_stream(path) as stream:
                 for block in chunks(stream):
                     digest.update(block)
+                    records.update(block)
             digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
+            counts.append(records.count)
+        yield batch.assign(sha256=digests, record_count=counts)
 
 
 def list_files(spark: SparkSession, root: str, name_filter: str = "*") -> DataFrame:
@@ -61,14 +94,40 @@ def list_files(spark: SparkSession, root: str, name_filter: str = "*") -> DataFr
     )
 
 
+def every_file(spark: SparkSession, root: str) -> DataFrame:
+    """relative_key, path, size of all files below ``root``, also those with hidden names.
+
+    The driver lists the top level only; tasks walk one sub-folder each.
+    """
+    storage = Storage(spark)
+    top = storage.qualified(root).rstrip("/")
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for uri in batch["uri"]:
+                filesystem, path = open_filesystem(uri)
+                info = filesystem.get_file_info(path)
+                found = [info] if info.is_file else [
+                    f for f in filesystem.get_file_info(fs.FileSelector(path, recursive=True)) if f.is_file]
+                keys = [uri[len(top) + 1:] + f.path[len(path):] for f in found]
+                yield pd.DataFrame({"relative_key": keys, "path": [f"{top}/{k}" for k in keys],
+                                    "size": [f.size for f in found]})
+
+    folders = small_rows(spark, [(u,) for u in storage.children(root)], "uri string")
+    return folders.repartition(max(len(storage.children(root)), 1)).mapInPandas(
+        walk, "relative_key string, path string, size bigint")
+
+
 def with_sha256(files: DataFrame) -> DataFrame:
-    """Hash each file in one task, chunk by chunk, so file size is not limited.
+    """Hash and record count of each file, chunk by chunk, so file size is not limited.
 
     Round-robin spreading keeps large files from queueing in one task.
     """
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in files.schema)
     spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism * 4)
-    return spread.mapInPandas(_hash_batches, f"{schema}, sha256 string")
+    return spread.mapInPandas(_described, f"{schema}, sha256 string, record_count bigint")
 
 
 def count_records(spark: SparkSession, root: str, name_filter: str = "*") -> DataFrame:
@@ -84,14 +143,8 @@ def count_records(spark: SparkSession, root: str, name_filter: str = "*") -> Dat
 
 def describe_files(spark: SparkSession, root: str, name_filter: str = "*") -> DataFrame:
     """relative_key, size, sha256, record_count (0 for an empty file)."""
-    hashed = with_sha256(list_files(spark, root, name_filter))
-    counts = count_records(spark, root, name_filter).select(
-        plain_key(F.col("path")).alias("_key"), "record_count")
-    return (
-        hashed.join(counts, plain_key(F.col("path")) == F.col("_key"), "left")
-        .select("relative_key", "size", "sha256",
-                F.coalesce("record_count", F.lit(0)).alias("record_count"))
-    )
+    return with_sha256(list_files(spark, root, name_filter)).select(
+        "relative_key", "size", "sha256", "record_count")
 
 
 def plain_key(path):

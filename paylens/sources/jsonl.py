@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paylens.workspace import settle
+
 NOT_JSON = "Line is not valid JSON."
 NOT_OBJECT = "JSON line must contain an object."
 
-# A split's offset row is well under 300 bytes, so this many stay below 30 MB.
-MAX_BROADCAST_SPLITS = 100_000
-
-
 def with_records(lines: DataFrame) -> DataFrame:
     """Add ``record`` (VARIANT, NULL when malformed) and ``problem`` to ``line`` rows.
 
@@ -34,28 +32,41 @@ def with_records(lines: DataFrame) -> DataFrame:
         .select(*lines.columns, "record", "problem"))
 
 
-def _text_rows(spark: SparkSession, path: str, name_filter: str | None) -> DataFrame:
+def _text_reader(spark: SparkSession, name_filter: str | None):
     reader = spark.read.option("recursiveFileLookup", "true")
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
-    # The id is taken directly above the scan, so both passes below see the
-    # same split plan: ids rise with the position inside each split.
-    return reader.text(path).select(
+    return reader.option("pathGlobFilter", name_filter) if name_filter else reader
+
+
+def plain_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
+    """source_file, line of non-blank lines, without numbers: one scan, nothing stored."""
+    return _text_reader(spark, name_filter).text(path).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"),
+    ).filter(F.col("line").rlike(r"\S"))
+
+
+def placed_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
+    """All lines, blank ones too, with their split and their place in it; written once.
+
+    Whatever is computed from this table sees the same splits, however later
+    scans of the files would cut them.
+    """
+    # The id is taken directly above the scan: it rises with the position in a split.
+    return settle(_text_reader(spark, name_filter).text(path).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("row_id"),
-        F.col("value").alias("line"),
-    )
+        F.col("value").alias("line")), "lines")
 
 
-def read_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
-    """Non-blank lines with their 1-based number inside the file.
+def numbered(placed: DataFrame) -> DataFrame:
+    """``placed_lines`` with the 1-based number of each line inside its file.
 
-    Files stay splittable: a first pass counts lines per split (no text leaves
-    the scan), the running count per file gives each split its first number.
+    The running line count per file gives each split its first number.  Splits
+    and lines come from one written table; a line without a split is an error.
+    The split table is small next to the text, so Spark broadcasts it as long
+    as its size allows.
     """
-    rows = _text_rows(spark, path, name_filter)
-    per_split = rows.groupBy("source_file", "split_start").agg(
+    per_split = placed.groupBy("source_file", "split_start").agg(
         F.min("row_id").alias("first_id"), F.count("*").alias("lines"))
     earlier = (
         Window.partitionBy("source_file").orderBy("split_start")
@@ -63,18 +74,15 @@ def read_lines(spark: SparkSession, path: str, name_filter: str | None = None) -
     starts = per_split.select(
         "source_file", "split_start", "first_id",
         F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("lines_before"))
-    # Every split beyond a file's first fills a scan partition of its own.
-    if len(rows.inputFiles()) + rows.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
-        starts = F.broadcast(starts)
-    return (
-        rows.join(starts, ["source_file", "split_start"])
-        .select(
-            "source_file",
-            (F.col("row_id") - F.col("first_id") + F.col("lines_before") + 1)
-            .alias("line_number"),
-            "line")
-        .filter(F.col("line").rlike(r"\S"))
-    )
+    number = F.col("row_id") - F.col("first_id") + F.col("lines_before") + 1
+    lost = F.raise_error(F.concat(F.lit("No line count for a split of "), F.col("source_file")))
+    return placed.join(starts, ["source_file", "split_start"], "left").select(
+        "source_file", F.coalesce(number, lost.cast("bigint")).alias("line_number"), "line")
+
+
+def read_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
+    """Non-blank lines with their 1-based number inside the file; files stay splittable."""
+    return numbered(placed_lines(spark, path, name_filter)).filter(F.col("line").rlike(r"\S"))
 
 
 def read_json_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:

@@ -15,9 +15,9 @@ RAW_SCHEMA = ("raw_record variant, pipeline_run_id string, source_file string, "
 
 def strict_records(parsed: DataFrame, what: str) -> DataFrame:
     """Stop the job at the first malformed line instead of keeping it."""
+    place = [F.lit(" line "), F.col("line_number").cast("string")] if "line_number" in parsed.columns else []
     complaint = F.concat(
-        F.lit(f"{what}: "), F.col("problem"), F.lit(" ("), F.col("source_file"),
-        F.lit(" line "), F.col("line_number").cast("string"), F.lit(")"))
+        F.lit(f"{what}: "), F.col("problem"), F.lit(" ("), F.col("source_file"), *place, F.lit(")"))
     return parsed.withColumn(
         "record", F.when(F.col("problem").isNull(), F.col("record"))
         .otherwise(F.raise_error(complaint).cast("variant")))

@@ -9,42 +9,55 @@ from pyspark.sql.streaming import StreamingQuery
 from paylens.sources.jsonl import with_records
 
 
-def read_new_records(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Streaming (raw_record, loaded_at) rows of files appearing below ``folder``.
+def read_new_records(spark: SparkSession, folder: str, files_per_trigger: int = 1000,
+                     name_filter: str = "*.json") -> DataFrame:
+    """Streaming rows of files appearing below ``folder``: raw_record, loaded_at, and for a
+    malformed line instead of a record its text and problem.
 
-    Blank lines are skipped; a malformed line stops the query.  The file limit
-    bounds one micro-batch after a backlog, the rest follows in the next ones.
+    Blank lines are skipped.  The file limit bounds one micro-batch after a
+    backlog, the rest follows in the next ones.
     """
     lines = (
-        spark.readStream.option("pathGlobFilter", "*.json")
+        spark.readStream.option("pathGlobFilter", name_filter)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
         .text(folder)
         .select(F.col("value").alias("line"))
         .filter(F.col("line").rlike(r"\S")))
-    complaint = F.concat(F.col("problem"), F.lit(" "), F.col("line"))
     return with_records(lines).select(
-        F.when(F.col("problem").isNull(), F.col("record"))
-        .otherwise(F.raise_error(complaint).cast("variant")).alias("raw_record"),
-        F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"))
+        F.col("record").alias("raw_record"),
+        F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
+        F.when(F.col("problem").isNotNull(), F.col("line")).alias("bad_line"), "problem")
 
 
 def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str,
-           continuous: str | None = None) -> StreamingQuery:
-    """Append new records to the Parquet ``table``.
+           continuous: str | None = None, files_per_trigger: int = 1000,
+           name_filter: str = "*.json") -> StreamingQuery:
+    """Append new records, and malformed lines as such, to the Parquet ``table``.
 
-    The checkpoint remembers ingested files, and the sink's log makes each
+    One bad line neither stops the query nor gets lost: ``records`` and
+    ``quarantined`` read the two kinds.  The checkpoint remembers ingested files, and the sink's log makes each
     micro-batch count once.  Without ``continuous`` (a processing interval such
     as "1 minute") everything present is ingested and the query ends.
     """
     writer = (
-        read_new_records(spark, folder).writeStream.format("parquet")
+        read_new_records(spark, folder, files_per_trigger, name_filter).writeStream.format("parquet")
         .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(processingTime=continuous) if continuous \
         else writer.trigger(availableNow=True)
     return writer.start(table)
 
 
+def records(spark: SparkSession, table: str) -> DataFrame:
+    """The ingested records."""
+    return spark.read.parquet(table).filter("problem is null").select("raw_record", "loaded_at")
+
+
+def quarantined(spark: SparkSession, table: str) -> DataFrame:
+    """The lines that were no JSON objects, with the reason."""
+    return spark.read.parquet(table).filter("problem is not null").select("bad_line", "problem", "loaded_at")
+
+
 def loaded_rows(table: DataFrame) -> DataFrame:
     return table.agg(F.count("*").alias("loaded_rows"))
 

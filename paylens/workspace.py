@@ -5,9 +5,12 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Folders handed out inside the innermost scope, to be deleted at its end.
+_TAKEN: ContextVar[list[str] | None] = ContextVar("taken", default=None)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
@@ -64,7 +71,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
-    return f"{base.rstrip('/')}/paylens/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/paylens/{label}-{uuid.uuid4().hex}"
+    taken = _TAKEN.get()
+    if taken is not None:
+        taken.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete every scratch folder taken inside, whether the work succeeds or not."""
+    taken: list[str] = []
+    token = _TAKEN.set(taken)
+    try:
+        yield
+    finally:
+        _TAKEN.reset(token)
+        for path in taken:
+            Storage(spark).delete(path)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -83,7 +107,7 @@ def together(jobs: dict[str, Callable[[], object]]) -> dict:
     All run to their end; the first failure in the given order is then raised.
     """
     with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
+        running = {name: pool.submit(copy_context().run, job) for name, job in jobs.items()}
     return {name: future.result() for name, future in running.items()}
 
 
@@ -136,19 +160,36 @@ class Storage:
 
     def replace(self, source: str, target: str) -> None:
         """Rename over an existing target in one step."""
-        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        self._move(source, target, self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE)
+
+    def _move(self, source: str, target: str, *chosen) -> None:
         options = self._jvm.java.lang.reflect.Array.newInstance(
-            self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
-        options[0] = rename.OVERWRITE
+            self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), len(chosen))
+        for i, option in enumerate(chosen):
+            options[i] = option
         source = self.qualified(source)
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             self._path(source).toUri(), self._conf)
         context.rename(self._path(source), self._path(self.qualified(target)), options)
 
     def rename(self, source: str, target: str) -> bool:
-        """Plain directory rename; False when the target already exists."""
-        fs = self._fs(source)
-        return not self.exists(target) and fs.rename(self._path(source), self._path(target))
+        """Directory rename in one step; False when something is at the target already.
+
+        The filesystem itself refuses an existing target, so of two writers
+        exactly one succeeds.
+        """
+        try:
+            self._move(source, target)
+        except Py4JJavaError as error:
+            kind = error.java_exception.getClass().getSimpleName()
+            if kind == "FileAlreadyExistsException" or self.exists(target):
+                return False
+            raise
+        return True
+
+    def children(self, path: str) -> list[str]:
+        """Full paths of what lies directly below ``path`` (hidden names too)."""
+        return [s.getPath().toString() for s in self._fs(path).listStatus(self._path(path))]
 
     def make_dirs(self, path: str) -> None:
         self._fs(path).mkdirs(self._path(path))

@@ -62,18 +62,18 @@ def test_snapshot_is_written_once_and_verified(spark, tmp_path):
     folder, existed = create_snapshot(spark, str(tmp_path), RUN_ID, lines, seed=1)
     assert not existed
     assert create_snapshot(spark, str(tmp_path), RUN_ID, lines, seed=1) == (folder, True)
-    with pytest.raises(ValueError, match="another seed"):
+    with pytest.raises(ValueError, match="1 problems, listed in .*another seed"):
         create_snapshot(spark, str(tmp_path), RUN_ID, lines, seed=2)
-    assert [p.name for p in tmp_path.iterdir()] == [RUN_ID]
+    assert sorted(p.name for p in tmp_path.iterdir()) == [RUN_ID, "_problems"]
 
     part = next((tmp_path / RUN_ID / "customers.json").glob("part-*"))
     content = part.read_text()
     rewrite(part, content.replace("Active", "Closed"))
-    assert "hash does not match" in texts(snapshot_problems(spark, folder, RUN_ID))[0]
+    assert "content differs" in texts(snapshot_problems(spark, folder, RUN_ID))[0]
     part.write_text(content + "\n\n")
-    assert "size does not match" in texts(snapshot_problems(spark, folder, RUN_ID))[0]
+    assert "size differs" in texts(snapshot_problems(spark, folder, RUN_ID))[0]
     part.unlink()
-    assert "missing" in texts(snapshot_problems(spark, folder, RUN_ID))[0]
+    assert "file absent" in texts(snapshot_problems(spark, folder, RUN_ID))[0]
 
 
 def test_plain_manifest_with_one_file_per_dataset(spark, tmp_path):
@@ -90,9 +90,8 @@ def test_plain_manifest_with_one_file_per_dataset(spark, tmp_path):
     del files["disputes"]
     (tmp_path / "raw_manifest.json").write_text(json.dumps(manifest))
     assert texts(snapshot_problems(spark, str(tmp_path), "other", 3, counts=True)) == [
-        "Raw manifest run ID does not match requested run ID.",
-        "customers customers.json Raw-data record count does not match manifest.",
-        "disputes Raw-data manifest is missing dataset."]
+        "customers customers.json record count differs", "disputes dataset not listed",
+        "manifest belongs to another run"]
 
 
 # ------------------------------------------------------------------- outcomes
@@ -167,19 +166,19 @@ def test_manifest_checks(spark, run_dir):
 
     edit_manifest(run_dir, change)
     found = " | ".join(texts(partition_problems(spark, str(run_dir), RUN_ID)))
-    for part in ("run_id does not match", "missing chargeback_outcomes", "unexpected extra",
-                 "dataset_count does not match", "customers has records missing partition dates",
-                 "transactions partitioned 3 of 4", "transactions partition files do not contain",
-                 "fraud_signals partition_count does not match", "total row count does not match"):
+    for part in ("another run", "chargeback_outcomes is not in the manifest", "extra is unknown",
+                 "another number of datasets", "customers has records without a date",
+                 "transactions partitioned 3 of 4", "transactions another number of records than promised",
+                 "fraud_signals another number of files than promised", "total differs from the sum"):
         assert part in found, part
 
 
 def test_missing_extra_and_unsafe_files(spark, run_dir):
     data = next((run_dir / "raw" / "customers").rglob("*.json"))
     (data.parent / "extra.json").write_text("{}\n")
-    assert texts(publish_problems(spark, str(run_dir), RUN_ID))[0].endswith("not in the manifest.")
+    assert texts(publish_problems(spark, str(run_dir), RUN_ID))[0].endswith("file not listed")
     data.unlink()
-    assert any("not found" in t for t in texts(partition_problems(spark, str(run_dir), RUN_ID)))
+    assert any("listed file absent" in t for t in texts(partition_problems(spark, str(run_dir), RUN_ID)))
 
     def inline(m):
         del m["files_table"]
@@ -189,7 +188,7 @@ def test_missing_extra_and_unsafe_files(spark, run_dir):
     edit_manifest(run_dir, inline)
     assert read_partition_manifest(spark, str(run_dir))[1].count() == 10
     found = texts(partition_problems(spark, str(run_dir), RUN_ID))
-    assert sum("Invalid output path" in t for t in found) == 10
+    assert sum("unsafe path" in t for t in found) == 10
 
 
 # ---------------------------------------------------------------- publication
@@ -219,12 +218,18 @@ def test_publish_states(spark, run_dir, tmp_path):
         publish(execute=True)
     assert publish(execute=True, allow_overwrite=True) == "UPLOADED"
     assert not (folder / "stray.json").exists()
+    for hidden in ("_stray.json", "customers/.stray.json"):
+        (folder / hidden).write_text("{}")
+        with pytest.raises(PublishConflict, match="stray.json unexpected"):
+            publish(execute=True)
+        (folder / hidden).unlink()
+    assert publish(execute=True) == "SKIPPED"
 
     (folder / "_SUCCESS.json").unlink()
-    with pytest.raises(PublishConflict, match="without a success marker"):
+    with pytest.raises(PublishConflict, match="holds a partial batch"):
         publish(execute=True)
     rewrite(folder / "_SUCCESS.json", json.dumps(marker | {"inventory_sha256": "other"}))
-    with pytest.raises(PublishConflict, match="conflicting completed batch"):
+    with pytest.raises(PublishConflict, match="holds a foreign batch"):
         publish(execute=True)
     assert str(folder) == run_folder(str(target), "/raw/", RUN_ID)
 
@@ -306,3 +311,84 @@ def test_failing_stage_stops_the_batch_and_is_audited(spark, tmp_path):
     assert not (tmp_path / "partitioned").exists()
     with pytest.raises(ValueError, match="run ID must match"):
         run_batch(spark, str(tmp_path), "not-a-run")
+
+
+def test_all_problems_are_listed(spark, run_dir, tmp_path):
+    from paylens.sinks.snapshots import require_no_problems
+
+    many = spark.range(40).selectExpr("concat('file', id) as file_name", "'size differs' as problem")
+    with pytest.raises(ValueError, match="40 problems, listed in") as raised:
+        require_no_problems(many, "check", str(tmp_path))
+    path = str(raised.value).split("listed in ")[1].split(",")[0]
+    assert spark.read.json(path).count() == 40
+    require_no_problems(many.limit(0), "check", str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()
+
+
+def test_what_a_dead_copy_leaves_is_not_published(spark, run_dir, tmp_path):
+    target = tmp_path / "bucket"
+    drafts = target / "raw" / "_drafts" / f"run_id={RUN_ID}"
+    drafts.mkdir(parents=True)
+    (drafts / "0123").write_text("half a file")
+    assert publish_run(spark, str(run_dir), str(target), RUN_ID, execute=True) == "UPLOADED"
+    assert not drafts.exists()
+
+
+def test_one_of_two_snapshot_writers_wins(spark, tmp_path):
+    from paylens.workspace import Storage
+
+    storage = Storage(spark)
+    for name in ("a", "b"):
+        (tmp_path / name / "sub").mkdir(parents=True)
+    target = str(tmp_path / "t")
+    assert storage.rename(str(tmp_path / "a"), target) is True
+    assert storage.rename(str(tmp_path / "b"), target) is False
+    assert not (tmp_path / "t" / "b").exists() and (tmp_path / "b").exists()
+
+
+def test_only_the_live_and_the_last_version_stay(spark, tmp_path):
+    from paylens.sinks.promotion import promote, write_raw_version
+
+    raw = {n: with_lineage_columns(spark.sql("select parse_json('{}') as raw_record")) for n in DATASETS}
+    versions = []
+    for _ in range(3):
+        versions.append(write_raw_version(spark, str(tmp_path), "v", raw))
+        promote(spark, str(tmp_path), versions[-1])
+    assert {p.name for p in (tmp_path / "raw" / "versions").iterdir()} == set(versions[1:])
+
+
+def test_records_are_counted_as_spark_reads_them(tmp_path, spark):
+    from paylens.sources.files import RecordCounter, count_records
+
+    texts = [b"", b"\n", b"a", b"a\n\n b \r\n \t\nc\rd", b"\n\n x", "é\n\u00a0\n".encode()]
+    for i, text in enumerate(texts):
+        (tmp_path / f"f{i}.json").write_bytes(text)
+    want = {r.path.rsplit("/", 1)[1]: r.record_count for r in count_records(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        for size in (1, 3, 100):
+            counter = RecordCounter()
+            for at in range(0, len(text), size):
+                counter.update(text[at:at + size])
+            assert counter.count == want.get(f"f{i}.json", 0), (text, size)
+
+
+def test_batch_leaves_no_scratch(spark, tmp_path):
+    from pathlib import Path
+    from paylens.workspace import scratch_dir
+
+    top = Path(scratch_dir(spark, "x").removeprefix("file:")).parent
+    before = set(top.iterdir()) if top.exists() else set()
+    run_batch(spark, str(tmp_path), RUN_ID, as_lines(spark, clean_run()))
+    assert set(top.iterdir()) == before
+
+
+def test_wider_ids_need_the_wider_contract(spark, parsed):
+    from paylens.contracts import widened
+
+    rows = [chargeback(12345678, 23456789)]
+    narrow = validate_lines(parsed(rows), DATASETS["chargeback_outcomes"], None)
+    assert {r.rule for r in narrow.failures.collect()} == {"pattern"}
+    wide = validate_lines(parsed(rows), widened(DATASETS["chargeback_outcomes"]), None)
+    assert wide.failures.count() == 0 and wide.valid_rows.count() == 1
+    short = validate_lines(parsed([chargeback(1, 1, chargeback_id="CBK_1")]), widened(DATASETS["chargeback_outcomes"]), None)
+    assert {r.rule for r in short.failures.collect()} == {"pattern"}

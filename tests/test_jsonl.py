@@ -1,7 +1,8 @@
 import json
 import random
 
-from paylens.sources.jsonl import NOT_JSON, NOT_OBJECT, read_json_lines, read_lines
+from paylens.sources.jsonl import (
+    NOT_JSON, NOT_OBJECT, numbered, placed_lines, read_json_lines, read_lines)
 
 
 def test_line_numbers_over_many_splits(spark, tmp_path):
@@ -26,6 +27,20 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
     assert got == expected
 
 
+def test_split_size_may_change_after_the_scan(spark, tmp_path):
+    lines = [f"line {i} " + "y" * (i % 50) for i in range(1, 4001)]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    name, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set(name, "30000")
+        placed = placed_lines(spark, str(tmp_path))
+        spark.conf.set(name, "7000")
+        got = {r["line_number"]: r["line"] for r in numbered(placed).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert got == dict(enumerate(lines, 1))
+
+
 def test_malformed_lines_are_all_kept(spark, tmp_path):
     cases = [
         ('{"a": 1}', None), ('{"a": {"b": "}"}}', None), ("   ", "blank"), ('{"a": ', NOT_JSON),

@@ -1,10 +1,8 @@
 import json
 
-import pytest
 from conftest import transaction
-from pyspark.errors import StreamingQueryException
 
-from paylens.streaming.ingest import ingest, latest_records, loaded_rows
+from paylens.streaming.ingest import ingest, latest_records, loaded_rows, quarantined, records
 
 
 def test_each_file_is_ingested_once_across_restarts(spark, tmp_path):
@@ -13,7 +11,7 @@ def test_each_file_is_ingested_once_across_restarts(spark, tmp_path):
 
     def run():
         ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
-        return spark.read.parquet(str(tmp_path / "t"))
+        return records(spark, str(tmp_path / "t"))
 
     (folder / "a.json").write_text("\n\n".join(json.dumps(transaction(n)) for n in (1, 2)))
     (folder / "ignored.csv").write_text("x")
@@ -25,6 +23,7 @@ def test_each_file_is_ingested_once_across_restarts(spark, tmp_path):
     assert latest_records(table, limit=1).first()["transaction_id"] == "TXN_00000003"
 
     (folder / "c.json").write_text("{broken\n")
-    with pytest.raises(StreamingQueryException):
-        run()
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    (folder / "d.json").write_text(json.dumps(transaction(4)) + "\n")
+    assert loaded_rows(run()).first()[0] == 4
+    assert [(r.bad_line, r.problem) for r in quarantined(spark, str(tmp_path / "t")).collect()] == [
+        ("{broken", "Line is not valid JSON.")]
