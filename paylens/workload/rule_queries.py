@@ -198,7 +198,7 @@ def rule_late_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- verdicts
 
-def _report_sql(columns: str) -> str:
+def report_sql(columns: str) -> str:
     parts = []
     for n in DATASETS:
         parts.append(f"""select '{n}' as dataset, count(*) as total_records,
@@ -211,7 +211,7 @@ def _report_sql(columns: str) -> str:
   from ({" union all ".join(parts)}))""")
 
 
-_ACTION = """case batch_status when 'FAILED' then 'BLOCK_S3_UPLOAD'
+ACTION = """case batch_status when 'FAILED' then 'BLOCK_S3_UPLOAD'
   when 'PASSED_WITH_QUARANTINE' then 'UPLOAD_VALID_RECORDS_ONLY' else 'UPLOAD_ALL_RECORDS' end"""
 
 
@@ -219,18 +219,18 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suite_reports(checked_intake(spark, sf_dir))
 
 
-@query("batch_status", _report_sql(f"dataset, batch_status, {_ACTION} as pipeline_action"))
+@query("batch_status", report_sql(f"dataset, batch_status, {ACTION} as pipeline_action"))
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(spark, sf_dir).select("dataset", "batch_status", "pipeline_action")
 
 
-@query("overall_status", _report_sql(
+@query("overall_status", report_sql(
     "case when count(*) filter (where batch_status = 'FAILED') > 0 then 'FAILED' else 'PASSED' end as overall_status"))
 def overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overall_status(reports(spark, sf_dir))
 
 
-@query("report_counts", _report_sql(
+@query("report_counts", report_sql(
     "dataset, total_records, total_records - invalid_records as valid_records, invalid_records, "
     "warning_count, hard as hard_failures, quarantined as quarantine_failures"))
 def report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,15 +249,15 @@ _SPLIT = """sum(case when batch_status = 'PASSED_WITH_QUARANTINE' then invalid_r
   sum(case when batch_status = 'FAILED' then invalid_records else 0 end)::bigint as rows_rejected"""
 
 
-@query("validation_summary", _report_sql(f"""sum(total_records)::bigint as rows_received,
+@query("validation_summary", report_sql(f"""sum(total_records)::bigint as rows_received,
   sum(total_records - invalid_records)::bigint as rows_valid,
   sum(invalid_records)::bigint as rows_invalid, {_SPLIT}, sum(warning_count)::bigint as warnings"""))
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_summary(reports(spark, sf_dir))
 
 
-@query("validation_summary_by_dataset", _report_sql(f"""dataset, batch_status as status,
-  {_ACTION} as pipeline_action, total_records as rows_received,
+@query("validation_summary_by_dataset", report_sql(f"""dataset, batch_status as status,
+  {ACTION} as pipeline_action, total_records as rows_received,
   total_records - invalid_records as rows_valid, invalid_records as rows_invalid,
   case when batch_status = 'PASSED_WITH_QUARANTINE' then invalid_records else 0 end as rows_quarantined,
   case when batch_status = 'FAILED' then invalid_records else 0 end as rows_rejected,
@@ -281,23 +281,33 @@ def valid_only_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ri_quarantine_split", with_intake("\nunion all ".join(
     f"select '{n}' as dataset, line, schema_n > 0 or dup or ref_n > 0 as quarantined from r_{n}"
-    for n in ("fraud_signals", "chargeback_outcomes"))))
+    for n in DATASETS)))
 def ri_quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = checked_intake(spark, sf_dir)
-    parts = []
-    for n in ("fraud_signals", "chargeback_outcomes"):
-        for rows, flag in ((outcomes[n].valid_rows, False), (outcomes[n].invalid_rows, True)):
-            parts.append(rows.select("dataset", "line", F.lit(flag).alias("quarantined")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    parts = [o.split_rows.select(F.lit(n).alias("dataset"), "line", (~F.col("valid")).alias("quarantined"))
+             for n, o in checked_intake(spark, sf_dir).items()]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 _SCHEMA_KEYWORDS = {"required", "additionalProperties", "type", "enum", "pattern", "minimum",
                     "maximum", "exclusiveMinimum", "format"}
 
 
-@query("order_failures", with_intake(f"""select dataset, record_id, field, rule, severity from (
-{_failure_rows(_SCHEMA_KEYWORDS)}
-union all select 'customers', record_id, 'customer_id', 'unique', 'hard_fail' from u_customers where dup)
-where dataset = 'customers'"""))
+_ORDER_ROWS = f"""{_failure_rows(_SCHEMA_KEYWORDS)}
+union all {" union all ".join(f"select '{n}', record_id, '{d.primary_key}', 'unique', 'hard_fail' from u_{n} where dup"
+                              for n, d in DATASETS.items())}
+union all {_reference_rows()}
+union all {" union all ".join(f"select '{n}', record_id, '{d.event_field}', 'late_arriving_event', 'warn_continue' "
+                              f"from r_{n} where days > 365" for n, d in DATASETS.items())}"""
+
+
+@query("order_failures", with_intake(f"select dataset, record_id, field, rule, severity from ({_ORDER_ROWS})"))
 def order_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_report_order(checked_intake(spark, sf_dir)["customers"].failures).select(*COLUMNS)
+    """Every dataset's failures, each dataset in its report's order."""
+    parts = [in_report_order(o.failures).select(*COLUMNS) for o in checked_intake(spark, sf_dir).values()]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
