@@ -85,7 +85,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
         docs.sparkSession.conf.set(name, value)
     texts = docs.select("doc_id", "text").filter("text is not null")
     ids = trusted.select("doc_id").filter("doc_id is not null").distinct().withColumn("trusted", F.lit(True))
-    flagged = texts.filter("doc_id is not null").join(ids, "doc_id", "left")
+    # A merge join whatever the size, so that the plan measured on a small input
+    # is the plan on a large one; it is the only time that texts move.
+    flagged = texts.filter("doc_id is not null").join(ids.hint("merge"), "doc_id", "left")
     rows = flagged.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted")).unionByName(
         texts.filter("doc_id is null").select("text", F.lit(False).alias("trusted")))
     counts = (rows.mapInArrow(_counted, "bucket bigint, corpus bigint, target bigint")
