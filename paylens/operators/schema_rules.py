@@ -82,7 +82,9 @@ def contract_rules(dataset: Dataset) -> list[Rule]:
 
     An absent field breaks only ``required``: every other predicate is NULL.
     """
-    unknown = f"size(array_except(json_object_keys(line), {_members(dataset)})) > 0"
+    # Names from the parsed record: the line is not read again.
+    names = "map_keys(try_variant_get(record, '$', 'map<string,variant>'))"
+    unknown = f"size(array_except({names}, {_members(dataset)})) > 0"
     rules = [Rule("record", "additionalProperties", unknown, 0, " unexpected)")]
     rules += [Rule("record", "required", f"_kind_{n} is null", -1, f"'{n}' is a required property")
               for n in dataset.field_names]
