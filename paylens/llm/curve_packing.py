@@ -37,7 +37,7 @@ SEQUENCE, END_ID = 4096, 2
 #: Dimensions and bits per dimension of the curve; the key must fit 63 bits.
 DIMENSIONS, BITS = 4, 12
 #: Words whose ids one task remembers; beyond it the memory starts anew.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 900_000
 
 # ASCII letters and marks; the apostrophe is neither, because contractions use it.
 _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
@@ -127,9 +127,19 @@ class WordIds(dict):
         if len(self) + len(unknown) > REMEMBERED_WORDS:
             self.clear()
             unknown = list(words)
-        encoded = self._tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-        for word, result in zip(unknown, encoded):
-            self[word] = array(self.code, result.ids).tobytes()
+        code, merge = self.code, self._tokenizer.model.tokenize
+        others = []
+        for word in unknown:
+            # Neither normalisation nor splitting changes a word of ASCII letters
+            # (in lower case already): the tokenizer's merges are all it needs.
+            if word.isalpha():
+                self[word] = array(code, [token.id for token in merge(word.decode())]).tobytes()
+            else:
+                others.append(word)
+        texts = b" ".join(others).decode().split(" ") if others else []
+        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for word, result in zip(others, encoded):
+            self[word] = array(code, result.ids).tobytes()
 
 
 CODED = "doc_id bigint, curve_key bigint, n_tokens bigint, ids binary"
@@ -219,12 +229,12 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
     follow each other by ``offset``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
-    coded = scratch.settle(docs.select("doc_id", "text").mapInArrow(_coded(tokenizer), CODED), "coded")
+    coded = scratch.settle(docs.select("doc_id", "text").mapInArrow(_coded(tokenizer), CODED), "coded", "zstd")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = scratch.settle(
         coded.repartitionByRange(parts, "curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id")
         .mapInArrow(_placed, "doc_id bigint, n_tokens bigint, ids binary, part bigint, start_in_part bigint"),
-        "ordered")
+        "ordered", "zstd")
     scratch.drop("coded")
     # One row per range partition: a count that the cluster's settings fix, not the data.
     totals = ordered.groupBy("part").agg(F.sum("n_tokens").alias("n"))

@@ -23,9 +23,9 @@ class Scratch:
         for name, value in BATCH_SETTINGS.items():
             spark.conf.set(name, value)
 
-    def settle(self, df: DataFrame, name: str) -> DataFrame:
+    def settle(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self._root}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
