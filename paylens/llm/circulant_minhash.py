@@ -230,8 +230,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     # Equal sets: every member of a class points at its smallest id.
     classes = linkable.groupBy("same").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n"))
+    # Written first, so both sides of the join are shuffled and a hot class can be split.
+    several = scratch.settle(classes.filter("n > 1").select("same", "lead"), "classes")
     copies = scratch.settle(
-        linkable.select("same", "doc_id").join(classes.filter("n > 1"), "same")
+        linkable.select("same", "doc_id").join(several, "same")
         .filter("doc_id != lead").select("lead", F.col("doc_id").alias("id")).distinct(), "copies")
     alone = linkable.join(copies.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
     shown = alone.select(F.col("doc_id").alias("id"), "n_shingles", "marks")
