@@ -45,11 +45,11 @@ from paylens.llm.sampling import about
 SAMPLE_PER_LABEL, SAMPLE_MAX_CHARS = 1500, 32_768
 THRESHOLD = 0.7
 
-WINDOW, STEP = 48, 24
+WINDOW, STEP = 64, 32
 #: Byte thresholds whose window shares are features.
 BYTES = (3, 4, 5)
 GRAM, GRAM_SPACE = 5, 1 << 22
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
+ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048
 #: A gram is toxic at this ratio of document shares and this share of toxic documents.
 RATIO, LEAST_SHARE, LEAST_DOCUMENTS = 8.0, 0.01, 4
 
@@ -221,9 +221,9 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
     windows = [t[i:i + WINDOW] for t in ordinary for i in range(0, max(1, len(t) - WINDOW + 1), WINDOW)]
     windows = windows[:: -(-len(windows) // 60_000)]
     try:
-        base = zstandard.train_dictionary(ORDINARY_BYTES, windows, d=6, k=16).as_bytes()[-6000:]
+        base = zstandard.train_dictionary(ORDINARY_BYTES, windows, d=6, k=16).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: take it as it is
-        base = b"".join(windows)[-6000:]
+        base = b"".join(windows)[-ORDINARY_BYTES:]
     extra = _toxic_content(toxic, ordinary)
     # Equal lengths keep the offsets of the shared content equal.
     model = Model(base + bytes(len(extra)), base + extra, ())
