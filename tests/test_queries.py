@@ -47,3 +47,18 @@ def test_entry_runs(spark):
 def test_scratch_follows_the_session(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert all(spark.conf.get(k) == v for k, v in RUNTIME_SETTINGS.items())
+
+
+@pytest.mark.parametrize("name, keys", [
+    ("order_marts", ("pipeline_run_id", "dispute_opened_date")),
+    ("order_raw_counts", ("table_name", "pipeline_run_id"))])
+def test_ordered_queries_come_in_order(spark, name, keys):
+    rows = [tuple(r[k] for k in keys) for r in entry_points.queries()[name](spark, SF_DIR).collect()]
+    assert len(rows) > 1 and rows == sorted(rows)
+
+
+def test_counts_read_stored_tables(spark):
+    from paylens.workload.model_queries import _counts
+
+    plan = _counts(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("ReadSchema: struct<>") + plan.count("pushedAggregates") >= 11
