@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.scratch import BATCH_SETTINGS
+from paylens.llm.scratch import bounded_batches
 
 SEGMENT_CHARS = 1 << 20
 ASSISTANT = "assistant"
@@ -165,9 +165,7 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
                 rows += [(layout.name, mark, conversation, *turn) for turn in turns_of(record, layout)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
-    for name, value in BATCH_SETTINGS.items():
-        records.sparkSession.conf.set(name, value)
-    return records.select("record").mapInArrow(run, TURNS)
+    return bounded_batches(records).select("record").mapInArrow(run, TURNS)
 
 
 def escape(text: str) -> str:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from paylens.llm.arrays import in_small_batches, text_bytes
+from paylens.llm.scratch import bounded_batches
 
 #: Pieces one task remembers, and the longest piece that is remembered.
 REMEMBERED, REMEMBERED_BYTES = 600_000, 64
@@ -267,7 +268,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             ids = pa.ListArray.from_arrays(
                 pa.array(id_ends), pa.array(np.concatenate([i for i, _ in found])))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), ids, pieces], schema=schema)
-    return docs.select("doc_id", "text").mapInArrow(run, ENCODED)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(run, ENCODED)
 
 
 def digests(encoded: DataFrame, path: str) -> DataFrame:

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from paylens.llm.arrays import in_small_batches, text_bytes
 from paylens.llm.sampling import about
+from paylens.llm.scratch import bounded_batches
 
 #: The labelled sample: expected documents of each label, and the longest text
 #: (characters) that is learnt from.  Scoring has no such bounds.
@@ -269,7 +270,7 @@ def _scored(model: Model | None):
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    return (docs.select("doc_id", "text").mapInArrow(_scored(model), "doc_id bigint, score double")
+    return (bounded_batches(docs).select("doc_id", "text").mapInArrow(_scored(model), "doc_id bigint, score double")
             .select("doc_id", held_out().alias("held_out"), "score",
                     F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted")))
 
@@ -290,4 +291,4 @@ def _ordinary_only(model: Model | None):
 
 def without_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents scored below the threshold, with all their columns."""
-    return docs.mapInArrow(_ordinary_only(model), docs.schema)
+    return bounded_batches(docs).mapInArrow(_ordinary_only(model), docs.schema)

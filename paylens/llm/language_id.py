@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from paylens.llm.arrays import in_small_batches, text_bytes
 from paylens.llm.sampling import about
+from paylens.llm.scratch import bounded_batches
 
 #: Language codes by family.  A code not listed is a family of its own.
 FAMILIES = {
@@ -190,7 +191,7 @@ def train_machine(rows: list[tuple[bytes, bytes, int]]) -> np.ndarray:
 
 def fit(docs: DataFrame) -> Model:
     """Learn from a bounded sample of documents with a language that are not held out."""
-    known = (docs.select("doc_id", "text", "lang")
+    known = (bounded_batches(docs).select("doc_id", "text", "lang")
              .filter("lang is not null and text is not null and doc_id is not null")
              .filter(~held_out()))
     names = sorted(r[0] for r in known.select("lang").distinct().collect())
@@ -233,7 +234,7 @@ def _predicted(model: Model):
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document."""
-    return (docs.select("doc_id", "text")
+    return (bounded_batches(docs).select("doc_id", "text")
             .mapInArrow(_predicted(model), "doc_id bigint, lang_pred string, score double")
             .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
 
@@ -249,4 +250,4 @@ def _accepted(model: Model):
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The documents in a learnt language with a sufficient score, with all their columns."""
-    return docs.mapInArrow(_accepted(model), docs.schema)
+    return bounded_batches(docs).mapInArrow(_accepted(model), docs.schema)

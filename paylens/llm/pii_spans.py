@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from paylens.llm.arrays import in_small_batches
+from paylens.llm.scratch import bounded_batches
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
@@ -193,7 +194,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find(docs: DataFrame) -> DataFrame:
     """Counts per base kind, the digest of the base spans, all spans and their scores."""
-    return docs.select("doc_id", "text").mapInArrow(_found, FOUND)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(_found, FOUND)
 
 
 def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,4 +210,4 @@ def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mask(docs: DataFrame) -> DataFrame:
     """All documents with their spans replaced by ``<KIND>``; ``n_chars`` follows the text."""
-    return docs.mapInArrow(_masked, docs.schema)
+    return bounded_batches(docs).mapInArrow(_masked, docs.schema)

@@ -13,6 +13,13 @@ BATCH_SETTINGS = {
 }
 
 
+def bounded_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, with the session's Arrow batches bounded in rows and bytes."""
+    for name, value in BATCH_SETTINGS.items():
+        rows.sparkSession.conf.set(name, value)
+    return rows
+
+
 class Scratch:
     """Named tables that are written once and read from the shared files, so a
     lost executor costs its tasks only; ``drop`` removes those no longer read."""

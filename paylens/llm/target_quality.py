@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm.arrays import in_small_batches, text_bytes, window_hashes, word_hashes
-from paylens.llm.scratch import BATCH_SETTINGS
+from paylens.llm.scratch import bounded_batches
 
 GRAM, BUCKETS = 4, 1 << 15
 #: Added to every count of both multinomials.
@@ -81,9 +81,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """log(trusted share / corpus share) per bucket; ``trusted`` has a column doc_id."""
-    for name, value in BATCH_SETTINGS.items():
-        docs.sparkSession.conf.set(name, value)
-    texts = docs.select("doc_id", "text").filter("text is not null")
+    texts = bounded_batches(docs).select("doc_id", "text").filter("text is not null")
     ids = trusted.select("doc_id").filter("doc_id is not null").distinct().withColumn("trusted", F.lit(True))
     # A merge join whatever the size, so that the plan measured on a small input
     # is the plan on a large one; it is the only time that texts move.
@@ -162,4 +160,4 @@ JUDGED = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n
 
 def judge(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """Word counts, base rules, score and verdict of every document."""
-    return docs.select("doc_id", "text").mapInArrow(_judged(ratios, threshold), JUDGED)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(_judged(ratios, threshold), JUDGED)
