@@ -7,6 +7,8 @@ shared scratch folder.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,41 +41,51 @@ from paylens.workload.tables import (
     CONTRACTS, LOADED, NOISY, RUN_A, RUN_B, TYPED, clean_lines, for_duckdb, landed, run_sql)
 from paylens.workspace import Storage, scratch_dir, small_rows
 
-_RUNS: dict[tuple[str, str], str] = {}
+_RUNS: dict[tuple[str, str, str], str] = {}
 
 
-def finished_run(spark: SparkSession, sf_dir: str) -> str:
-    """Root folder of run A taken through every stage; shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def each_run(name: str, oracle: Callable[[str], str]):
+    """Register a query of one batch twice: run A as ``name``, run B as ``name``_run_b."""
+    def register(function):
+        for run, suffix in ((RUN_A, ""), (RUN_B, "_run_b")):
+            query(name + suffix, oracle(run))(partial(function, run=run))
+        return function
+    return register
+
+
+def finished_run(spark: SparkSession, sf_dir: str, run: str) -> str:
+    """Root folder of one run taken through every stage; shared by the queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, run)
     if key not in _RUNS or not Storage(spark).exists(f"{_RUNS[key]}/warehouse/raw/CURRENT"):
         root = scratch_dir(spark, "run")
-        run_batch(spark, root, RUN_A, {n: clean_lines(spark, sf_dir, n, RUN_A) for n in DATASETS},
+        run_batch(spark, root, run, {n: clean_lines(spark, sf_dir, n, run) for n in DATASETS},
                   publish_to=f"{root}/published", execute_publish=True, reload_raw=True,
-                  execute_reload=True, run_models=True, as_of=LOADED[RUN_A], contracts=CONTRACTS)
+                  execute_reload=True, run_models=True, as_of=LOADED[run], contracts=CONTRACTS)
         _RUNS[key] = root
     return _RUNS[key]
 
 
-def _partitioned(root: str) -> str:
-    return f"{root}/partitioned/{RUN_A}"
+def _partitioned(root: str, run: str) -> str:
+    return f"{root}/partitioned/{run}"
 
 
-# What run A holds after validation: children of unmatched parents are quarantined.
-_LOADED_BRONZE = ",\n".join(f"all_{n} as ({for_duckdb(TYPED[n])})" for n in DATASETS) + f""",
-br_customers as (select * from all_customers where pipeline_run_id = '{RUN_A}'),
+def _loaded_bronze(run: str) -> str:
+    """What a run holds after validation: children of unmatched parents are quarantined."""
+    return ",\n".join(f"all_{n} as ({for_duckdb(TYPED[n])})" for n in DATASETS) + f""",
+br_customers as (select * from all_customers where pipeline_run_id = '{run}'),
 br_transactions as (select t.* from all_transactions t join br_customers c using (customer_id)
-  where t.pipeline_run_id = '{RUN_A}' and t.account_id = c.account_id),
-br_fraud_signals as (select * from all_fraud_signals where pipeline_run_id = '{RUN_A}'
+  where t.pipeline_run_id = '{run}' and t.account_id = c.account_id),
+br_fraud_signals as (select * from all_fraud_signals where pipeline_run_id = '{run}'
   and transaction_id in (select transaction_id from br_transactions)),
-br_disputes as (select * from all_disputes where pipeline_run_id = '{RUN_A}'
+br_disputes as (select * from all_disputes where pipeline_run_id = '{run}'
   and transaction_id in (select transaction_id from br_transactions)),
-br_chargeback_outcomes as (select * from all_chargeback_outcomes where pipeline_run_id = '{RUN_A}'
+br_chargeback_outcomes as (select * from all_chargeback_outcomes where pipeline_run_id = '{run}'
   and dispute_id in (select dispute_id from br_disputes))"""
 
 
-def with_loaded(sql: str) -> str:
-    """The model CTEs over the rows of run A that pass validation."""
-    return with_models(sql).replace(BRONZE_CTES, _LOADED_BRONZE, 1)
+def with_loaded(sql: str, run: str) -> str:
+    """The model CTEs over the rows of a run that pass validation."""
+    return with_models(sql).replace(BRONZE_CTES, _loaded_bronze(run), 1)
 
 
 def _per_dataset(select: str) -> str:
@@ -83,17 +95,29 @@ def _per_dataset(select: str) -> str:
         for n, d in DATASETS.items())
 
 
-_DELIVERED = with_loaded(_per_dataset(
-    f"select count(*) as record_count from all_{{table}} where pipeline_run_id = '{RUN_A}'"))
-_VALID = with_loaded(_per_dataset("select count(*) as valid_records from br_{table}"))
-_MONTHS = with_loaded(_per_dataset("""select cast(year({event}) as varchar) as year,
+def _delivered(run: str) -> str:
+    return with_loaded(_per_dataset(
+        f"select count(*) as record_count from all_{{table}} where pipeline_run_id = '{run}'"), run)
+
+
+def _valid(run: str) -> str:
+    return with_loaded(_per_dataset("select count(*) as valid_records from br_{table}"), run)
+
+
+def _months(run: str) -> str:
+    return with_loaded(_per_dataset("""select cast(year({event}) as varchar) as year,
   lpad(cast(month({event}) as varchar), 2, '0') as month, count(*) as record_count,
-  min({key}) as first_id, max({key}) as last_id from br_{table} group by 1, 2"""))
+  min({key}) as first_id, max({key}) as last_id from br_{table} group by 1, 2"""), run)
+
+
 _LOADED_TOTAL = "(select sum(n) from (" + " union all ".join(
     f"select count(*) as n from br_{n}" for n in DATASETS) + "))::bigint"
-_DELIVERED_TOTAL = "(select sum(n) from (" + " union all ".join(
-    f"select count(*) as n from all_{n} where pipeline_run_id = '{RUN_A}'" for n in DATASETS) \
-    + "))::bigint"
+
+
+def _delivered_total(run: str) -> str:
+    return "(select sum(n) from (" + " union all ".join(
+        f"select count(*) as n from all_{n} where pipeline_run_id = '{run}'" for n in DATASETS) \
+        + "))::bigint"
 
 
 # --------------------------------------------------------------------- scans
@@ -151,15 +175,15 @@ def rule_valid_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rule", "severity", "message", "failures")
 
 
-@query("raw_land", with_loaded(_per_dataset(f"""select pipeline_run_id,
+@each_run("raw_land", lambda run: with_loaded(_per_dataset(f"""select pipeline_run_id,
   cast(year({{event}}) as varchar) as year, count(*) as row_count, 0 as bad_numbers,
-  min({{key}}) as first_id, max({{key}}) as last_id, '{LOADED[RUN_A]}' as loaded_at
-  from br_{{table}} group by 1, 2""")))
-def raw_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+  min({{key}}) as first_id, max({{key}}) as last_id, '{LOADED[run]}' as loaded_at
+  from br_{{table}} group by 1, 2"""), run))
+def raw_land(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     """Rows per landed folder; bad_numbers counts files whose row numbers are not 1..n."""
-    root = finished_run(spark, sf_dir)
+    root = finished_run(spark, sf_dir, run)
     parts = []
-    for name, rows in land_run(spark, f"{root}/published/raw", RUN_A, LOADED[RUN_A]).items():
+    for name, rows in land_run(spark, f"{root}/published/raw", run, LOADED[run]).items():
         own = F.variant_get("raw_record", f"$.{DATASETS[name].primary_key}", "string")
         files = rows.groupBy("source_file", "pipeline_run_id", "loaded_at").agg(
             F.count("*").alias("rows"), F.min(own).alias("first_id"), F.max(own).alias("last_id"), F.max("source_row_number").alias("high"),
@@ -179,10 +203,10 @@ def raw_land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- snapshots
 
-@query("raw_snapshot_write", _DELIVERED)
-def raw_snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = {n: clean_lines(spark, sf_dir, n, RUN_A) for n in DATASETS}
-    folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), RUN_A, lines)
+@each_run("raw_snapshot_write", _delivered)
+def raw_snapshot_write(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    lines = {n: clean_lines(spark, sf_dir, n, run) for n in DATASETS}
+    folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), run, lines)
     _, files = read_raw_manifest(spark, folder)
     return files.groupBy("dataset").agg(F.sum("record_count").alias("record_count"))
 
@@ -193,7 +217,10 @@ def _ranks(select: str) -> str:
 from ({_per_dataset(select)})"""
 
 
-_BY_DELIVERED = _ranks(f"select count(*) as record_count from all_{{table}} where pipeline_run_id = '{RUN_A}'")
+def _by_delivered(run: str) -> str:
+    return _ranks(f"select count(*) as record_count from all_{{table}} where pipeline_run_id = '{run}'")
+
+
 _BY_VALID = _ranks("select count(*) as record_count from br_{table}")
 
 
@@ -211,11 +238,11 @@ def _replace_table(spark: SparkSession, folder: str, changed: DataFrame) -> None
     storage.rename(new, f"{folder}/_manifest_files")
 
 
-def _damaged_snapshot(spark: SparkSession, sf_dir: str) -> str:
+def _damaged_snapshot(spark: SparkSession, sf_dir: str, run: str) -> str:
     """A snapshot whose manifest promises, by rank: other content, other sizes, files that are
     not there, other record counts; the smallest dataset is not listed at all."""
-    lines = {n: clean_lines(spark, sf_dir, n, RUN_A) for n in DATASETS}
-    folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), RUN_A, lines)
+    lines = {n: clean_lines(spark, sf_dir, n, run) for n in DATASETS}
+    folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), run, lines)
     _, files = read_raw_manifest(spark, folder)
     ranks = _ranked(files.groupBy("dataset").agg(F.sum("record_count").alias("record_count")))
     rank = F.col("rank")
@@ -231,20 +258,20 @@ _SNAPSHOT_PROBLEM = """case rank when 1 then 'content differs' when 2 then 'size
   when 3 then 'file absent' when 4 then 'record count differs' else 'dataset not listed' end"""
 
 
-@query("raw_manifest_verify", with_loaded(
-    f"select dataset, {_SNAPSHOT_PROBLEM} as problem from ({_BY_DELIVERED}) where rank <> 4"))
-def raw_manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _damaged_snapshot(spark, sf_dir)
-    return snapshot_problems(spark, folder, RUN_A).select("dataset", "problem").distinct()
+@each_run("raw_manifest_verify", lambda run: with_loaded(
+    f"select dataset, {_SNAPSHOT_PROBLEM} as problem from ({_by_delivered(run)}) where rank <> 4", run))
+def raw_manifest_verify(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    folder = _damaged_snapshot(spark, sf_dir, run)
+    return snapshot_problems(spark, folder, run).select("dataset", "problem").distinct()
 
 
-@query("raw_snapshot_verify", with_loaded(
-    f"select dataset, {_SNAPSHOT_PROBLEM} as problem from ({_BY_DELIVERED}) "
-    "union all select null, 'snapshot was made with another seed'"))
-def raw_snapshot_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+@each_run("raw_snapshot_verify", lambda run: with_loaded(
+    f"select dataset, {_SNAPSHOT_PROBLEM} as problem from ({_by_delivered(run)}) "
+    "union all select null, 'snapshot was made with another seed'", run))
+def raw_snapshot_verify(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     """The strict check before reuse: record counts and the seed count too."""
-    folder = _damaged_snapshot(spark, sf_dir)
-    return snapshot_problems(spark, folder, RUN_A, seed=1, counts=True).select("dataset", "problem").distinct()
+    folder = _damaged_snapshot(spark, sf_dir, run)
+    return snapshot_problems(spark, folder, run, seed=1, counts=True).select("dataset", "problem").distinct()
 
 
 # -------------------------------------------------- validated and quarantined
@@ -311,12 +338,12 @@ def validation_audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report_columns(log)
 
 
-@query("validate_suite", _VALID)
-def validate_suite_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A snapshot of the clean run is written, scanned with line numbers and validated."""
-    lines = {n: clean_lines(spark, sf_dir, n, RUN_A) for n in DATASETS}
-    folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), RUN_A, lines)
-    outcomes = validate_run(spark, RUN_A, folder, contracts=CONTRACTS)
+@each_run("validate_suite", _valid)
+def validate_suite_query(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    """A snapshot of a clean run is written, scanned with line numbers and validated."""
+    lines = {n: clean_lines(spark, sf_dir, n, run) for n in DATASETS}
+    folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), run, lines)
+    outcomes = validate_run(spark, run, folder, contracts=CONTRACTS)
     parts = [o.report.select("dataset", "valid_records") for o in outcomes.values()]
     result = parts[0]
     for part in parts[1:]:
@@ -335,9 +362,9 @@ def _own_key():
     return key
 
 
-@query("partition_write", _MONTHS)
-def partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{_partitioned(finished_run(spark, sf_dir))}/raw"
+@each_run("partition_write", _months)
+def partition_write(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    folder = f"{_partitioned(finished_run(spark, sf_dir, run), run)}/raw"
     text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(folder)
     path = plain_uri(F.col("_metadata.file_path"))
     return text.groupBy(
@@ -348,22 +375,22 @@ def partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
           F.min(_own_key()).alias("first_id"), F.max(_own_key()).alias("last_id"))
 
 
-@query("partition_manifest", with_loaded(_per_dataset("""select count(*) as records_received,
+@each_run("partition_manifest", lambda run: with_loaded(_per_dataset("""select count(*) as records_received,
   count(*) as records_partitioned, 0 as records_missing_date, '{event}' as date_field
-  from br_{table}""")))
-def partition_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{_partitioned(finished_run(spark, sf_dir))}/partition_manifest.json"
+  from br_{table}"""), run))
+def partition_manifest(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    path = f"{_partitioned(finished_run(spark, sf_dir, run), run)}/partition_manifest.json"
     manifest = spark.read.option("multiLine", "true").schema(
         "datasets array<struct<dataset string, date_field string, records_received bigint, "
         "records_partitioned bigint, records_missing_date int>>").json(path)
     return manifest.select(F.inline("datasets"))
 
 
-def _damaged_partitions(spark: SparkSession, sf_dir: str) -> str:
+def _damaged_partitions(spark: SparkSession, sf_dir: str, run: str) -> str:
     """A partitioned run whose manifest, by rank, lists every file twice, climbs out of its
     folder, lists nothing, lists files that are not there, or promises one record more."""
-    root, folder = finished_run(spark, sf_dir), scratch_dir(spark, "partitioned")
-    partition_run(spark, RUN_A, f"{root}/validated/{RUN_A}", folder)
+    root, folder = finished_run(spark, sf_dir, run), scratch_dir(spark, "partitioned")
+    partition_run(spark, run, f"{root}/validated/{run}", folder)
     header, files = read_partition_manifest(spark, folder)
     counts = small_rows(spark, [(d["dataset"], d["records_partitioned"]) for d in header["datasets"]],
                         "dataset string, record_count bigint")
@@ -381,37 +408,37 @@ def _damaged_partitions(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-@query("partition_manifest_verify", with_loaded(f"""
+@each_run("partition_manifest_verify", lambda run: with_loaded(f"""
 select dataset, case rank when 1 then 'another number of files than promised' when 2 then 'unsafe path'
   when 3 then 'no files listed' when 4 then 'listed file absent'
   else 'another number of records than promised' end as problem from ({_BY_VALID})
 union all select dataset, 'partitioned ' || cast(record_count + 1 as varchar) || ' of '
   || cast(record_count as varchar) || ' records' from ({_BY_VALID}) where rank = 5
-union all select null, 'total differs from the sum over datasets'"""))
-def partition_manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _damaged_partitions(spark, sf_dir)
-    return partition_problems(spark, folder, RUN_A).select("dataset", "problem").distinct()
+union all select null, 'total differs from the sum over datasets'""", run))
+def partition_manifest_verify(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    folder = _damaged_partitions(spark, sf_dir, run)
+    return partition_problems(spark, folder, run).select("dataset", "problem").distinct()
 
 
-@query("publish_manifest_verify", with_loaded(f"""
+@each_run("publish_manifest_verify", lambda run: with_loaded(f"""
 select dataset, case rank when 1 then 'listed more than once' when 3 then 'no files listed'
   else 'listed file absent' end as problem from ({_BY_VALID}) where rank < 5
 union all select dataset, 'another number of files than promised' from ({_BY_VALID}) where rank = 1
-union all values (null, 'file not listed'), (null, 'total differs from the sum over datasets')"""))
-def publish_manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _damaged_partitions(spark, sf_dir)
-    return publish_problems(spark, folder, RUN_A).select("dataset", "problem").distinct()
+union all values (null, 'file not listed'), (null, 'total differs from the sum over datasets')""", run))
+def publish_manifest_verify(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    folder = _damaged_partitions(spark, sf_dir, run)
+    return publish_problems(spark, folder, run).select("dataset", "problem").distinct()
 
 
 # --------------------------------------------------------------- publication
 
-@query("run_publish", with_loaded(f"""select state, {_LOADED_TOTAL} as records
-from (values ('DRY_RUN'), ('UPLOADED'), ('SKIPPED')) s(state)"""))
-def run_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+@each_run("run_publish", lambda run: with_loaded(f"""select state, {_LOADED_TOTAL} as records
+from (values ('DRY_RUN'), ('UPLOADED'), ('SKIPPED')) s(state)""", run))
+def run_publish(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     """A dry run, a publication and its repetition, with the published record count."""
-    run_dir, target = _partitioned(finished_run(spark, sf_dir)), scratch_dir(spark, "publish")
-    states = [publish_run(spark, run_dir, target, RUN_A, execute=e) for e in (False, True, True)]
-    published = count_records(spark, run_folder(target, "raw", RUN_A), "part-*.json")
+    run_dir, target = _partitioned(finished_run(spark, sf_dir, run), run), scratch_dir(spark, "publish")
+    states = [publish_run(spark, run_dir, target, run, execute=e) for e in (False, True, True)]
+    published = count_records(spark, run_folder(target, "raw", run), "part-*.json")
     total = published.agg(F.sum("record_count").alias("records"))
     return total.select(F.explode(F.array(*[F.lit(s) for s in states])).alias("state"), "records")
 
@@ -485,7 +512,7 @@ def marker_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------- load and promote
 
-@query("load_guardrail", with_loaded("""
+@each_run("load_guardrail", lambda run: with_loaded("""
 select 'customers' as dataset, 'found ' || cast(count(*) as varchar)
   || ' rows with an incorrect or missing run ID' as problem from br_customers where customer_age % 8 = 2
 union all select 'transactions', 'expected ' || cast(count(*) as varchar) || ' rows, found '
@@ -494,25 +521,25 @@ union all select 'fraud_signals', 'found ' || cast(count(*) as varchar)
   || ' rows without source_row_number metadata' from br_fraud_signals where velocity_count > 3
 union all select 'disputes', 'expected files, found 0' from br_disputes group by 2
 union all select 'disputes', 'found ' || cast(count(*) as varchar) || ' rows without source_file metadata'
-  from br_disputes"""))
-def load_guardrail(spark: SparkSession, sf_dir: str) -> DataFrame:
+  from br_disputes""", run))
+def load_guardrail(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     """The published run is landed, then damaged in four of its five tables; the load is blocked."""
-    root = finished_run(spark, sf_dir)
-    expected = expected_loads(spark, *read_partition_manifest(spark, _partitioned(root)))
-    staged = land_run(spark, f"{root}/published/raw", RUN_A, LOADED[RUN_A])
+    root = finished_run(spark, sf_dir, run)
+    expected = expected_loads(spark, *read_partition_manifest(spark, _partitioned(root, run)))
+    staged = land_run(spark, f"{root}/published/raw", run, LOADED[run])
 
     def member(name: str, kind: str):
         return F.variant_get("raw_record", f"$.{name}", kind)
 
     staged["customers"] = staged["customers"].withColumn("pipeline_run_id", F.when(
-        member("customer_age", "bigint") % 8 == 2, RUN_B).otherwise(F.col("pipeline_run_id")))
+        member("customer_age", "bigint") % 8 == 2, RUN_A if run == RUN_B else RUN_B).otherwise(F.col("pipeline_run_id")))
     staged["transactions"] = staged["transactions"].unionByName(
         staged["transactions"].filter(member("card_network", "string") == "Visa"))
     staged["fraud_signals"] = staged["fraud_signals"].withColumn("source_row_number", F.when(
         member("velocity_count", "bigint") <= 3, F.col("source_row_number")))
     staged["disputes"] = staged["disputes"].withColumn("source_file", F.lit(None).cast("string"))
     # How many files a month fills is Spark's choice, so that number is left out.
-    return guardrail_problems(load_facts(staged, RUN_A), expected).select(
+    return guardrail_problems(load_facts(staged, run), expected).select(
         "dataset", F.regexp_replace("problem", "^expected [0-9]+ files", "expected files").alias("problem"))
 
 
@@ -543,24 +570,24 @@ def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(models["gold_dispute_chargeback_summary_by_network"])
 
 
-@query("mart_scan", with_loaded("select * from gold_daily_fraud_kpis"))
-def mart_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = read_mart(spark, f"{finished_run(spark, sf_dir)}/warehouse", "gold_daily_fraud_kpis")
+@each_run("mart_scan", lambda run: with_loaded("select * from gold_daily_fraud_kpis", run))
+def mart_scan(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    mart = read_mart(spark, f"{finished_run(spark, sf_dir, run)}/warehouse", "gold_daily_fraud_kpis")
     return comparable(in_dashboard_order(mart))
 
 
-@query("batch_run", with_loaded("select * from gold_fraud_summary_by_network"))
-def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+@each_run("batch_run", lambda run: with_loaded("select * from gold_fraud_summary_by_network", run))
+def batch_run(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     return comparable(read_mart(
-        spark, f"{finished_run(spark, sf_dir)}/warehouse", "gold_fraud_summary_by_network"))
+        spark, f"{finished_run(spark, sf_dir, run)}/warehouse", "gold_fraud_summary_by_network"))
 
 
-@query("run_audit_append", with_loaded(f"""
-select '{RUN_A}' as run_id, 'SUCCESS' as status, 6 as steps, delivered as rows_received,
+@each_run("run_audit_append", lambda run: with_loaded(f"""
+select '{run}' as run_id, 'SUCCESS' as status, 6 as steps, delivered as rows_received,
   loaded as rows_valid, delivered - loaded as rows_invalid
-from (select {_LOADED_TOTAL} as loaded, {_DELIVERED_TOTAL} as delivered)"""))
-def run_audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = f"{finished_run(spark, sf_dir)}/pipeline_audit_logs/pipeline_run_audit_log.jsonl"
+from (select {_LOADED_TOTAL} as loaded, {_delivered_total(run)} as delivered)""", run))
+def run_audit_append(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    log = f"{finished_run(spark, sf_dir, run)}/pipeline_audit_logs/pipeline_run_audit_log.jsonl"
     return spark.read.schema(
         "run_id string, status string, steps array<struct<step_name string, status string>>, "
         "validation_summary struct<rows_received bigint, rows_valid bigint, rows_invalid bigint>",
