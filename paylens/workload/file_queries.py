@@ -19,8 +19,8 @@ from paylens.operators.inventory import (
     inventory_diff, inventory_sha256, marker_matches, set_difference)
 from paylens.operators.verdicts import batch_status, pipeline_action
 from paylens.plans.batch import run_batch
-from paylens.plans.bronze import bronze
-from paylens.plans.monitoring import in_dashboard_order
+from paylens.plans.bronze import BRONZE_TYPES, MONEY, TIME, WHOLE, bronze
+from paylens.plans.monitoring import displayable, in_dashboard_order
 from paylens.plans.validation import validate_lines, validate_run
 from paylens.sinks.materialise import build_models, read_mart
 from paylens.sinks.outcomes import REPORT_SCHEMA, read_reports, write_outcomes
@@ -35,7 +35,7 @@ from paylens.sources.jsonl import read_json_lines
 from paylens.sources.landing import land_run, with_lineage_columns
 from paylens.streaming.ingest import ingest, latest_records, loaded_rows, quarantined, records
 from paylens.workload.model_queries import (
-    BRONZE_COLUMNS, BRONZE_CTES, comparable, plain, query, with_models)
+    BRONZE_COLUMNS, BRONZE_CTES, MARTS, comparable, plain, query, with_models)
 from paylens.workload.rule_queries import ACTION, checked_intake, report_sql, with_intake
 from paylens.workload.tables import (
     CONTRACTS, LOADED, NOISY, RUN_A, RUN_B, TYPED, clean_lines, for_duckdb, landed, run_sql)
@@ -561,13 +561,25 @@ def raw_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def _materialized(spark: SparkSession, sf_dir: str) -> str:
+    """Warehouse with the stored models of both runs; shared by the queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MATERIALIZED or not Storage(spark).exists(f"{_MATERIALIZED[key]}/raw/CURRENT"):
+        warehouse = scratch_dir(spark, "models")
+        raw = {n: landed(spark, sf_dir, n) for n in DATASETS}
+        promote(spark, warehouse, write_raw_version(spark, warehouse, "both", raw))
+        build_models(read_raw(spark, warehouse), warehouse, LOADED[RUN_A])
+        _MATERIALIZED[key] = warehouse
+    return _MATERIALIZED[key]
+
+
 @query("materialize", with_models("select * from gold_dispute_chargeback_summary_by_network"))
 def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = scratch_dir(spark, "models")
-    raw = {n: landed(spark, sf_dir, n) for n in DATASETS}
-    promote(spark, warehouse, write_raw_version(spark, warehouse, "both", raw))
-    models = build_models(read_raw(spark, warehouse), warehouse, LOADED[RUN_A])
-    return comparable(models["gold_dispute_chargeback_summary_by_network"])
+    return comparable(read_mart(
+        spark, _materialized(spark, sf_dir), "gold_dispute_chargeback_summary_by_network"))
 
 
 @each_run("mart_scan", lambda run: with_loaded("select * from gold_daily_fraud_kpis", run))
@@ -582,6 +594,97 @@ def batch_run(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
         spark, f"{finished_run(spark, sf_dir, run)}/warehouse", "gold_fraud_summary_by_network"))
 
 
+# The other stored marts, one query each.
+STORED_MARTS = (*MARTS, "monitoring_pipeline_row_counts")
+# How many files a load fills is Spark's choice, so a batch's number of them is left out.
+_FREE = {"gold_pipeline_batch_metadata": ["source_file_count"]}
+
+
+def _mart_sql(name: str) -> str:
+    return f"select * exclude ({', '.join(_FREE[name])}) from {name}" if name in _FREE else f"select * from {name}"
+
+
+for _name in STORED_MARTS:
+    def _stored(spark: SparkSession, sf_dir: str, name: str = _name) -> DataFrame:
+        return comparable(read_mart(spark, _materialized(spark, sf_dir), name))
+
+    def _scanned(spark: SparkSession, sf_dir: str, run: str, name: str = _name) -> DataFrame:
+        mart = read_mart(spark, f"{finished_run(spark, sf_dir, run)}/warehouse", name)
+        return comparable(in_dashboard_order(mart)).drop(*_FREE.get(name, []))
+
+    def _ordered(spark: SparkSession, sf_dir: str, name: str = _name) -> DataFrame:
+        return comparable(in_dashboard_order(displayable(MARTS[name](spark, sf_dir))))
+
+    if _name != "gold_dispute_chargeback_summary_by_network":
+        query(f"materialize_{_name}", with_models(f"select * from {_name}"))(_stored)
+    if _name != "gold_daily_fraud_kpis":
+        each_run(f"mart_scan_{_name}", lambda run, name=_name: with_loaded(_mart_sql(name), run))(_scanned)
+    if _name in MARTS and _name != "gold_daily_dispute_kpis":
+        query(f"order_marts_{_name}", with_models(f"select * from {_name}"))(_ordered)
+
+
+# Each record as one text, the same in both engines; the sums of two parts of its digest
+# depend on every record of a group, but not on their order.
+_TEXT = {MONEY: "cast({} as string)", WHOLE: "cast({} as string)", TIME: "cast({} as string)",
+         "double": "cast(cast({} as decimal(18,6)) as string)", "boolean": "cast({} as string)", "string": "{}"}
+
+
+def _record_text(dataset: str) -> str:
+    return " || '|' || ".join(
+        f"coalesce({_TEXT[kind].format(name)}, '-')" for name, kind in BRONZE_TYPES[dataset].items())
+
+
+def _digest_sql(run: str) -> str:
+    parts = []
+    for n, d in DATASETS.items():
+        places = [("raw", f"(select * from all_{n} where pipeline_run_id = '{run}')", False),
+                  ("validated", f"br_{n}", False), ("partitioned", f"br_{n}", True), ("landed", f"br_{n}", True)]
+        for stage, rows, monthly in places:
+            year, month = (f"cast(year({d.event_field}) as varchar)",
+                           f"lpad(cast(month({d.event_field}) as varchar), 2, '0')") if monthly else ("''", "''")
+            parts.append(f"""select '{stage}' as stage, '{n}' as dataset, year, month, count(*) as record_count,
+  sum(('0x' || substr(digest, 1, 8))::bigint)::bigint as digest_1,
+  sum(('0x' || substr(digest, 9, 8))::bigint)::bigint as digest_2
+from (select {year} as year, {month} as month, md5({_record_text(n)}) as digest from {rows}) group by all""")
+    return with_loaded("\nunion all ".join(parts), run)
+
+
+def digested(rows: DataFrame, stage: str, dataset: str) -> DataFrame:
+    """Per year and month folder of (raw_record, source_file) rows: their number and digest."""
+    typed = bronze(with_lineage_columns(rows), dataset).withColumn("digest", F.md5(F.expr(_record_text(dataset))))
+    return typed.groupBy(
+        F.lit(stage).alias("stage"), F.lit(dataset).alias("dataset"),
+        F.regexp_extract("source_file", "/year=([0-9]+)/", 1).alias("year"),
+        F.regexp_extract("source_file", "/month=([0-9]+)/", 1).alias("month"),
+    ).agg(F.count("*").alias("record_count"), *[
+        F.sum(F.conv(F.substr("digest", F.lit(at), F.lit(8)), 16, 10).cast("bigint")).alias(f"digest_{i}")
+        for i, at in ((1, 1), (2, 9))])
+
+
+@each_run("record_digests", _digest_sql)
+def record_digests(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    """Every record of the snapshot, the valid files, the months and the landed rows."""
+    root = finished_run(spark, sf_dir, run)
+    landed_rows = land_run(spark, f"{root}/published/raw", run, LOADED[run])
+    parts = []
+    for name, dataset in DATASETS.items():
+        def written(folder: str, nested: bool = False) -> DataFrame:
+            reader = spark.read.option("recursiveFileLookup", "true") if nested else spark.read
+            return reader.option("pathGlobFilter", "part-*").text(folder).select(
+                F.parse_json("value").alias("raw_record"), plain_uri(F.col("_metadata.file_path")).alias("source_file"))
+
+        stages = {"raw": written(f"{root}/raw/{run}/{dataset.file_name}"),
+                  "validated": written(f"{root}/validated/{run}/{name}.json"),
+                  "partitioned": written(f"{_partitioned(root, run)}/raw/{name}", nested=True),
+                  "landed": landed_rows[name]}
+        for stage, rows in stages.items():
+            parts.append(digested(rows, stage, name))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 @each_run("run_audit_append", lambda run: with_loaded(f"""
 select '{run}' as run_id, 'SUCCESS' as status, 6 as steps, delivered as rows_received,
   loaded as rows_valid, delivered - loaded as rows_invalid
