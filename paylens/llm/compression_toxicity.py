@@ -21,7 +21,8 @@ logistic calibration fitted on the same labelled sample.
 Nulls and edge cases: null and empty texts are scored as one blank window.
 Rows without an id are never learnt from and are scored like any other.
 Repeated rows get equal scores.  Conflicting labels of one document count as
-toxic.  Without labels of both kinds every score is 0.  Extra columns are
+toxic.  Without labels of both kinds every score is 0; a label none of whose
+documents can be learnt from is an error.  Extra columns are
 ignored by ``score`` and kept by ``without_toxic``.
 """
 
@@ -38,11 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm.arrays import in_small_batches, text_bytes
-from paylens.llm.sampling import about
+from paylens.llm.sampling import about, spread
 from paylens.llm.scratch import bounded_batches
 
-#: The labelled sample: expected documents of each label, and the longest text
-#: (characters) that is learnt from.  Scoring has no such bounds.
+#: The labelled sample: expected documents of each label, and the characters of
+#: a text that are learnt from, in windows spread over a longer one.  Scoring
+#: has no such bounds.
 SAMPLE_PER_LABEL, SAMPLE_MAX_CHARS = 1500, 32_768
 THRESHOLD = 0.7
 
@@ -245,8 +247,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     chosen = about(known, "toxic", SAMPLE_PER_LABEL, F.xxhash64("doc_id", F.lit("toxicity")))
     # The sample is bounded by SAMPLE_PER_LABEL, hence the broadcast.
-    rows = (docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_MAX_CHARS)
-            .join(F.broadcast(chosen), "doc_id").select("text", "toxic").collect())
+    rows = (docs.select("doc_id", "text").filter("text is not null")
+            .join(F.broadcast(chosen), "doc_id")
+            .select(spread(F.col("text"), SAMPLE_MAX_CHARS).alias("text"), "toxic").collect())
+    missing = {0, 1} - {r.toxic for r in rows}
+    if missing:
+        missing &= {r.toxic for r in known.select("toxic").distinct().collect()}
+        if missing and not docs.isEmpty():
+            raise ValueError(f"No document to learn from has the toxic label {sorted(missing)}.")
     return train([(r.text, r.toxic) for r in rows])
 
 

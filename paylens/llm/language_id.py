@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm.arrays import in_small_batches, text_bytes
-from paylens.llm.sampling import about
+from paylens.llm.sampling import about, spread
 from paylens.llm.scratch import bounded_batches
 
 #: Language codes by family.  A code not listed is a family of its own.
@@ -45,8 +45,9 @@ FAMILIES = {
 }
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 
-#: The labelled sample: expected rows per language and the longest text
-#: (characters) learnt from.  Prediction has no such bounds.
+#: The labelled sample: expected rows per language, and the characters of a text
+#: that are learnt from, in windows spread over a longer one.  Prediction has no
+#: such bounds.
 SAMPLE_PER_LANGUAGE, SAMPLE_MAX_CHARS = 1000, 32_768
 BUCKETS = 1 << 13
 PASSES, COST = 12, 1.0
@@ -209,12 +210,13 @@ def fit(docs: DataFrame) -> Model:
         F.lit(code), F.array(*[F.struct(F.lit(m).alias("machine"), F.lit(y).alias("y")) for m, y in uses]))])
 
     def train(group: pd.DataFrame) -> pd.DataFrame:
+        if group["y"].nunique() < 2:
+            raise ValueError(f"No document to learn from on one side of {group['machine'].iloc[0]}.")
         w = train_machine(list(zip(group["bucket"], group["weight"], group["y"])))
         return pd.DataFrame({"machine": [group["machine"].iloc[0]], "w": [w.tobytes()]})
 
-    short = known.filter(F.length("text") <= SAMPLE_MAX_CHARS)
-    sample = about(short, "lang", SAMPLE_PER_LANGUAGE, F.xxhash64("doc_id", F.lit("language")))
-    trained = (sample.select("text", "lang").mapInArrow(_features, "lang string, bucket binary, weight binary")
+    sample = about(known, "lang", SAMPLE_PER_LANGUAGE, F.xxhash64("doc_id", F.lit("language")))
+    trained = (sample.select(spread(F.col("text"), SAMPLE_MAX_CHARS).alias("text"), "lang").mapInArrow(_features, "lang string, bucket binary, weight binary")
                .select("bucket", "weight", F.inline(targets[F.col("lang")]))
                .groupBy("machine").applyInPandas(train, "machine string, w binary").collect())
     return Model(names, {tuple(r.machine.split("|")): np.frombuffer(bytes(r.w)) for r in trained})
