@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.llm import (
-    chat_format, circulant_minhash, class_scan_bpe, compression_toxicity, curve_packing, language_id,
-    multi_index, pii_spans, target_quality, url_trust)
+    chat_format, circulant_minhash, class_scan_bpe, compression_toxicity, curve_packing,
+    fill_middle, language_id, multi_index, pii_spans, target_quality, url_trust)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,11 @@ ORACLES["op6_multi_index"] = multi_index.oracle(0.98)
 def op8_class_scan_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
     return class_scan_bpe.digests(class_scan_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op13_fill_middle"] = fill_middle.oracle()
