@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paylens.llm import (
     chat_format, circulant_minhash, class_scan_bpe, compression_toxicity, curve_packing,
-    fill_middle, language_id, multi_index, pii_spans, target_quality, url_trust)
+    fill_middle, language_id, lexical_search, multi_index, pii_spans, target_quality, url_trust)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,11 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_fill_middle"] = fill_middle.oracle()
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_lexical_search"] = lexical_search.oracle()
