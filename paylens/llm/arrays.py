@@ -114,3 +114,12 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for j in range(size):
         out = mix64(out * np.uint64(_MULTIPLIER) + words[j:j + n])
     return out
+
+
+def gram_hashes(part: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes from each position on (shorter by size - 1); few bytes, not proof of equality."""
+    up, down = _grown(len(part) + 1)
+    sums = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=sums[1:])
+    n = max(len(part) - size + 1, 0)
+    return mix64((sums[size:] - sums[:n]) * down[:n])

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.llm import (
-    chat_format, circulant_minhash, class_scan_bpe, compression_toxicity, curve_packing,
-    fill_middle, language_id, lexical_search, multi_index, pii_spans, target_quality, url_trust)
+    chat_format, circulant_minhash, class_scan_bpe, column_suffixes, compression_toxicity,
+    curve_packing, fill_middle, language_id, lexical_search, multi_index, pii_spans, target_quality, url_trust)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,8 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_lexical_search"] = lexical_search.oracle()
+
+
+@query
+def op12_column_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_suffixes.digests(column_suffixes.remove_repeats(table(spark, sf_dir, "documents")))
