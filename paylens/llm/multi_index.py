@@ -1,13 +1,18 @@
 """Near-duplicate vectors through an inverted multi-index.
 
-Vectors are scaled to length one and cut in halves; each half has its own
-codebook, fitted on a bounded sample, and the pairs of codewords form a grid of
-cells.  Every vector is stored in the cell of its nearest codewords.  A search
-visits cells in the order of a lower bound of their distance (multi-sequence
-traversal over the two sorted codebooks) and stops at the first cell beyond the
-distance that the similarity allows.  Bounds come from the planes between
-codewords, so at ``target_recall`` 1 no link can be missed; a smaller target
-stops earlier, at the distance that reaches it on the sample's own links.
+Only vectors of one label and one length are compared; each such group has an
+index of its own.  Vectors are scaled to length one and cut in halves; each half
+has its codebook, fitted in a task on a bounded sample of the group, and the
+pairs of codewords form a grid of cells.  Every vector is stored in the cell of
+its nearest codewords.  A search visits cells in the order of the summed
+distances to their codewords (multi-sequence traversal over the two sorted
+codebooks) and stops after the number of cells at which the target recall is
+reached.  That number comes from the sample: each sampled vector is turned by
+exactly the angle of the similarity in a random direction, the hardest partner a
+link can have, and the partner's cell must be among those visited from either
+side.  Real links are closer, so they are found more often; a group below
+``2 * CELL_VECTORS`` vectors is one cell, and a target of 1 visits every cell.
+Visits per vector stay the same however long the table is.
 
 Equal vectors are merged first.  Cells are compared in blocks of bounded size
 by a matrix product; a block pair returns one row per vector with links (their
@@ -15,9 +20,9 @@ number, and a root that stands for the vectors it is connected with), never the
 pairs.  A crowded cell only means more block pairs, spread over tasks.
 
 Nulls and edge cases: vectors that are null, empty, zero or hold null or
-non-finite components, rows without a label or an id, and vectors shorter or
-longer than the most common length link with nothing: no links, their own id
-as component (null for a null id), kept.  Repeated rows of an id are one
+non-finite components, and rows without a label or an id link with nothing: no
+links, their own id as component (null for a null id), kept.  Vectors of
+different lengths never link.  Repeated rows of an id are one
 vector.  Copies link with each other.  An empty table gives an empty result.
 Extra columns are ignored.
 """
@@ -36,39 +41,46 @@ from pyspark.sql import functions as F
 from paylens.llm.components import connected_components
 from paylens.llm.scratch import Scratch
 
-#: Expected vectors in the sample that the codebooks are fitted on.
+#: Expected vectors of one group in the sample that its codebooks are fitted on.
 SAMPLE = 20_000
-#: Codewords per half: so many that a cell holds about this many vectors, within limits.
-CELL_VECTORS, LEAST_WORDS, MOST_WORDS = 400, 4, 256
+#: Codewords per half: so many that a cell holds about this many vectors, within a limit.
+CELL_VECTORS, MOST_WORDS = 400, 1024
+#: Share of hardest partners that the traversal must reach.
+TARGET_RECALL = 0.999
+#: Vectors whose cells one task looks up at once.
+LOOKUP = 4096
 #: Vectors on either side of one comparison.
 BLOCK = 1024
-_SLACK = 1e-9
 
 
-def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prepared(kind: str):
+    """Vectors as bytes of ``kind``, the type they came in; null when they cannot link."""
     schema = pa.schema([("vec_id", pa.int64()), ("label", pa.int64()), ("dim", pa.int64()),
                         ("digest", pa.binary()), ("vector", pa.binary())])
-    for batch in batches:
-        digests, vectors, dims = [], [], []
-        for item in batch.column("embedding"):
-            if item.is_valid and not item.values.null_count:
-                x = item.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                if len(x) and np.isfinite(x).all() and x.any():
-                    data = (x + 0.0).tobytes()  # -0.0 becomes 0.0
-                    digests.append(hashlib.blake2b(data, digest_size=16).digest())
-                    vectors.append(data)
-                    dims.append(len(x))
-                    continue
-            digests.append(None), vectors.append(None), dims.append(None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id").cast(pa.int64()), batch.column("label").cast(pa.int64()),
-             pa.array(dims, pa.int64()), pa.array(digests, pa.binary()), pa.array(vectors, pa.binary())],
-            schema=schema)
-
-
-def unit(vectors: list, dim: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(vectors), np.float64).reshape(-1, dim)
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, vectors, dims = [], [], []
+            for item in batch.column("embedding"):
+                if item.is_valid and not item.values.null_count:
+                    x = item.values.to_numpy(zero_copy_only=False).astype(kind)
+                    if len(x) and np.isfinite(x).all() and x.any():
+                        data = (x + x.dtype.type(0)).tobytes()  # -0.0 becomes 0.0
+                        digests.append(hashlib.blake2b(data, digest_size=16).digest())
+                        vectors.append(data)
+                        dims.append(len(x))
+                        continue
+                digests.append(None), vectors.append(None), dims.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id").cast(pa.int64()), batch.column("label").cast(pa.int64()),
+                 pa.array(dims, pa.int64()), pa.array(digests, pa.binary()), pa.array(vectors, pa.binary())],
+                schema=schema)
+    return run
+
+
+def unit(vectors: list, dim: int, kind: str = "f8") -> np.ndarray:
+    x = np.frombuffer(b"".join(vectors), kind).reshape(-1, dim).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)  # squares neither overflow nor vanish
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -89,85 +101,104 @@ def codebook(x: np.ndarray, size: int) -> np.ndarray:
 
 
 class MultiIndex:
-    """Two codebooks, and for a vector its own cell and the cells worth visiting."""
+    """Two codebooks, and for a vector the cells worth visiting, its own first."""
 
-    def __init__(self, first: np.ndarray, second: np.ndarray, reach: float):
-        self.books, self.reach = (first, second), reach  # reach: squared distance of a link
-        self._apart = [np.sqrt(_squares(b, b)) for b in self.books]
+    def __init__(self, first: np.ndarray, second: np.ndarray, visits: int):
+        self.books = first, second
+        self.visits = visits
 
     @property
-    def shape(self) -> tuple[int, int]:
-        return len(self.books[0]), len(self.books[1])
-
-    def _bounds(self, x: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
-        """Nearest codeword, and squared lower bounds of the distance to each codeword's region."""
-        squares = _squares(x, self.books[half])
-        # Distance to the plane between codewords j and i, for points on j's side.
-        gaps = (squares[:, :, None] - squares[:, None, :]) / (2 * np.where(
-            self._apart[half] > 0, self._apart[half], np.inf))[None]
-        return squares.argmin(axis=1), np.maximum(gaps.max(axis=2), 0) ** 2
-
-    def locate(self, x: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
-        """Cells of the rows of ``x``, and the cells each has to visit, nearest first."""
-        cut = x.shape[1] // 2
-        width = self.shape[1]
-        cells, visits = [], []
+    def cells(self) -> int:
+        return len(self.books[0]) * len(self.books[1])
+
+    def locate(self, x: np.ndarray, visits: int | None = None) -> np.ndarray:
+        """One row per row of ``x``: the nearest cells, nearest first."""
+        cut = self.books[0].shape[1]
+        visits = min(visits or self.visits, self.cells)
+        out = np.zeros((len(x), visits), np.int64)
         for at in range(0, len(x), 256):
-            near1, low1 = self._bounds(x[at:at + 256, :cut], 0)
-            near2, low2 = self._bounds(x[at:at + 256, cut:], 1)
-            cells.append(near1.astype(np.int64) * width + near2)
+            low1, low2 = _squares(x[at:at + 256, :cut], self.books[0]), _squares(x[at:at + 256, cut:], self.books[1])
             order1, order2 = np.argsort(low1, axis=1, kind="stable"), np.argsort(low2, axis=1, kind="stable")
-            for a, b, i, j in zip(low1, low2, order1, order2):
-                visits.append(self._traverse(a[i], b[j], i, j, width))
-        return (np.concatenate(cells) if cells else np.zeros(0, np.int64)), visits
+            for row, (a, b, i, j) in enumerate(zip(low1, low2, order1, order2), at):
+                out[row] = self._traverse(a[i].tolist(), b[j].tolist(), i, j, visits)
+        return out
 
-    def _traverse(self, a, b, i, j, width: int) -> list[int]:
+    def _traverse(self, a: list, b: list, i: np.ndarray, j: np.ndarray, visits: int) -> list[int]:
         """Multi-sequence traversal of the sums a[p] + b[q], both sorted."""
-        found, heap, seen = [], [(a[0] + b[0], 0, 0)], {(0, 0)}
-        while heap:
-            low, p, q = heapq.heappop(heap)
-            if low > self.reach + _SLACK:
-                break
+        found, heap, width = [], [(a[0] + b[0], 0, 0)], len(b)
+        while len(found) < visits:
+            _, p, q = heapq.heappop(heap)
             found.append(int(i[p]) * width + int(j[q]))
-            for nxt in ((p + 1, q), (p, q + 1)):
-                if nxt[0] < len(a) and nxt[1] < len(b) and nxt not in seen:
-                    seen.add(nxt)
-                    heapq.heappush(heap, (a[nxt[0]] + b[nxt[1]], *nxt))
+            # (p, q) is reached from (p, q - 1); the first column also from above.
+            if q + 1 < width:
+                heapq.heappush(heap, (a[p] + b[q + 1], p, q + 1))
+            if not q and p + 1 < len(a):
+                heapq.heappush(heap, (a[p + 1] + b[0], p + 1, 0))
         return found
 
 
-def fit(vectors: list[bytes], dim: int, total: int, similarity: float, target_recall: float) -> MultiIndex:
-    """Codebooks from a sample of ``total`` vectors; vectors are sorted here."""
-    x = unit(sorted(vectors), dim)
-    words = int(np.clip(round((total / CELL_VECTORS) ** 0.5), LEAST_WORDS, MOST_WORDS))
-    cut = dim // 2
-    reach = 2 - 2 * similarity
-    if target_recall < 1:
-        part = x[:2000]
-        cosines = (part @ part.T)[np.triu_indices(len(part), 1)]
-        linked = cosines[cosines >= similarity]
-        if len(linked):
-            reach = 2 - 2 * float(np.quantile(linked, 1 - target_recall))
+def hardest_partners(x: np.ndarray, similarity: float) -> np.ndarray:
+    """Each row turned by exactly the angle of ``similarity``, in a fixed random direction."""
+    side = np.random.default_rng(3).normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    size = np.sqrt((side * side).sum(axis=1, keepdims=True))
+    return similarity * x + np.sqrt(max(0.0, 1 - similarity ** 2)) * side / np.where(size > 0, size, 1)
+
+
+def fit(x: np.ndarray, total: int, similarity: float, target_recall: float) -> MultiIndex:
+    """Codebooks of a group of ``total`` vectors from a sample ``x`` in a fixed order."""
+    words = int(np.clip(round((total / CELL_VECTORS) ** 0.5), 1, MOST_WORDS))
+    cut = x.shape[1] // 2
     first = codebook(x[:, :cut], words) if cut else np.zeros((1, 0))
-    return MultiIndex(first, codebook(x[:, cut:], words), reach)
+    index = MultiIndex(first, codebook(x[:, cut:], words), 1)
+    if target_recall >= 1:
+        index.visits = index.cells
+        return index
+    x = x[:2000]
+    y, most = hardest_partners(x, similarity), min(index.cells, 64)
+    while True:
+        near, far = index.locate(x, most), index.locate(y, most)
+        met = (near == far[:, :1]) | (far == near[:, :1])
+        rank = np.where(met.any(axis=1), met.argmax(axis=1), index.cells)
+        index.visits = int(np.sort(rank)[int(np.ceil(target_recall * len(rank))) - 1]) + 1
+        if index.visits <= most or most == index.cells:
+            return index
+        most = min(index.cells, 8 * most)
 
 
-INDEXED = "id bigint, label bigint, copies bigint, vector binary, cell bigint, visits array<bigint>"
+FITTED = "label bigint, dim bigint, first binary, second binary, words bigint, visits bigint"
 
 
-def _indexed(index: MultiIndex, dim: int):
-    schema = pa.schema([("id", pa.int64()), ("label", pa.int64()), ("copies", pa.int64()), ("vector", pa.binary()),
-                        ("cell", pa.int64()), ("visits", pa.list_(pa.int64()))])
+def _fitted(similarity: float, target_recall: float, kind: str):
+    schema = pa.schema([("label", pa.int64()), ("dim", pa.int64()), ("first", pa.binary()), ("second", pa.binary()),
+                        ("words", pa.int64()), ("visits", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = unit(batch.column("vector").to_pylist(), dim) if batch.num_rows else np.zeros((0, dim))
-            cells, visits = index.locate(x)
-            # A link's two cells visit each other; the smaller cell number does the work.
-            visits = [[v for v in vs if v >= own] for vs, own in zip(visits, cells)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), batch.column("copies"), batch.column("vector"),
-                 pa.array(cells), pa.array(visits, pa.list_(pa.int64()))], schema=schema)
+    def run(key: tuple, sample: pa.Table) -> pa.Table:
+        dim = key[1].as_py()
+        x = unit(sorted(sample.column("vector").to_pylist()), dim, kind)
+        index = fit(x, sample.column("total")[0].as_py(), similarity, target_recall)
+        return pa.table([[key[0].as_py()], [dim], [index.books[0].tobytes()], [index.books[1].tobytes()],
+                         [len(index.books[0])], [index.visits]], schema=schema)
+    return run
+
+
+INDEXED = "id bigint, label bigint, dim bigint, copies bigint, vector binary, cell bigint, visits array<bigint>"
+
+
+def _indexed(kind: str):
+    schema = pa.schema([("id", pa.int64()), ("label", pa.int64()), ("dim", pa.int64()), ("copies", pa.int64()),
+                        ("vector", pa.binary()), ("cell", pa.int64()), ("visits", pa.list_(pa.int64()))])
+
+    def run(key: tuple, rows: pa.Table, books: pa.Table) -> pa.Table:
+        visits = np.zeros((rows.num_rows, 1), np.int64)
+        if books.num_rows and rows.num_rows:
+            dim = key[1].as_py()
+            book = books.slice(0, 1).to_pylist()[0]
+            index = MultiIndex(np.frombuffer(book["first"]).reshape(book["words"], dim // 2),
+                               np.frombuffer(book["second"]).reshape(-1, dim - dim // 2), book["visits"])
+            visits = index.locate(unit(rows.column("vector").to_pylist(), dim, kind))
+        return pa.table([*(rows.column(c) for c in ("id", "label", "dim", "copies", "vector")), pa.array(visits[:, 0]),
+                         pa.array(list(visits), pa.list_(pa.int64()))], schema=schema)
     return run
 
 
@@ -189,20 +220,22 @@ LINKED = "id bigint, n_links bigint, root bigint"
 _LINKED_SCHEMA = pa.schema([("id", pa.int64()), ("n_links", pa.int64()), ("root", pa.int64())])
 
 
-def _compared(similarity: float, dim: int):
+def _compared(similarity: float, kind: str):
     """Links between two blocks: per vector their number and a root."""
-    def run(queries: pa.Table, members: pa.Table) -> pa.Table:
+    def run(key: tuple, queries: pa.Table, members: pa.Table) -> pa.Table:
         if not queries.num_rows or not members.num_rows:
             return _LINKED_SCHEMA.empty_table()
         ids = [t.column("id").to_numpy() for t in (queries, members)]
         copies = [t.column("copies").to_numpy() for t in (queries, members)]
-        x, y = (unit(t.column("vector").to_pylist(), dim) for t in (queries, members))
-        own = queries.column("own").to_numpy()
-        cell = members.column("cell").to_numpy()[0]
+        x, y = (unit(t.column("vector").to_pylist(), key[1].as_py(), kind) for t in (queries, members))
+        own, cell = queries.column("own").to_numpy(), key[2].as_py()
+        back = members.column("visits").combine_chunks().flatten().to_numpy().reshape(len(y), -1)
         a, b = np.nonzero(x @ y.T >= similarity - 1e-12)
         # Close to the threshold the sums are formed pair by pair, in one order.
         exact = (x[a] * y[b]).sum(axis=1)
-        keep = (exact >= similarity) & (ids[0][a] != ids[1][b])
+        # Two cells that visit each other compare a pair in the smaller one only.
+        twice = (own[a] < cell) & (back[b] == own[a][:, None]).any(axis=1)
+        keep = (exact >= similarity) & (ids[0][a] != ids[1][b]) & ~twice
         a, b = a[keep], b[keep]
         # Inside one cell both ends are queries; between cells the other end is counted here.
         both = own[a] != cell
@@ -217,62 +250,68 @@ def _compared(similarity: float, dim: int):
     return run
 
 
-def near_duplicates(vectors: DataFrame, similarity: float = 0.98, target_recall: float = 1.0) -> DataFrame:
+def near_duplicates(vectors: DataFrame, similarity: float = 0.98,
+                    target_recall: float = TARGET_RECALL) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "multi-index")
+    kind = "f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "f8"
     rows = scratch.settle(vectors.select("vec_id", "label", "embedding").mapInArrow(
-        _prepared, "vec_id bigint, label bigint, dim bigint, digest binary, vector binary"), "rows")
+        _prepared(kind), "vec_id bigint, label bigint, dim bigint, digest binary, vector binary"), "rows")
     usable = rows.filter("vec_id is not null and label is not null and vector is not null")
-    common = usable.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    dim = common["dim"] if common else 1
-    usable = usable.filter(F.col("dim") == dim)
     classes = scratch.settle(
-        usable.groupBy("label", "digest").agg(
+        usable.groupBy("label", "dim", "digest").agg(
             F.min("vec_id").alias("id"), F.countDistinct("vec_id").alias("copies"),
             F.first("vector").alias("vector")), "classes")
-    total = classes.count()
-    if total:
-        share = min(1.0, SAMPLE / total)
-        sample = classes.filter(F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) <= share * (1 << 30))
-        index = fit([bytes(r.vector) for r in sample.select("vector").collect()], dim, total,
-                    similarity, target_recall)
-    else:
-        index = MultiIndex(np.zeros((1, 0)), np.zeros((1, 1)), 0.0)
-    indexed = scratch.settle(classes.select("id", "label", "copies", "vector").mapInArrow(
-        _indexed(index, dim), INDEXED), "indexed")
-
-    columns = ("label", "cell", "id", "copies", "vector")
-    members = indexed.select(*(F.col(c).alias(f"m_{c}") for c in columns)).toDF(*columns)
-    visits = indexed.select("label", F.explode("visits").alias("cell"), "id", "copies", "vector",
+    group = ["label", "dim"]
+    totals = scratch.settle(classes.groupBy(*group).agg(F.count("*").alias("total")), "totals")
+    grouped = classes.join(totals, group)
+    # Smaller groups are one cell.  The sample of a group is bounded, whatever its share of the table.
+    sample = grouped.filter(F.col("total") > 2 * CELL_VECTORS).filter(
+        F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) <= F.least(F.lit(1.0), SAMPLE / F.col("total")) * (1 << 30))
+    books = scratch.settle(sample.select(*group, "vector", "total").groupBy(*group).applyInArrow(
+        _fitted(similarity, target_recall, kind), FITTED), "books")
+    parts = F.ceil(F.col("total") / LOOKUP)
+    looked_up = grouped.withColumn("part", F.pmod(F.xxhash64("id"), parts)).drop("total")
+    offered = (books.join(totals, group).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+               .drop("total"))
+    offered = offered.toDF(*offered.columns)  # names of their own: both sides come from the same tables
+    indexed = scratch.settle(
+        looked_up.groupBy(*group, "part").cogroup(offered.groupBy(*group, "part"))
+        .applyInArrow(_indexed(kind), INDEXED), "indexed")
+
+    place = [*group, "cell"]
+    members = indexed.select(*(F.col(c).alias(f"m_{c}") for c in (*place, "id", "copies", "vector", "visits"))).toDF(
+        *place, "id", "copies", "vector", "visits")
+    visits = indexed.select(*group, F.explode("visits").alias("cell"), "id", "copies", "vector",
                             F.col("cell").alias("own"))
     # Blocks per cell, from counts; cells without members or queries drop out.
-    stored = members.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("m_blocks"))
-    asked = (indexed.select("label", F.explode("visits").alias("cell")).groupBy("label", "cell")
+    stored = members.groupBy(*place).agg(F.ceil(F.count("*") / BLOCK).alias("m_blocks"))
+    asked = (indexed.select(*group, F.explode("visits").alias("cell")).groupBy(*place)
              .agg(F.ceil(F.count("*") / BLOCK).alias("q_blocks")))
-    blocks = scratch.settle(stored.join(asked, ["label", "cell"]), "blocks")
+    blocks = scratch.settle(stored.join(asked, place), "blocks")
 
     def spread(side: DataFrame, own: str, other: str, mine: str, its: str) -> DataFrame:
-        return (side.join(blocks, ["label", "cell"])
+        return (side.join(blocks, place)
                 .withColumn(mine, F.pmod(F.xxhash64("id"), F.col(own)))
                 .withColumn(its, F.explode(F.sequence(F.lit(0), F.col(other) - 1))))
 
-    key = ["label", "cell", "q", "m"]
+    key = [*place, "q", "m"]
     left = spread(visits, "q_blocks", "m_blocks", "q", "m").select(*key, "id", "copies", "vector", "own")
-    right = spread(members, "m_blocks", "q_blocks", "m", "q").select(*key, "id", "copies", "vector")
+    right = spread(members, "m_blocks", "q_blocks", "m", "q").select(*key, "id", "copies", "vector", "visits")
     linked = scratch.settle(
-        left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_compared(similarity, dim), LINKED), "linked")
+        left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_compared(similarity, kind), LINKED), "linked")
     components = connected_components(
         linked.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch, "links")
-    per_class = (indexed.select("id", "copies")
+    per_class = (indexed.select("id", "copies", "label", "dim")
                  .join(linked.groupBy("id").agg(F.sum("n_links").alias("others")), "id", "left")
                  .join(components, "id", "left")
-                 .select(F.col("id").alias("class"),
+                 .select(F.col("id").alias("class"), "label", "dim",
                          (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"),
                          F.coalesce("component", "id").alias("component")))
-    per_vector = (usable.select("vec_id", "label", "digest").distinct()
-                  .join(classes.select("label", "digest", F.col("id").alias("class")), ["label", "digest"])
-                  .join(per_class, "class")
+    per_vector = (usable.select("vec_id", *group, "digest").distinct()
+                  .join(classes.select(*group, "digest", F.col("id").alias("class")), [*group, "digest"])
+                  .join(per_class, ["class", *group])
                   .groupBy("vec_id").agg(F.max("links").alias("links"), F.min("component").alias("component")))
     return (rows.select("vec_id").join(per_vector, "vec_id", "left")
             .select("vec_id", F.coalesce("links", F.lit(0)).alias("n_links"),
@@ -281,16 +320,15 @@ def near_duplicates(vectors: DataFrame, similarity: float = 0.98, target_recall:
 
 
 def oracle(similarity: float = 0.98) -> str:
-    """The same result in DuckDB SQL, comparing every pair of one label."""
+    """The same result in DuckDB SQL, comparing every pair of one label and length."""
     return f"""with recursive v as materialized (select vec_id, label, embedding::double[] as e,
             len(embedding) as n from embeddings
         where vec_id is not null and label is not null and len(embedding) > 0
             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
             and len(list_filter(embedding, lambda x: x <> 0)) > 0),
-    d as (select n from v group by n order by count(*) desc, n limit 1),
-    u as materialized (select v.* from v join d using (n)),
-    l as materialized (select a.vec_id as a, b.vec_id as b from u a join u b
-        on a.label = b.label and a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= {similarity}),
+    l as materialized (select a.vec_id as a, b.vec_id as b from v a join v b
+        on a.label = b.label and a.n = b.n and a.vec_id <> b.vec_id
+        and list_cosine_similarity(a.e, b.e) >= {similarity}),
     r as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
     c as (select a, min(b) as low from r group by a), k as (select a, count(*) as links from l group by a)
     select vec_id, coalesce(links, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id,
