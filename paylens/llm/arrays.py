@@ -36,6 +36,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Places of a word whose numbers are kept in a table.
+_PLACES = 64
+_PLACED = mix64(np.arange(_PLACES << 8, dtype=np.uint64) * np.uint64(_MULTIPLIER))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and where each text begins in them; null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -72,6 +77,20 @@ def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def _placed_bytes(part: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A random number for each byte and its place behind the last ``first`` one.
+
+    A word's hash is their sum: unlike a polynomial's, its collisions do not
+    follow from the words' structure, however long they are.
+    """
+    index = np.arange(len(part), dtype=np.int32)
+    place = index - np.maximum.accumulate(np.where(first, index, np.int32(0)))
+    out = _PLACED[np.minimum(place, _PLACES - 1) << 8 | part]
+    far = np.flatnonzero(place >= _PLACES)
+    out[far] = mix64((place[far].astype(np.uint64) << np.uint64(8) | part[far]) * np.uint64(_MULTIPLIER))
+    return out
+
+
 def word_hashes(raw: np.ndarray, at: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in order, and where each text's words begin."""
     hashes, starts, begin, n = [], [], 0, len(raw)
@@ -96,10 +115,9 @@ def word_hashes(raw: np.ndarray, at: np.ndarray, lower: bool) -> tuple[np.ndarra
         first[edges] = inside[edges]
         last[edges - 1] |= inside[edges - 1]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        up, down = _grown(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=sums[1:])
-        hashes.append(mix64((sums[e] - sums[s]) * down[s]))
+        np.cumsum(_placed_bytes(part, first), out=sums[1:])
+        hashes.append(mix64(sums[e] - sums[s]))
         starts.append(s + begin)
         begin = end
     if not hashes:

@@ -19,8 +19,8 @@ refused on its full sets.
 
 Nulls and edge cases: a null or blank text has an empty set and links with
 nothing.  Rows without an id link with nothing, have no component and are kept.
-Repeated rows with one id form one node.  Ties do not exist: every choice is
-the smallest id.  An empty table gives an empty result.  Further columns of the
+Rows with one id are one document: it links with whatever the set of any of
+them links with.  Ties do not exist: every choice is the smallest id.  An empty table gives an empty result.  Further columns of the
 input are ignored here; ``deduplicate`` returns them untouched.
 """
 
@@ -88,12 +88,14 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield window_hashes(words[begin:end], int(n)) if n else np.zeros(0, np.uint64)
 
 
-SKETCHES = ("doc_id bigint, n_shingles bigint, same binary, marks binary, bands array<bigint>")
+SKETCHES = ("id bigint, doc_id bigint, text_key string, n_shingles bigint, same binary, marks binary, "
+            "bands array<bigint>")
 
 
 def _sketch(size: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("same", pa.binary()),
-                        ("marks", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.string()),
+                        ("n_shingles", pa.int64()), ("same", pa.binary()), ("marks", pa.binary()),
+                        ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_small_batches(batches, "text"):
@@ -108,8 +110,8 @@ def _sketch(size: int):
                 else:
                     same.append(None), marks.append(None), bands.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array(same, pa.binary()), pa.array(marks, pa.binary()),
+                [batch.column("id"), batch.column("doc_id").cast(pa.int64()), batch.column("text_key"),
+                 pa.array(counts, pa.int64()), pa.array(same, pa.binary()), pa.array(marks, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64()))], schema=schema)
     return run
 
@@ -120,7 +122,7 @@ def _members(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_small_batches(batches, "text"):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()),
+                [batch.column("id"),
                  pa.array([m.tobytes() for m in shingle_sets(batch.column("text"), size)],
                           pa.binary())], schema=schema)
     return run
@@ -224,21 +226,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-duplicates")
-    texts = docs.select("doc_id", "text")
-    sketches = scratch.settle(texts.mapInArrow(_sketch(size), SKETCHES), "sketches")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_key"), "text")
+    # A node of the graph is a row, known by the id that it is written with.
+    sketches = scratch.settle(
+        texts.select(F.monotonically_increasing_id().alias("id"), "doc_id", "text_key", "text")
+        .mapInArrow(_sketch(size), SKETCHES), "sketches")
     linkable = sketches.filter("doc_id is not null and n_shingles > 0")
 
-    # Equal sets: every member of a class points at its smallest id.
-    classes = linkable.groupBy("same").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n"))
+    # Equal sets: every member of a class points at its row with the smallest doc_id.
+    classes = linkable.groupBy("same").agg(F.min(F.struct("doc_id", "id")).alias("first"), F.count("*").alias("n"))
     # Written first, so both sides of the join are shuffled and a hot class can be split.
-    several = scratch.settle(classes.filter("n > 1").select("same", "lead"), "classes")
+    several = scratch.settle(classes.filter("n > 1").select("same", F.col("first.id").alias("lead")), "classes")
     copies = scratch.settle(
-        linkable.select("same", "doc_id").join(several, "same")
-        .filter("doc_id != lead").select("lead", F.col("doc_id").alias("id")).distinct(), "copies")
-    alone = linkable.join(copies.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
-    shown = alone.select(F.col("doc_id").alias("id"), "n_shingles", "marks")
-    buckets = scratch.settle(
-        alone.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")), "buckets")
+        linkable.select("same", "id", "doc_id").join(several, "same")
+        .filter("id != lead").select("lead", "id", "doc_id"), "copies")
+    alone = linkable.join(copies.select("id"), "id", "left_anti")
+    # Different sets of one doc_id are one document.
+    nodes = alone.select("doc_id", "id").unionByName(copies.select("doc_id", F.col("lead").alias("id")))
+    several_sets = (nodes.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("top"))
+                    .filter("a < top").select("doc_id", "a"))
+    of_one_id = scratch.settle(
+        nodes.join(several_sets, "doc_id").filter("id != a").select("a", F.col("id").alias("b")).distinct(), "of-one-id")
+    shown = alone.select("id", "n_shingles", "marks")
+    buckets = scratch.settle(alone.select(F.explode("bands").alias("key"), "id"), "buckets")
 
     def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         lead_sets = sets.select(F.col("id").alias("lead"), F.col("members").alias("lead_members"))
@@ -261,10 +271,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     scratch.drop("buckets")
     # Full sets of all documents that share a bucket.  Merge joins, whatever the
     # size, so that the plan measured on a small input is the plan on a large one.
-    asked = led.select(F.explode(F.array("lead", "id")).alias("doc_id")).distinct()
+    asked = (led.select(F.explode(F.array("lead", "id")).alias("id")).distinct()
+             .join(alone.select("id", "doc_id", "text_key"), "id"))
     sets = scratch.settle(
-        texts.join(asked.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        .mapInArrow(_members(size), "id bigint, members binary"), "sets")
+        texts.join(asked.hint("merge"), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+        .select("id", "text").mapInArrow(_members(size), "id bigint, members binary"), "sets")
     lead_shown = shown.select(F.col("id").alias("lead"), F.col("n_shingles").alias("lead_n"),
                               F.col("marks").alias("lead_marks"))
     near = (led.select("lead", "id").distinct().join(lead_shown, "lead").join(shown, "id")
@@ -284,16 +295,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     open_sets = sets.join(open_ids, "id", "left_semi")
     pairs = scratch.settle(_prefix_pairs(open_sets, components, percent, scratch), "pairs")
     links = links.unionByName(verified(pairs, open_sets, "more_links"))
-    components = connected_components(as_links(links), scratch, "second")
+    components = connected_components(as_links(links).unionByName(of_one_id), scratch, "second")
     for name in ("shared", "led", "plausible", "sets", "listed", "prefixes", "pairs"):
         scratch.drop(name)
 
-    # Copies stand for their class: its lead's component holds them all.
-    by_copy = (copies.join(components, copies.lead == components.id, "left")
-               .select(copies.id.alias("doc_id"), F.coalesce("component", "lead").alias("root")))
-    roots = components.select(F.col("id").alias("doc_id"), F.col("component").alias("root")
-                              ).unionByName(by_copy)
-    return (sketches.join(roots.groupBy("doc_id").agg(F.min("root").alias("root")), "doc_id", "left")
+    # The smallest doc_id of a component; copies stand for their class.
+    linked = alone.select("id", "doc_id").join(components, "id")
+    lowest = linked.groupBy("component").agg(F.min("doc_id").alias("root"))
+    in_component = linked.join(lowest, "component").select("id", "doc_id", "root")
+    by_copy = (copies.join(alone.select(F.col("id").alias("lead"), F.col("doc_id").alias("lead_doc")), "lead")
+               .join(in_component.select(F.col("id").alias("lead"), "root"), "lead", "left")
+               .select("doc_id", F.coalesce("root", "lead_doc").alias("root")))
+    roots = in_component.select("doc_id", "root").unionByName(by_copy)
+    return (sketches.select("doc_id", "n_shingles")
+            .join(roots.groupBy("doc_id").agg(F.min("root").alias("root")), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
@@ -305,6 +320,7 @@ def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     found = near_duplicates(docs, size, percent)
     drop = found.filter("not kept").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(drop, "doc_id", "left_anti").select(
+        *["`" + c.replace("`", "``") + "`" for c in docs.columns])
     with_id = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
     return with_id.unionByName(kept.filter("doc_id is null"))

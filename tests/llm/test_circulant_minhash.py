@@ -106,3 +106,39 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.id: r.component for r in connected_components(frame, Scratch(spark, "t"), "c").collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 100,
                    298: 298, 299: 298, 300: 298}
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(words), " ".join(f"v{i}" for i in range(60)), " ".join(f"u{i}" for i in range(60))
+    rows = [(1, a), (2, b), (3, a), (3, b + " more"), (4, c), (5, c + " more"), (5, None), (5, "few words"), (6, "few  words"), (8, "few"),
+            (9, a + " again"), (9, a + " again")]
+    expected = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 8: 8, 9: 1}
+    rng = np.random.default_rng(4)
+    for parts in (1, 2, 3, 5):
+        order = rng.permutation(len(rows))
+        docs = spark.createDataFrame([rows[i] for i in order], "doc_id bigint, text string").repartition(parts)
+        got = cm.near_duplicates(docs, 2, 80).collect()
+        assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == expected
+        assert all(r.component_id == expected[r.doc_id] for r in got)
+
+
+def test_columns_with_dots_and_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, text, "x", 5, [1]), (2, text, "y", 6, [2]), (3, "z", None, None, None)],
+                                 "doc_id bigint, text string, `a.b` string, `id` int, `x``y` array<int>")
+    kept = cm.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert {tuple(r)[:4] for r in kept.collect()} == {(1, text, "x", 5), (3, "z", None, None)}
+
+
+def test_crafted_words_have_different_hashes():
+    from paylens.llm import arrays
+
+    word = ["a"]
+    for _ in range(11):
+        word += ["b" if c == "a" else "a" for c in word]
+    one = "".join(word)
+    raw, at = arrays.text_bytes(pa.array([one + " " + one.translate({97: 98, 98: 97}), "ab ba a b aa", one]))
+    found, begins = arrays.word_hashes(raw, at, lower=True)
+    assert begins.tolist() == [0, 2, 7, 8] and len(set(found.tolist())) == 7 and found[0] == found[7]
