@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,14 @@ _LETTER[97:123] = True
 _MARK[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
 
+#: Letters below are precomposed and in one block with their cases.
+_LATIN_END = "\u0180"
+#: Byte-level tokenizers write a byte as the character of its number, or from 256 on if that does not print.
+_UNPRINTED = [*range(33), *range(127, 161), 173]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
+_OF_WORKER: dict[str, WordIds] = {}
+
+
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Index along the curve of integer points (rows) with ``bits`` bits a coordinate."""
     x = points.astype(np.uint64).T.copy()
@@ -111,16 +120,32 @@ def plain_words(raw: np.ndarray, at: np.ndarray) -> list[list[bytes]]:
 
 
 class WordIds(dict):
-    """Ids (little-endian bytes) of words without white space, filled by the tokenizer."""
+    """Ids (little-endian bytes) of words without white space, filled by the tokenizer.
+
+    The words of a text that holds none of ``added`` (the tokenizer's added tokens)
+    may be looked up one by one; ``whole`` encodes any text.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self.code = "H" if self.vocabulary <= 1 << 16 else "I"
+        self._byte_level = '"ByteLevel"' in self._tokenizer.to_str()
+        self.added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordIds:
+        """One memory per Python worker, kept for its later tasks; it is bounded."""
+        if path not in _OF_WORKER:
+            _OF_WORKER.clear()
+            _OF_WORKER[path] = cls(path)
+        return _OF_WORKER[path]
+
+    def whole(self, text: str) -> bytes:
+        return array(self.code, self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def learn(self, words: set[bytes]) -> None:
         unknown = [w for w in words if w not in self]
@@ -130,12 +155,14 @@ class WordIds(dict):
         code, merge = self.code, self._tokenizer.model.tokenize
         others = []
         for word in unknown:
-            # Neither normalisation nor splitting changes a word of ASCII letters
-            # (in lower case already): the tokenizer's merges are all it needs.
-            if word.isalpha():
-                self[word] = array(code, [token.id for token in merge(word.decode())]).tobytes()
-            else:
-                others.append(word)
+            # Neither normalisation nor splitting changes a word of Latin letters in
+            # lower case: the tokenizer's merges are all it needs.
+            if not word.isalpha():
+                text = word.decode()
+                if not (self._byte_level and text.isalpha() and max(text) < _LATIN_END and text == text.lower()):
+                    others.append(word)
+                    continue
+            self[word] = array(code, [token.id for token in merge(word.decode("latin-1").translate(_BYTE_LETTERS))]).tobytes()
         texts = b" ".join(others).decode().split(" ") if others else []
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         for word, result in zip(others, encoded):
@@ -153,7 +180,10 @@ def _coded(path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = WordIds(path)
+        # By its imported name: what is pickled with this function ends with the task.
+        from paylens.llm import curve_packing
+
+        known = curve_packing.WordIds.of_worker(path)
         table = signs(np.arange(known.vocabulary + END_ID + 1))
         end = array(known.code, [END_ID]).tobytes()
         for batch in in_small_batches(batches, "text"):
@@ -161,6 +191,9 @@ def _coded(path: str):
             known.learn(set().union(*words))
             get = known.__getitem__
             coded = [b"".join(map(get, w)) + end for w in words]
+            for token in known.added:
+                for i in pc.indices_nonzero(pc.match_substring(batch.column("text"), token)).to_pylist():
+                    coded[i] = known.whole(batch.column("text")[i].as_py()) + end
             lengths = np.array([len(c) // len(end) for c in coded], np.int64)
             keys = curve_keys(np.frombuffer(b"".join(coded), known.code),
                               np.concatenate([[0], np.cumsum(lengths)]), table)

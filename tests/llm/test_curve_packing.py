@@ -9,7 +9,6 @@ PATH = tokenizer_path()
 
 def expected_ids(text):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
 
 
@@ -67,6 +66,13 @@ def test_totals_at_sequence_borders_and_repeated_rows(spark):
     check(spark, [(1, "a " * 700, "x"), (1, "a " * 700, "x"), (2, "b " * 9000, "x"), (2, "b " * 9000, "x")])
 
 
+def test_added_tokens_are_encoded_as_such(spark):
+    rows = [(1, "hello <|endoftext|> world", "x"), (2, "<|startoftext|>a<|endoftext|><|endoftext|>", "x"), (3, "<|EndOfText|>", "x"),
+            (4, "<|endoftext", "x"), (5, "a <|endoftext|>" * 3000, "x"), (6, "<|endoftext|>", "x"), (7, "plain", "x")]
+    assert expected_ids(rows[0][1]) == [3306, 49407, 1002, packing.END_ID]
+    check(spark, rows)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.digests(packing.pack(docs, PATH)).count() == 0
@@ -94,7 +100,7 @@ def test_cuts_between_letters_and_marks_leave_ids_alone():
     import pyarrow as pa
 
     texts = ["a.b", "It's. 's", "x!'s", "('s)", "a--b-", "é.a", "a\u0301.b", "..a1.b2", "", "don't!!", "a.", ".a", "_a_b", "K.k",
-             "a\u2026.b", "\u2026.'re.", "`a`^b"]
+             "a\u2026.b", "\u2026.'re.", "`a`^b", "œuvre Œuvre ÿŸ ŉ ſs ĳ ª º µ", "naïve-été", "İstanbul ıǆ Ǆ", "e\u0301t\u00e9"]
     known = packing.WordIds(PATH)
     for text, words in zip(texts, packing.plain_words(*text_bytes(pa.array(texts)))):
         known.learn(set(words))
