@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylens.llm import (
     circulant_minhash, compression_toxicity, curve_packing, language_id, pii_spans)
@@ -39,8 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document in a token sequence."""
-    return curve_packing.digests(curve_packing.pack(docs, tokenizer_path()))
+    """One row per piece of a document in a token sequence, with its ids (little-endian, 32 bits)."""
+    return curve_packing.pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
