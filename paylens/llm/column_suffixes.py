@@ -19,9 +19,10 @@ rounds.  Hashes only place windows; equality is always decided by suffixes.
 Steps, each a table in the shared scratch folder that the next reads in order:
 
 1. bundles of documents (compressed), with the keys of each, dealt to buckets;
-2. per bucket, the keys that two documents have; others cannot repeat anything;
+2. per bucket, the keys that two rows have; others cannot repeat anything;
 3. per bundle, the distinct pieces of these keys, dealt to buckets;
-4. per bucket, collections; the answer holds the smallest document per window;
+4. per bucket, collections of all distinct pieces with one key (several keys make
+   one collection); the answer holds the smallest document per window;
 5. per bundle, the covered bytes.
 
 Bundles send each key and each distinct piece once, with its smallest document,
@@ -64,10 +65,10 @@ class Limits:
     hot: int = 4096
     #: Bytes of text per bundle and per bucket of keys.
     bundle: int = 8 << 20
-    key_bucket: int = 64 << 20
+    key_bucket: int = 32 << 20
     #: Bytes of pieces per bucket and per collection.
-    piece_bucket: int = 24 << 20
-    collection: int = 1 << 18
+    piece_bucket: int = 12 << 20
+    collection: int = 1 << 17
 
 
 class Collection:
@@ -272,12 +273,21 @@ def _spread(order: np.ndarray) -> list[tuple[int, slice]]:
     return [(int(v), slice(int(b), int(e))) for v, b, e in zip(values, begins, ends)]
 
 
+def _packed(data: bytes | np.ndarray) -> bytes:
+    """What moves between steps is compressed before Spark sees it."""
+    return zstandard.ZstdCompressor(level=3).compress(data if isinstance(data, bytes) else data.tobytes())
+
+
+def _opened(data: bytes, kind=np.uint8) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 _BUNDLES = ("bundle bigint, ids array<bigint>, ends array<bigint>, text binary, "
-            "keys array<struct<bucket:int,keys:binary,low:binary,over:binary,pieces:binary>>")
+            "keys array<struct<bucket:int,keys:binary,pieces:binary>>")
 
 
 def _bundled(length: int, buckets: int, most: int):
-    message = pa.struct([("bucket", pa.int32()), *((n, pa.binary()) for n in ("keys", "low", "over", "pieces"))])
+    message = pa.struct([("bucket", pa.int32()), ("keys", pa.binary()), ("pieces", pa.binary())])
     schema = pa.schema([("bundle", pa.int64()), ("ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
                         ("text", pa.binary()), ("keys", pa.list_(message))])
 
@@ -291,13 +301,13 @@ def _bundled(length: int, buckets: int, most: int):
         low, high = np.full(len(groups), _MOST, np.int64), np.full(len(groups), -_MOST - 1, np.int64)
         np.minimum.at(low, of, document)
         np.maximum.at(high, of, document)
-        pieces, short = np.bincount(of, minlength=len(groups)).astype(np.uint32), groups.astype(np.uint32)
-        sent = [{"bucket": b, "keys": short[s].tobytes(), "low": low[s].tobytes(),
-                 "over": (high[s] - low[s]).tobytes(), "pieces": pieces[s].tobytes()}
+        # Twice the number of pieces, odd if they are of several documents.
+        pieces = (2 * np.bincount(of, minlength=len(groups)) + (low < high)).astype(np.uint32)
+        short = groups.astype(np.uint32)
+        sent = [{"bucket": b, "keys": _packed(short[s]), "pieces": _packed(pieces[s])}
                 for b, s in _spread(groups >> np.uint64(32))]
-        packed = zstandard.ZstdCompressor(level=1).compress(raw.tobytes())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(([number], [ids], [at[1:]], [packed], [sent]), schema)], schema=schema)
+            [pa.array(c, f.type) for c, f in zip(([number], [ids], [at[1:]], [_packed(raw)], [sent]), schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -319,27 +329,29 @@ _ANSWER_SCHEMA = pa.schema([("bundle", pa.int64()), ("bucket", pa.int32()), ("pi
 
 
 def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    parts = [_opened(x, kind) for x in table.column(name).to_pylist()]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
 def _shared(most: int):
-    """Of each key: 0 if one document has it, 1 if several, 2 if it also has more than ``most`` pieces."""
+    """Of each key: 0 if one row has it, 1 if several, 2 if it also has more than ``most`` pieces."""
     def run(key: tuple, sent: pa.Table) -> pa.Table:
-        keys, low, over = _joined(sent, "keys", np.uint32), _joined(sent, "low", np.int64), _joined(sent, "over", np.int64)
-        pieces = _joined(sent, "pieces", np.uint32)
+        keys, pieces = _joined(sent, "keys", np.uint32), _joined(sent, "pieces", np.uint32)
         order = np.argsort(keys, kind="stable")
         begins = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
-        several = np.minimum.reduceat(low[order], begins) != np.maximum.reduceat((low + over)[order], begins)
+        # Bundles hold different rows, so a key that two of them send has several.
+        several = (np.diff(np.append(begins, len(keys))) > 1) | (np.maximum.reduceat(pieces[order] & 1, begins) > 0)
+        pieces = pieces >> 1
         hot = np.add.reduceat(pieces[order].astype(np.int64), begins) > most
         codes = np.empty(len(keys), np.uint8)
         codes[order] = np.repeat(several.astype(np.uint8) + (several & hot), np.diff(np.append(begins, len(keys))))
-        edges = np.cumsum([0, *(len(k) // 4 for k in sent.column("keys").to_pylist())])
+        edges = np.cumsum([0, *(len(_opened(k)) // 4 for k in sent.column("keys").to_pylist())])
         own = [codes[b:e] for b, e in zip(edges[:-1], edges[1:])]
         load = [int((pieces[b:e].astype(np.int64) * np.array([0, 1, GRAM])[codes[b:e]]).sum())
                 for b, e in zip(edges[:-1], edges[1:])]
-        empty = [b""] * len(own)
+        empty = [None] * len(own)
         return pa.table([pa.array(c, f.type) for c, f in zip(
-            (sent.column("bundle").to_pylist(), sent.column("bucket").to_pylist(), load, [c.tobytes() for c in own],
+            (sent.column("bundle").to_pylist(), sent.column("bucket").to_pylist(), load, [_packed(c) for c in own],
              empty, empty, empty), _ANSWER_SCHEMA)], schema=_ANSWER_SCHEMA)
     return run
 
@@ -347,28 +359,27 @@ def _shared(most: int):
 def _reopened(bundles: pa.Table, answers: pa.Table, length: int, key_buckets: int, piece_buckets: int) -> Bundle:
     """The bundle again, with the candidates that the answers about its keys leave."""
     row = bundles.slice(0, 1).to_pylist()[0]
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["text"]), np.uint8)
-    bundle = Bundle(pa.array(row["ids"], pa.int64()), raw, np.array([0, *row["ends"]], np.int64), length)
+    bundle = Bundle(pa.array(row["ids"], pa.int64()), _opened(row["text"]), np.array([0, *row["ends"]], np.int64), length)
     codes = answers.filter(pa.compute.greater_equal(answers.column("pieces"), 0)).sort_by("bucket")
     _, of = bundle.grouped(key_buckets)
     bundle.candidates(_joined(codes, "codes", np.uint8)[of], piece_buckets)
     return bundle
 
 
-_PIECES = "bundle bigint, bucket int, text binary, ends binary, route binary, low binary"
+_PIECES = "bundle bigint, bucket int, text binary, sizes binary, route binary, low binary"
 
 
 def _cut(length: int, key_buckets: int, piece_buckets: int):
     schema = pa.schema([("bundle", pa.int64()), ("bucket", pa.int32()),
-                        *((n, pa.binary()) for n in ("text", "ends", "route", "low"))])
+                        *((n, pa.binary()) for n in ("text", "sizes", "route", "low"))])
 
     def run(key: tuple, bundles: pa.Table, answers: pa.Table) -> pa.Table:
         bundle = _reopened(bundles, answers, length, key_buckets, piece_buckets)
         sent = []
         for bucket, own in _spread(bundle.bucket):
             pieces = bundle.pieces[own]
-            sent.append((key[0].as_py(), bucket, b"".join(pieces), np.cumsum([len(p) for p in pieces]).astype(np.int64).tobytes(),
-                         bundle.route[own].tobytes(), bundle.documents[own].tobytes()))
+            sent.append((key[0].as_py(), bucket, *map(_packed, (
+                b"".join(pieces), np.array([len(p) for p in pieces], np.uint16), bundle.route[own], bundle.documents[own]))))
         return pa.table([pa.array([r[i] for r in sent], f.type) for i, f in enumerate(schema)], schema=schema)
     return run
 
@@ -378,19 +389,23 @@ def _collected(length: int, most: int):
     def run(key: tuple, sent: pa.Table) -> pa.Table:
         place: dict[bytes, int] = {}
         index, routes, lows = [], [], []
-        for text, ends, route, low in zip(*(sent.column(c).to_pylist() for c in ("text", "ends", "route", "low"))):
-            ends = np.frombuffer(ends, np.int64).tolist()
+        for text, sizes, route, low in zip(*(sent.column(c).to_pylist() for c in ("text", "sizes", "route", "low"))):
+            text, ends = _opened(text).tobytes(), np.cumsum(_opened(sizes, np.uint16), dtype=np.int64).tolist()
             index.append(np.array([place.setdefault(text[b:e], len(place)) for b, e in zip([0, *ends], ends)], np.int64))
-            routes.append(np.frombuffer(route, np.uint32))
-            lows.append(np.frombuffer(low, np.int64))
+            routes.append(_opened(route, np.uint32))
+            lows.append(_opened(low, np.int64))
         pieces, all_index = list(place), np.concatenate(index)
         route = np.zeros(len(pieces), np.uint32)
         route[all_index] = np.concatenate(routes)
         documents = np.full(len(pieces), _MOST, np.int64)
         np.minimum.at(documents, all_index, np.concatenate(lows))
         order = np.argsort(route, kind="stable")
+        alone = np.append(True, route[order][1:] != route[order][:-1])
+        alone &= np.append(alone[1:], True)
+        # A collection of one member has nothing to sort: its windows are of its own document.
+        answers: list = [(1, bytes([len(p) - length + 1]), d) for p, d in zip(pieces, map(np.ndarray.tobytes, documents[:, None]))]
+        order = order[~alone]
         sizes = np.cumsum([len(pieces[i]) for i in order])
-        answers: list = [None] * len(pieces)
         begin = 0
         while begin < len(order):
             end = int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + most, "right"))
@@ -404,8 +419,8 @@ def _collected(length: int, most: int):
         rows = []
         for bundle, own in zip(sent.column("bundle").to_pylist(), index):
             parts = [answers[i] for i in own.tolist()]
-            rows.append((bundle, key[0].as_py(), -1, b"", bytes(p[0] for p in parts), b"".join(p[1] for p in parts),
-                         b"".join(p[2] for p in parts)))
+            rows.append((bundle, key[0].as_py(), -1, None, *map(_packed, (
+                bytes(p[0] for p in parts), b"".join(p[1] for p in parts), b"".join(p[2] for p in parts)))))
         return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_ANSWER_SCHEMA)],
                         schema=_ANSWER_SCHEMA)
     return run
@@ -445,7 +460,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, limits: Limits = Limits())
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     key_buckets = -(-size // limits.key_bucket) or 1
-    bundles = scratch.settle(texts.mapInArrow(_bundled(length, key_buckets, limits.bundle), _BUNDLES), "bundles", "none")
+    bundles = scratch.settle(texts.mapInArrow(_bundled(length, key_buckets, limits.bundle), _BUNDLES), "bundles", "zstd")
     codes = scratch.settle(
         bundles.select("bundle", F.inline("keys")).groupBy("bucket").applyInArrow(_shared(limits.hot), _ANSWERS), "codes")
     pieces = codes.agg(F.sum("pieces")).first()[0] or 0
