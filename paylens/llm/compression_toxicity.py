@@ -1,14 +1,14 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled documents.  The ordinary one
-is trained by zstandard on windows of ordinary text.  The toxic one is that
-same content followed by the strings that set toxic text apart: the spans
-covered by byte n-grams far more frequent in toxic than in ordinary documents,
-most frequent last.  (zstandard's own trainer cuts so short a material into
-fragments that match ordinary words; the content is therefore laid down
-directly.)  Equal content and equal offsets make ordinary text compress alike
-under both, so a window's difference in compressed length speaks of toxic
-material alone.
+Two zstandard dictionaries are trained on windows of labelled documents.  The
+ordinary one learns from windows of ordinary text.  A toxic document is mostly
+ordinary text too, so the toxic one learns from its telling windows: the
+stretches covered by byte n-grams far more frequent in toxic than in ordinary
+documents.  It is as large as these windows have different bytes, within a
+limit.  Both models share the ordinary content at equal offsets (zeros stand for
+the toxic part of the ordinary one), so ordinary text compresses alike under
+both, and a window's difference in compressed length speaks of toxic material
+alone.
 
 Before that, letters are recoded by their place in the word (a fixed
 permutation per place), so both dictionaries match words from their beginning:
@@ -28,7 +28,6 @@ ignored by ``score`` and kept by ``without_toxic``.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,7 +51,10 @@ WINDOW, STEP = 64, 32
 #: Byte thresholds whose window shares are features.
 BYTES = (3, 4, 5)
 GRAM, GRAM_SPACE = 5, 1 << 22
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048
+#: Bytes of the ordinary dictionary, and at most of the toxic one.
+ORDINARY_BYTES, TOXIC_BYTES = 8192, 8192
+#: Windows of the sample that the ordinary dictionary is trained on, spread evenly.
+ORDINARY_WINDOWS = 60_000
 #: A gram is toxic at this ratio of document shares and this share of toxic documents.
 RATIO, LEAST_SHARE, LEAST_DOCUMENTS = 8.0, 0.01, 4
 
@@ -109,11 +111,12 @@ def _document_counts(texts: list[bytes]) -> np.ndarray:
     return counts
 
 
-def _toxic_content(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
+def _telling_windows(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Stretches of toxic texts that are covered by toxic n-grams."""
     of_toxic, of_ordinary = _document_counts(toxic), _document_counts(ordinary)
     hot = of_toxic / len(toxic) > RATIO * (of_ordinary + 0.5) / len(ordinary)
     hot &= of_toxic >= max(LEAST_DOCUMENTS, LEAST_SHARE * len(toxic))
-    spans: Counter[bytes] = Counter()
+    windows: list[bytes] = []
     for text in toxic:
         here = hot[_grams(text)]
         if here.any():
@@ -121,13 +124,15 @@ def _toxic_content(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
             for j in range(GRAM):
                 covered[1 + j:1 + j + len(here)] |= here
             edges = np.flatnonzero(np.diff(covered))
-            spans.update(text[b:e] for b, e in zip(edges[::2], edges[1::2]))
-    content: list[bytes] = []
-    for span, _ in sorted(spans.items(), key=lambda x: (-x[1], x[0])):
-        if sum(map(len, content)) + len(span) > TOXIC_BYTES:
-            break
-        content.append(span)
-    return b"".join(reversed(content))
+            windows += [text[b:e] for b, e in zip(edges[::2], edges[1::2])]
+    return windows
+
+
+def _dictionary(windows: list[bytes], size: int, d: int, k: int) -> bytes:
+    try:
+        return zstandard.train_dictionary(size, windows, d=d, k=k).as_bytes()
+    except zstandard.ZstdError:  # too little text to train on: take it as it is
+        return b"".join(windows)[-size:]
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -222,12 +227,10 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
     if not toxic or not ordinary:
         return None
     windows = [t[i:i + WINDOW] for t in ordinary for i in range(0, max(1, len(t) - WINDOW + 1), WINDOW)]
-    windows = windows[:: -(-len(windows) // 60_000)]
-    try:
-        base = zstandard.train_dictionary(ORDINARY_BYTES, windows, d=6, k=16).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on: take it as it is
-        base = b"".join(windows)[-ORDINARY_BYTES:]
-    extra = _toxic_content(toxic, ordinary)
+    base = _dictionary(windows[:: -(-len(windows) // ORDINARY_WINDOWS)], ORDINARY_BYTES, d=6, k=16)
+    telling = _telling_windows(toxic, ordinary)
+    size = min(max(sum(map(len, set(telling))), 256), TOXIC_BYTES)
+    extra = _dictionary(telling, size, d=8, k=16) if telling else b""
     # Equal lengths keep the offsets of the shared content equal.
     model = Model(base + bytes(len(extra)), base + extra, ())
     features = Features(model)
@@ -246,16 +249,30 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = (labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     chosen = about(known, "toxic", SAMPLE_PER_LABEL, F.xxhash64("doc_id", F.lit("toxicity")))
-    # The sample is bounded by SAMPLE_PER_LABEL, hence the broadcast.
+    # The sample is bounded by SAMPLE_PER_LABEL, hence the broadcast and the one task that learns from it.
     rows = (docs.select("doc_id", "text").filter("text is not null")
             .join(F.broadcast(chosen), "doc_id")
-            .select(spread(F.col("text"), SAMPLE_MAX_CHARS).alias("text"), "toxic").collect())
-    missing = {0, 1} - {r.toxic for r in rows}
+            .select(spread(F.col("text"), SAMPLE_MAX_CHARS).alias("text"), F.col("toxic").cast("int").alias("toxic")))
+    learnt = bounded_batches(rows).repartition(1).mapInArrow(
+        _trained, "labels array<int>, ordinary binary, toxic binary, weights array<double>").first()
+    missing = {0, 1} - set(learnt.labels if learnt else ())
     if missing:
         missing &= {r.toxic for r in known.select("toxic").distinct().collect()}
         if missing and not docs.isEmpty():
             raise ValueError(f"No document to learn from has the toxic label {sorted(missing)}.")
-    return train([(r.text, r.toxic) for r in rows])
+        return None
+    return Model(bytes(learnt.ordinary), bytes(learnt.toxic), tuple(learnt.weights))
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The labels of all rows, and the model if there are both."""
+    rows = [row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic")))]
+    model = train(rows)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([sorted({label for _, label in rows})], pa.list_(pa.int32())),
+         pa.array([model and model.ordinary], pa.binary()), pa.array([model and model.toxic], pa.binary()),
+         pa.array([model and list(model.weights)], pa.list_(pa.float64()))],
+        names=["labels", "ordinary", "toxic", "weights"])
 
 
 def _scored(model: Model | None):
