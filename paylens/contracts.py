@@ -1,11 +1,13 @@
 """The five datasets: contracts, keys, event-time fields and relationships.
 
 Everything here is plain data.  ``operators.schema_rules`` turns a contract
-into Column expressions; nothing walks records in Python.
+into Column expressions; nothing walks records in Python.  ``with_schema`` takes
+a contract's fields from a JSON Schema document instead.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, field as default, replace
 
@@ -24,6 +26,9 @@ class Field:
     maximum: float | None = None
     exclusive_minimum: float | None = None
     format: str | None = None
+    exclusive_maximum: float | None = None
+    min_length: int | None = None
+    max_length: int | None = None
 
 
 @dataclass(frozen=True)
@@ -41,6 +46,13 @@ class Dataset:
     event_field: str
     fields: tuple[Field, ...]
     references: tuple[Reference, ...] = default(default=())
+    #: Names a record must have (None: all), and whether it may have others.
+    required: tuple[str, ...] | None = None
+    closed: bool = True
+
+    @property
+    def required_names(self) -> tuple[str, ...]:
+        return self.field_names if self.required is None else self.required
 
     @property
     def file_name(self) -> str:
@@ -83,6 +95,66 @@ def widened(dataset: Dataset) -> Dataset:
         for f in dataset.fields))
 
 
+#: JSON Schema keywords of a field and where they are kept.
+KEYWORDS = {"type": "kind", "enum": "enum", "pattern": "pattern", "minimum": "minimum", "maximum": "maximum",
+            "exclusiveMinimum": "exclusive_minimum", "exclusiveMaximum": "exclusive_maximum",
+            "minLength": "min_length", "maxLength": "max_length", "format": "format"}
+KINDS = ("string", "number", "integer", "boolean")
+#: Keywords that say nothing about records.
+NOTES = {"$schema", "$id", "$comment", "title", "description", "examples", "default", "deprecated"}
+
+
+def _schema_field(name: str, rules: object) -> Field:
+    if not isinstance(rules, dict):
+        raise ValueError(f"{name}: a field needs an object of keywords")
+    unknown = set(rules) - set(KEYWORDS) - NOTES
+    if unknown:
+        raise ValueError(f"{name}: no rule for {', '.join(sorted(unknown))}")
+    if not re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name) or rules.get("type") not in KINDS:
+        raise ValueError(f"{name}: a field needs a plain name and one type of {', '.join(KINDS)}")
+    enum = rules.get("enum", ())
+    if enum and (rules["type"] != "string" or not all(isinstance(v, str) for v in enum)):
+        raise ValueError(f"{name}: only texts can be listed")
+    texts = [rules[k] for k in ("pattern", "format") if k in rules]
+    if any("'" in t or '"' in t for t in (*enum, *texts)):
+        raise ValueError(f"{name}: quotes are not supported in values and patterns")
+    return Field(name, rules["type"], **{
+        KEYWORDS[k]: tuple(v) if k == "enum" else v for k, v in rules.items() if k in KEYWORDS and k != "type"})
+
+
+def with_schema(dataset: Dataset, text: str) -> Dataset:
+    """The dataset with the fields of a JSON Schema document (draft 2020-12).
+
+    Keywords without a rule are refused, never skipped.  Keys, event time and
+    relationships stay, and must be fields of the new contract.
+    """
+    schema = json.loads(text)
+    unknown = set(schema) - NOTES - {"type", "additionalProperties", "required", "properties"}
+    if unknown or schema.get("type") != "object" or not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{dataset.name}: not a schema of plain records ({', '.join(sorted(unknown)) or 'type'})")
+    fields = tuple(_schema_field(n, rules) for n, rules in schema.get("properties", {}).items())
+    names = tuple(f.name for f in fields)
+    required = tuple(schema.get("required", ()))
+    needed = {dataset.primary_key, dataset.event_field, *required, *(f for r in dataset.references for f in r.fields)}
+    if needed - set(names):
+        raise ValueError(f"{dataset.name}: no field {', '.join(sorted(needed - set(names)))}")
+    return replace(dataset, fields=fields, closed=not schema.get("additionalProperties", True),
+                   required=None if required == names else required)
+
+
+def as_schema(dataset: Dataset) -> str:
+    """The contract as a JSON Schema document; ``with_schema`` reads it back."""
+    spelled = {v: k for k, v in KEYWORDS.items()}
+    properties = {}
+    for f in dataset.fields:
+        values = {spelled[k]: getattr(f, k) for k in spelled}
+        properties[f.name] = {k: list(v) if k == "enum" else v for k, v in values.items() if v not in (None, ())}
+    return json.dumps({
+        "$schema": "https://json-schema.org/draft/2020-12/schema", "title": f"{dataset.name} {CONTRACT_VERSION}",
+        "type": "object", "additionalProperties": not dataset.closed, "required": list(dataset.required_names),
+        "properties": properties}, indent=2)
+
+
 CUSTOMERS = Dataset(
     "customers", "customer_id", "created_at",
     (

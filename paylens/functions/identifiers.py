@@ -24,7 +24,8 @@ def check_run_id(run_id: str) -> str:
 
 
 def is_run_id(text: Column) -> Column:
-    return text.rlike(RUN_ID_PATTERN)
+    # Nothing may follow; in Java "$" lies before a line end, too.
+    return text.rlike(RUN_ID_PATTERN.removesuffix("$") + r"\z")
 
 
 def relative_key(path: Column) -> Column:

@@ -1,13 +1,34 @@
-"""Members of a VARIANT record: presence, JSON kind, text, number, typed key."""
+"""JSON text as VARIANT, and a record's members: presence, JSON kind, text, number, typed key."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the characters that count as blank around a record.
+BLANK = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 NUMERIC = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
+def is_blank(line: Column) -> Column:
+    return ~line.rlike(f"[^{BLANK}]")
+
+
+def stripped(line: Column) -> Column:
+    """The line without blank characters around it."""
+    return F.regexp_replace(line, rf"^[{BLANK}]+|[{BLANK}]+\z", "")
+
+
+def as_variant(text: Column) -> Column:
+    """JSON text as VARIANT, NULL when malformed; NaN and Infinity are numbers.
+
+    Of repeated names the last one wins (``spark.sql.variant.allowDuplicateKeys``).
+    """
+    return F.from_json(text, "variant", {
+        "allowNonNumericNumbers": "true", "allowSingleQuotes": "false", "mode": "PERMISSIVE"})
+
+
 def kind_sql(record: str, name: str) -> str:
     """STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID (JSON null), OBJECT<…>, ARRAY<…>;
     SQL NULL when the member is absent."""

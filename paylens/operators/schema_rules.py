@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from paylens.contracts import HARD_FAIL, Dataset
 from paylens.functions.calendar import FORMAT_CHECKS
-from paylens.functions.json_fields import NUMERIC, kind_sql
+from paylens.functions.json_fields import NUMERIC, as_variant, kind_sql, stripped
+from paylens.functions.patterns import java_pattern
 
 RULE_GROUPS = {"schema": 0, "unique": 1, "referential_integrity": 2, "late_arriving_event": 3}
 
@@ -58,6 +59,11 @@ def _members(dataset: Dataset) -> str:
     return f"array({_list(dataset.field_names)})"
 
 
+def _unknown(dataset: Dataset) -> str:
+    """Names of the parsed record that the contract does not have."""
+    return f"array_except(map_keys(try_variant_get(record, '$', 'map<string,variant>')), {_members(dataset)})"
+
+
 def with_members(parsed: DataFrame, dataset: Dataset) -> DataFrame:
     """Kind and typed value of every contract field, each extracted once.
 
@@ -82,12 +88,11 @@ def contract_rules(dataset: Dataset) -> list[Rule]:
 
     An absent field breaks only ``required``: every other predicate is NULL.
     """
-    # Names from the parsed record: the line is not read again.
-    names = "map_keys(try_variant_get(record, '$', 'map<string,variant>'))"
-    unknown = f"size(array_except({names}, {_members(dataset)})) > 0"
-    rules = [Rule("record", "additionalProperties", unknown, 0, " unexpected)")]
+    rules = []
+    if dataset.closed:
+        rules.append(Rule("record", "additionalProperties", f"size({_unknown(dataset)}) > 0", 0, " unexpected)"))
     rules += [Rule("record", "required", f"_kind_{n} is null", -1, f"'{n}' is a required property")
-              for n in dataset.field_names]
+              for n in dataset.required_names]
     for f in sorted(dataset.fields, key=lambda f: f.name):
         kind, number, string = f"_kind_{f.name}", f"_number_{f.name}", f"_string_{f.name}"
         quoted = dataset.field_names.index(f.name) + 1
@@ -105,15 +110,23 @@ def contract_rules(dataset: Dataset) -> list[Rule]:
             add("enum", f"{kind} is not null and not coalesce({string} in ({_list(f.enum)}), false)",
                 f" is not one of [{_list(f.enum)}]")
         if f.pattern:
-            add("pattern", f"not {string} rlike {_literal(f.pattern)}",
+            add("pattern", f"not {string} rlike {_literal(java_pattern(f.pattern))}",
                 f" does not match '{f.pattern}'")
         if f.minimum is not None:
             add("minimum", f"{number} < {f.minimum}", f" is less than the minimum of {f.minimum}")
         if f.maximum is not None:
-            add("maximum", f"{number} > {f.maximum}", f" is greater than the maximum of {f.maximum}")
+            add("maximum", f"{number} > {f.maximum} and not isnan({number})", f" is greater than the maximum of {f.maximum}")
         if f.exclusive_minimum is not None:
             add("exclusiveMinimum", f"{number} <= {f.exclusive_minimum}",
                 f" is less than or equal to the minimum of {f.exclusive_minimum}")
+        if f.exclusive_maximum is not None:
+            add("exclusiveMaximum", f"{number} >= {f.exclusive_maximum} and not isnan({number})",
+                f" is greater than or equal to the maximum of {f.exclusive_maximum}")
+        if f.min_length is not None:
+            add("minLength", f"length({string}) < {f.min_length}",
+                " should be non-empty" if f.min_length == 1 else " is too short")
+        if f.max_length is not None:
+            add("maxLength", f"length({string}) > {f.max_length}", " is too long")
         if f.format:
             add("format", f"{string} is not null and not {FORMAT_CHECKS[f.format].format(v=string)}",
                 f" is not a '{f.format}'")
@@ -138,12 +151,12 @@ def expand_broken_rules(rows: DataFrame, dataset: Dataset) -> DataFrame:
     Quoted values are extracted here, for broken records only, so that the
     check of all records stays small.
     """
-    unknown = f"array_except(json_object_keys(line), {_members(dataset)})"
+    unknown = _unknown(dataset)
     named = (f"concat('Additional properties are not allowed (', "
              f"'\\'', array_join(array_sort({unknown}), '\\', \\''), '\\'', "
              f"if(size({unknown}) = 1, ' was', ' were'))")
     quoted = ", ".join([named] + [_quoted_sql(n) for n in dataset.field_names])
-    record = rows.withColumn("record", F.parse_json("line"))
+    record = rows.withColumn("record", as_variant(stripped(F.col("line"))))
     each = record.selectExpr(
         "*", *[f"{kind_sql('record', n)} as _kind_{n}" for n in dataset.field_names],
     ).selectExpr(*rows.columns, f"array({quoted}) as quoted", "explode(broken) as number")
@@ -153,7 +166,9 @@ def expand_broken_rules(rows: DataFrame, dataset: Dataset) -> DataFrame:
 def _quoted_sql(name: str) -> str:
     text = f"try_variant_get(record, '$.{name}', 'string')"
     return (f"case _kind_{name} when 'STRING' then concat('\\'', {text}, '\\'') "
-            f"when 'VOID' then 'None' when 'BOOLEAN' then initcap({text}) else {text} end")
+            f"when 'VOID' then 'None' when 'BOOLEAN' then initcap({text}) "
+            f"else case {text} when 'NaN' then 'nan' when 'Infinity' then 'inf' when '-Infinity' then '-inf' "
+            f"else {text} end end")
 
 
 def rule_failure(dataset: Dataset, number: str, quoted: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.contracts import (
-    DATASETS, HARD_FAIL, WARN, Dataset, with_ancestors)
+    DATASETS, HARD_FAIL, WARN, Dataset, with_ancestors, with_schema)
 from paylens.functions.calendar import event_time
 from paylens.functions.identifiers import check_run_id
 from paylens.functions.json_fields import member_text, typed_key
@@ -21,10 +21,12 @@ from paylens.operators.schema_rules import (
     RULE_GROUPS, expand_broken_rules, failure, with_broken_rules)
 from paylens.operators.uniqueness import repeated_rows
 from paylens.operators.verdicts import dataset_report
-from paylens.sources.jsonl import read_json_lines
-from paylens.workspace import settle, together
+from paylens.sources.jsonl import (
+    NOT_JSON, PLACE, explained, numbered, scan_json_lines, split_index, stripped)
+from paylens.workspace import Storage, settle, together, workers_for
 
-ROW_ID = ["source_file", "line_number"]
+#: A row's place, which also is its order; numbers are looked up for failures only.
+ROW_ID = PLACE
 FAILURE_COLUMNS = ["rule_group", "seq", "field", "rule", "severity", "message"]
 
 
@@ -41,11 +43,20 @@ def key_fields(dataset: Dataset) -> list[str]:
 
 
 def stage_rows(parsed: DataFrame, dataset: Dataset) -> DataFrame:
-    """Parsed lines with everything later rules need, so JSON is parsed once."""
+    """Parsed lines with everything later rules need, so JSON is parsed once.
+
+    Lines that come with a number keep it; those of a scan keep their place,
+    and blank lines, which the numbers of the others depend on.
+    """
     pk, when = dataset.primary_key, f"_string_{dataset.event_field}"
+    if "line_number" in parsed.columns:
+        parsed = parsed.withColumns({"split_start": F.lit(0).cast("bigint"), "row_id": F.col("line_number"),
+                                     "blank": F.lit(False)})
     return with_broken_rules(parsed, dataset).select(
         F.lit(dataset.name).alias("dataset"),
         *ROW_ID,
+        *[c for c in ("line_number",) if c in parsed.columns],
+        "blank",
         "line",
         "problem",
         F.when(F.col(f"_kind_{pk}").isNull(), "UNKNOWN").otherwise(member_text("record", pk))
@@ -56,28 +67,35 @@ def stage_rows(parsed: DataFrame, dataset: Dataset) -> DataFrame:
     )
 
 
+def _place(rows: DataFrame) -> list[str]:
+    return [*ROW_ID, *[c for c in ("line_number",) if c in rows.columns]]
+
+
 def _long(rows: DataFrame, invalid_value=None) -> DataFrame:
     return rows.select(
-        "dataset", *ROW_ID, "record_id",
+        "dataset", *_place(rows), "record_id",
         *[F.col(f"failure.{c}").alias(c) for c in FAILURE_COLUMNS],
         (F.lit(None).cast("string") if invalid_value is None else invalid_value)
         .alias("invalid_value"))
 
 
 def malformed_failures(stage: DataFrame) -> DataFrame:
-    broken = stage.filter(F.col("problem").isNotNull()).withColumn("failure", failure(
+    """Malformed lines; of those that are no JSON at all, with the decoder's message."""
+    rows = stage.filter(F.col("problem").isNotNull()).select("dataset", *_place(stage), "record_id", "line", "problem")
+    rows = explained(rows.filter(F.col("problem") == NOT_JSON)).unionByName(rows.filter(F.col("problem") != NOT_JSON))
+    broken = rows.withColumn("failure", failure(
         "schema", 0, F.lit(None).cast("string"), "valid_json_lines", HARD_FAIL, F.col("problem")))
-    return _long(broken, F.trim("line"))
+    return _long(broken, stripped(F.col("line")))
 
 
 def contract_failures(stage: DataFrame, dataset: Dataset) -> DataFrame:
     broken = stage.filter(F.size("broken") > 0).select(
-        "dataset", *ROW_ID, "record_id", "line", "broken")
+        "dataset", *_place(stage), "record_id", "line", "broken")
     return _long(expand_broken_rules(broken, dataset))
 
 
 def duplicate_failures(stage: DataFrame, dataset: Dataset) -> DataFrame:
-    narrow = stage.select("dataset", *ROW_ID, "record_id", key_column(dataset.primary_key))
+    narrow = stage.select("dataset", *_place(stage), "record_id", key_column(dataset.primary_key))
     copies = repeated_rows(narrow, key_column(dataset.primary_key))
     return _long(copies.withColumn("failure", failure(
         "unique", 0, F.lit(dataset.primary_key), "unique", HARD_FAIL,
@@ -87,12 +105,12 @@ def duplicate_failures(stage: DataFrame, dataset: Dataset) -> DataFrame:
 def reference_failures(stage: DataFrame, dataset: Dataset,
                        valid_parents: dict[str, DataFrame]) -> DataFrame:
     keys = sorted({key_column(f) for r in dataset.references for f in r.fields})
-    narrow = stage.select("dataset", *ROW_ID, "record_id", *keys)
+    narrow = stage.select("dataset", *_place(stage), "record_id", *keys)
     return _long(missing_references(narrow, dataset, valid_parents))
 
 
 def late_warnings(stage: DataFrame, dataset: Dataset) -> DataFrame:
-    late = late_rows(stage.select("dataset", *ROW_ID, "record_id", "event_time"))
+    late = late_rows(stage.select("dataset", *_place(stage), "record_id", "event_time"))
     return _long(late.withColumn("failure", failure(
         "late_arriving_event", 0, F.lit(dataset.event_field), "late_arriving_event", WARN,
         F.concat(F.lit("Transaction timestamp is "), F.col("days_behind").cast("string"),
@@ -117,7 +135,7 @@ def find_failures(stage: DataFrame, dataset: Dataset, malformed: bool,
 def in_report_order(failures: DataFrame) -> DataFrame:
     """Rule family first; schema failures by line then path, relationships by rule then line."""
     by_rule = F.when(F.col("rule_group") == RULE_GROUPS["referential_integrity"], F.col("seq"))
-    return failures.orderBy("rule_group", F.coalesce(by_rule, F.lit(0)), *ROW_ID, "seq")
+    return failures.orderBy("rule_group", F.coalesce(by_rule, F.lit(0)), "source_file", "line_number", "seq")
 
 
 @dataclass
@@ -126,12 +144,17 @@ class Outcome:
 
     dataset: Dataset
     stage: DataFrame
-    failures: DataFrame
+    found: DataFrame
     malformed: bool
 
+    @property
+    def failures(self) -> DataFrame:
+        """One row per failure, with its line number."""
+        return self.found.drop("split_start", "row_id")
+
     @property
     def invalid_ids(self) -> DataFrame:
-        return self.failures.filter(F.col("severity") != WARN).select(*ROW_ID).distinct()
+        return self.found.filter(F.col("severity") != WARN).select(*ROW_ID).distinct()
 
     @property
     def split_rows(self) -> DataFrame:
@@ -171,16 +194,30 @@ class Outcome:
         return dataset_report(self.stage, self.failures, self.dataset.name)
 
 
-def stage_batch(parsed: DataFrame, dataset: Dataset) -> DataFrame:
-    return settle(stage_rows(parsed, dataset), f"stage-{dataset.name}")
+@dataclass
+class Staged:
+    """A written stage, and the index of its splits unless its lines came with numbers."""
+
+    rows: DataFrame
+    index: DataFrame | None
+
 
+def stage_batch(parsed: DataFrame, dataset: Dataset) -> Staged:
+    written = settle(stage_rows(parsed, dataset), f"stage-{dataset.name}")
+    index = None if "line_number" in written.columns else split_index(written)
+    return Staged(written.filter(~F.col("blank")).drop("blank"), index)
 
-def check_stage(stage: DataFrame, dataset: Dataset,
+
+def check_stage(staged: Staged, dataset: Dataset,
                 valid_parents: dict[str, DataFrame] | None) -> Outcome:
+    stage = staged.rows
     malformed = not stage.filter(F.col("problem").isNotNull()).isEmpty()
-    failures = settle(
-        find_failures(stage, dataset, malformed, valid_parents), f"failures-{dataset.name}")
-    return Outcome(dataset, stage, failures, malformed)
+    found = find_failures(stage, dataset, malformed, valid_parents)
+    if staged.index is not None:
+        place = [F.col(c) for c in ROW_ID[1:]]
+        kept = found.withColumns({f"_{c}": v for c, v in zip(ROW_ID[1:], place)})
+        found = numbered(kept, staged.index).withColumnsRenamed({f"_{c}": c for c in ROW_ID[1:]})
+    return Outcome(dataset, stage, settle(found, f"failures-{dataset.name}"), malformed)
 
 
 def validate_lines(parsed: DataFrame, dataset: Dataset,
@@ -210,13 +247,19 @@ def validate_suite(batches: dict[str, DataFrame],
         return check_stage(stage, contracts[name],
                            {p: running[p].result().valid_keys for p in parents})
 
-    # Parents are submitted first and every batch has a thread, so none waits in vain.
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+    # Parents are submitted first, so what a batch waits for is running or done.
+    with ThreadPoolExecutor(max_workers=workers_for(len(names))) as pool:
         for name in names:
             running[name] = pool.submit(copy_context().run, validate, name)
     return {n: running[n].result() for n in names}
 
 
+def load_contracts(spark: SparkSession, folder: str) -> dict[str, Dataset]:
+    """The datasets with the contracts of ``<folder>/<dataset>.schema.json``."""
+    storage = Storage(spark)
+    return {n: with_schema(d, storage.read_text(f"{folder.rstrip('/')}/{n}.schema.json")) for n, d in DATASETS.items()}
+
+
 def validate_run(spark: SparkSession, run_id: str, raw_run_dir: str,
                  dataset: str | None = None,
                  contracts: dict[str, Dataset] = DATASETS) -> dict[str, Outcome]:
@@ -224,13 +267,13 @@ def validate_run(spark: SparkSession, run_id: str, raw_run_dir: str,
     check_run_id(run_id)
     names = with_ancestors(dataset) if dataset else tuple(DATASETS)
     return validate_suite(together({
-        n: partial(read_json_lines, spark, f"{raw_run_dir}/{DATASETS[n].file_name}")
+        n: partial(scan_json_lines, spark, f"{raw_run_dir}/{DATASETS[n].file_name}")
         for n in names}), contracts)
 
 
 def validate_file(spark: SparkSession, dataset: str, path: str) -> Outcome:
     """Validate one standalone file; relationships are not checked."""
-    return validate_lines(read_json_lines(spark, path), DATASETS[dataset], None)
+    return validate_lines(scan_json_lines(spark, path), DATASETS[dataset], None)
 
 
 def suite_reports(outcomes: dict[str, Outcome]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.functions.identifiers import utc_text
+from paylens.functions.json_fields import stripped
 from paylens.plans.validation import ROW_ID, Outcome
 from paylens.workspace import Storage, small_rows, together
 
@@ -21,7 +22,7 @@ AUDIT_FIELDS = (
 def _write_lines(rows: DataFrame, path: str, keep_order: bool) -> str:
     """Record text, one per line; ``keep_order`` range-sorts by file and line first."""
     ordered = rows.orderBy(*ROW_ID) if keep_order else rows
-    ordered.select(F.trim("line").alias("line")).write.mode("overwrite").text(path)
+    ordered.select(stripped(F.col("line")).alias("line")).write.mode("overwrite").text(path)
     return path
 
 
@@ -37,7 +38,7 @@ def _write_split(spark: SparkSession, outcome: Outcome, wanted: dict[str, str],
     draft = f"{wanted['validated_file'].rsplit('/', 1)[0]}/_{outcome.dataset.name}-{uuid.uuid4().hex}"
     rows = outcome.split_rows
     (rows.orderBy("valid", *ROW_ID) if keep_order else rows).select(
-        F.trim("line").alias("line"), "valid").write.partitionBy("valid").text(draft)
+        stripped(F.col("line")).alias("line"), "valid").write.partitionBy("valid").text(draft)
     for kind, path in wanted.items():
         part = f"{draft}/valid={str(kind == 'validated_file').lower()}"
         if not storage.exists(part):  # no such rows: an empty text folder

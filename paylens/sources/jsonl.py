@@ -1,15 +1,34 @@
-"""JSON-lines scan with line numbers and every malformed line kept."""
+"""JSON-lines scan with line numbers and every malformed line kept.
+
+Numbers never move text.  Lines are written once with their split and their
+place in it; an index of the splits (one short row each) then gives every split
+its first number, and meets the lines in joins of bounded, explicitly broadcast
+parts.  Whatever only needs to tell rows apart uses ``PLACE`` and resolves
+numbers for the few rows it shows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paylens.functions.json_fields import as_variant, is_blank, stripped
 from paylens.workspace import settle
 
 NOT_JSON = "Line is not valid JSON."
 NOT_OBJECT = "JSON line must contain an object."
 
+#: Where a line lies: its file, the first byte of its split, and an id that rises within the split.
+PLACE = ["source_file", "split_start", "row_id"]
+#: Splits that one broadcast part of the index may hold (about 100 bytes each).
+INDEX_SPLITS = 500_000
+
+
+
 def with_records(lines: DataFrame) -> DataFrame:
     """Add ``record`` (VARIANT, NULL when malformed) and ``problem`` to ``line`` rows.
 
@@ -17,21 +36,43 @@ def with_records(lines: DataFrame) -> DataFrame:
     Inside an object wrapper only ``,`` or ``}`` may follow the value, inside an
     array wrapper only ``,`` or ``]``; no trailing text satisfies both.  A line
     with a single pair of braces cannot hide a second one and skips the second
-    parse.  Each step is a column of its own, so nothing is parsed twice.
+    parse.  Each step is a column of its own, so nothing is parsed twice.  The
+    reader also takes INF and a leading plus sign, which are no JSON in any dialect.
     """
-    line, wrapped = F.col("line"), F.col("_wrapped")
-    flat = line.rlike(r"^\s*\{[^{}]*\}\s*$")
-    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    whole = wrapped.isNotNull() & (flat | listed.isNotNull())
-    is_object = line.rlike(r"^\s*\{")
+    text, wrapped = F.col("_text"), F.col("_wrapped")
+    flat = text.rlike(r"^\{[^{}]*\}$")
+    listed = as_variant(F.concat(F.lit("["), text, F.lit("]")))
+    bare = F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', "")
+    words = ~text.rlike(r"INF|[+]") | ~bare.rlike(r"INF|(?<![0-9][eE])[+]")
+    whole = wrapped.isNotNull() & (flat | listed.isNotNull()) & words
     return (
-        lines.withColumn("_wrapped", F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}"))))
-        .withColumn("problem", F.when(~whole, NOT_JSON).when(~is_object, NOT_OBJECT))
+        lines.withColumn("_text", stripped(F.col("line")))
+        .withColumn("_wrapped", as_variant(F.concat(F.lit('{"r":'), text, F.lit("}"))))
+        .withColumn("problem", F.when(~whole, NOT_JSON).when(~text.startswith("{"), NOT_OBJECT))
         .withColumn("record", F.when(
             F.col("problem").isNull(), F.try_variant_get(wrapped, "$.r", "variant")))
         .select(*lines.columns, "record", "problem"))
 
 
+def _explained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        messages = []
+        for line in batch["line"]:
+            try:
+                json.loads(line.strip())
+                messages.append(NOT_JSON)
+            except (json.JSONDecodeError, RecursionError) as error:
+                messages.append(getattr(error, "msg", NOT_JSON))
+        batch["problem"] = messages
+        yield batch
+
+
+def explained(malformed: DataFrame) -> DataFrame:
+    """Rows with a line that is not valid JSON, with the decoder's message as ``problem``."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in malformed.schema)
+    return malformed.mapInPandas(_explained, schema)
+
+
 def _text_reader(spark: SparkSession, name_filter: str | None):
     reader = spark.read.option("recursiveFileLookup", "true")
     return reader.option("pathGlobFilter", name_filter) if name_filter else reader
@@ -41,50 +82,85 @@ def plain_lines(spark: SparkSession, path: str, name_filter: str | None = None)
     """source_file, line of non-blank lines, without numbers: one scan, nothing stored."""
     return _text_reader(spark, name_filter).text(path).select(
         F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"),
-    ).filter(F.col("line").rlike(r"\S"))
+    ).filter(~is_blank(F.col("line")))
 
 
-def placed_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
-    """All lines, blank ones too, with their split and their place in it; written once.
+def scanned_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
+    """All lines, blank ones too, with their ``PLACE``; to be written before anything is numbered.
 
-    Whatever is computed from this table sees the same splits, however later
-    scans of the files would cut them.
+    Whatever is computed from the written table sees the same splits, however
+    later scans of the files would cut them.
     """
     # The id is taken directly above the scan: it rises with the position in a split.
-    return settle(_text_reader(spark, name_filter).text(path).select(
+    return _text_reader(spark, name_filter).text(path).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("row_id"),
-        F.col("value").alias("line")), "lines")
+        F.col("value").alias("line"))
 
 
-def numbered(placed: DataFrame) -> DataFrame:
-    """``placed_lines`` with the 1-based number of each line inside its file.
+def placed_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
+    """``scanned_lines``, written once."""
+    return settle(scanned_lines(spark, path, name_filter), "lines")
 
-    The running line count per file gives each split its first number.  Splits
-    and lines come from one written table; a line without a split is an error.
-    The split table is small next to the text, so Spark broadcasts it as long
-    as its size allows.
-    """
+
+def split_index(placed: DataFrame) -> DataFrame:
+    """One row per split of a written table with all lines' ``PLACE``: the scan task and the ids
+    it holds, and the number of lines before it in its file."""
     per_split = placed.groupBy("source_file", "split_start").agg(
-        F.min("row_id").alias("first_id"), F.count("*").alias("lines"))
+        F.min("row_id").alias("first_id"), F.max("row_id").alias("last_id"), F.count("*").alias("lines"))
     earlier = (
         Window.partitionBy("source_file").orderBy("split_start")
         .rowsBetween(Window.unboundedPreceding, -1))
-    starts = per_split.select(
-        "source_file", "split_start", "first_id",
-        F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("lines_before"))
-    number = F.col("row_id") - F.col("first_id") + F.col("lines_before") + 1
+    return settle(per_split.select(
+        _task(F.col("first_id")).alias("task"), "first_id", "last_id",
+        F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("lines_before")), "splits")
+
+
+def _task(row_id: Column) -> Column:
+    """Ids of one scan task share their upper bits; a task reads one split or some small ones."""
+    return F.shiftright(row_id, 33)
+
+
+def numbered(rows: DataFrame, index: DataFrame | None = None, most: int = INDEX_SPLITS) -> DataFrame:
+    """``rows`` with the 1-based ``line_number`` inside its file in the place of ``split_start``
+    and ``row_id``.
+
+    ``index`` is the ``split_index`` of the written table that all rows come
+    from; without it ``rows`` must be that table.  An index of more than ``most``
+    splits is cut by scan tasks; each part is broadcast to the rows of its tasks.
+    So rows are never shuffled, at any size.
+    """
+    index = split_index(rows) if index is None else index
+    size = index.agg(F.count("*").alias("splits"), F.coalesce(F.max("task"), F.lit(0)).alias("last")).first()
+    parts, found = max(1, -(-size["splits"] // most)), None
+    width = -(-(size["last"] + 1) // parts)
+    names = [c for c in rows.columns if c not in PLACE]
     lost = F.raise_error(F.concat(F.lit("No line count for a split of "), F.col("source_file")))
-    return placed.join(starts, ["source_file", "split_start"], "left").select(
-        "source_file", F.coalesce(number, lost.cast("bigint")).alias("line_number"), "line")
+    for part in range(parts):
+        own, starts = rows, index
+        if parts > 1:
+            low, high = part * width, (part + 1) * width
+            own = own.filter((F.col("row_id") >= low << 33) & (F.col("row_id") < high << 33))
+            starts = starts.filter((F.col("task") >= low) & (F.col("task") < high))
+        joined = own.join(F.broadcast(starts), (_task(F.col("row_id")) == F.col("task")) & (
+            F.col("row_id").between(F.col("first_id"), F.col("last_id"))), "left")
+        number = F.col("row_id") - F.col("first_id") + F.col("lines_before") + 1
+        joined = joined.select("source_file", F.coalesce(number, lost.cast("bigint")).alias("line_number"), *names)
+        found = joined if found is None else found.unionByName(joined)
+    return found
 
 
 def read_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
     """Non-blank lines with their 1-based number inside the file; files stay splittable."""
-    return numbered(placed_lines(spark, path, name_filter)).filter(F.col("line").rlike(r"\S"))
+    return numbered(placed_lines(spark, path, name_filter)).filter(~is_blank(F.col("line")))
 
 
 def read_json_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
     """source_file, line_number, line, record, problem — one row per non-blank line."""
     return with_records(read_lines(spark, path, name_filter))
+
+
+def scan_json_lines(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
+    """PLACE, line, blank, record, problem of all lines, to be written by who goes on with them."""
+    return with_records(scanned_lines(spark, path, name_filter).withColumn("blank", is_blank(F.col("line"))))

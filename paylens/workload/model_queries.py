@@ -554,12 +554,14 @@ def decimal_to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 select o_orderkey, regexp_matches(run_id, '^[0-9]{{8}}T[0-9]{{6}}Z_[0-9a-f]{{8}}$') as valid from (
   select o_orderkey, case o_orderstatus when 'F' then '{RUN_A}' when 'O' then
     '20260101T000000Z_' || lpad(cast(o_orderkey as varchar), 8, '0')
-    else '2026-01-01_' || cast(o_orderkey as varchar) end as run_id from orders)""")
+    else '2026-01-01_' || cast(o_orderkey as varchar) end || case o_orderkey % 5 when 0 then chr(13) when 1 then chr(10)
+    when 2 then chr(133) else '' end as run_id from orders)""")
 def run_id_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = run_sql(spark, sf_dir, f"""
         select o_orderkey, case o_orderstatus when 'F' then '{RUN_A}' when 'O' then
           concat('20260101T000000Z_', lpad(cast(o_orderkey as string), 8, '0'))
-          else concat('2026-01-01_', o_orderkey) end as run_id from {{orders}}""")
+          else concat('2026-01-01_', o_orderkey) end || case o_orderkey % 5 when 0 then chr(13) when 1 then chr(10)
+          when 2 then chr(133) else '' end as run_id from {{orders}}""")
     return rows.select("o_orderkey", is_run_id(F.col("run_id")).alias("valid"))
 
 

@@ -67,7 +67,7 @@ def _sql_rules(dataset: Dataset) -> list[tuple[str, str, str]]:
                           f"{t} is not null and not ({t} = 'VARCHAR' and {s} in ({values}))"))
         if f.pattern:
             rules.append((f.name, "pattern",
-                          f"{t} = 'VARCHAR' and not regexp_matches({s}, '{f.pattern}')"))
+                          f"{t} = 'VARCHAR' and not regexp_matches({s}, '{f.pattern.removesuffix("$")}\\n?$')"))
         for keyword, bound, sign in (("minimum", f.minimum, "<"), ("maximum", f.maximum, ">"),
                                      ("exclusiveMinimum", f.exclusive_minimum, "<=")):
             if bound is not None:

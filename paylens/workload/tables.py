@@ -151,7 +151,10 @@ _INTAKE_FIELDS = {
         "account_status": """case when c_acctbal between 0 and 100 then '"Dormant"'
           when c_acctbal between 100 and 150 then '7' when c_mktsegment = 'HOUSEHOLD'
           then '"Closed"' else '"Active"' end""",
-        "state": "case when c_acctbal between 200 and 300 then '\"ny\"' else '\"NY\"' end",
+        # A line end behind the state, as JSON writes it; only a line feed may stand there.
+        "state": "case when c_acctbal between 200 and 300 then '\"ny\"' when c_acctbal between 300 and 900 then "
+                 "'\"NY' || chr(92) || case c_nationkey % 4 when 0 then 'r' when 1 then 'u2028' when 2 then 'n' "
+                 "else 'u0041' end || '\"' else '\"NY\"' end",
         "created_at": f"""case when c_acctbal between -300 and -200 then '"2026-02-30"'
           when c_acctbal between -200 and -100 then '"2026-1-01"'
           else {_quoted(f"cast({_CREATED} as string)")} end""",
@@ -241,6 +244,11 @@ select o_orderkey, cast(year(o_orderdate) * 100 + month(o_orderdate) as string)
             when o_totalprice < 80000 then '{{"transaction_id": {{"a": ' || cast(o_orderkey as string)
               || '}}}}'
             when o_totalprice < 100000 then '   '
+            when o_totalprice < 110000 then '{{"transaction_id": "X", "transaction_id": "TXN_' || cast(o_orderkey as string) || '"}}'
+            when o_totalprice < 120000 then ' \u00a0\u3000'
+            when o_totalprice < 130000 then '{{"transaction_id": "TXN_' || cast(o_orderkey as string) || '", "amount": NaN}}'
+            when o_totalprice < 140000 then '{{"amount": -Infinity, "transaction_id": INF}}'
+            when o_totalprice < 150000 then '\u3000{{"transaction_id": "TXN_' || cast(o_orderkey as string) || '"}}'
             else '{{"transaction_id": "TXN_' || cast(o_orderkey as string) || '"}}' end as line
 from {orders}"""
 

@@ -1,8 +1,13 @@
 import json
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
+from paylens.functions.json_fields import kind_sql
+from paylens.plans.validation import validate_file
 from paylens.sources.jsonl import (
-    NOT_JSON, NOT_OBJECT, numbered, placed_lines, read_json_lines, read_lines)
+    NOT_JSON, NOT_OBJECT, numbered, placed_lines, read_json_lines, read_lines, split_index)
 
 
 def test_line_numbers_over_many_splits(spark, tmp_path):
@@ -52,3 +57,113 @@ def test_malformed_lines_are_all_kept(spark, tmp_path):
     (tmp_path / "f.json").write_text("\n".join(c for c, _ in cases))
     got = {r["line_number"]: r["problem"] for r in read_json_lines(spark, str(tmp_path)).collect()}
     assert got == {i: p for i, (_, p) in enumerate(cases, 1) if p != "blank"}
+
+
+def decoded(line):
+    """(problem, record) as a plain decoder sees the line; None for a blank one."""
+    text = line.strip()
+    if not text:
+        return None
+    try:
+        record = json.loads(text)
+    except json.JSONDecodeError:
+        return NOT_JSON, None
+    return (None, record) if isinstance(record, dict) else (NOT_OBJECT, None)
+
+
+GRAMMAR = [
+    '{"a": 1, "a": 2}', '{"a": {"b": 1, "b": 2}, "a": 3}', '{"a": NaN}', '{"a": Infinity}', '{"a": -Infinity}', '{"a": INF}',
+    '{"a": +INF}', '{"a": -INF}', '{"a": +1}', '{"a": +Infinity}', '{"a": "INF"}', '{"a": "x, INF", "b": NaN}', '{"a": nan}', "{'a': 1}",
+    '{a: 1}', '{"a": 01}', '{"a": 1.}', '{"a": .5}', '{"a": 1e5}', '{"a": 0x1}', '{"a": True}', '{"a": 1,}', '{"a": 1, /* c */ "b": 2}',
+    '\u00a0', '\u3000 \u2003', '\x1c', '\u00a0{"a": 1}\u3000', '\u200b', '\ufeff{"a": 1}', '{"a":\u00a01}', '{"a": "\t"}', '{"a": "\\x"}',
+    '{"a": "\\u12"}', '{"a": "\\ud800"}', '{}', '[]', '', 'NaN', '"x"', '[{"a": 1}]', '{"a": 1}{"a": 1}', '{"a": [1, 2}', '{"": 1}', '{"a" 1}',
+    '{"a": [NaN, {"b": Infinity}]}', '{"a": 123456789012345678901234567890}', '{"a": 1e999}', '{"a": -0.0}',
+]
+
+
+def test_grammar_is_the_decoders(spark, tmp_path):
+    (tmp_path / "g.json").write_text("\n".join(GRAMMAR))
+    rows = read_json_lines(spark, str(tmp_path)).withColumn("kind", F.expr(kind_sql("record", "a"))).withColumn(
+        "names", F.expr("array_sort(map_keys(try_variant_get(record, '$', 'map<string,variant>')))")).collect()
+    got = {r["line_number"]: r for r in rows}
+    assert set(got) == {i for i, line in enumerate(GRAMMAR, 1) if decoded(line)}
+    kinds = {str: "STRING", bool: "BOOLEAN", type(None): "VOID"}
+    for i, r in got.items():
+        problem, record = decoded(GRAMMAR[i - 1])
+        assert r["problem"] == problem, GRAMMAR[i - 1]
+        if record is not None:
+            assert r["names"] == sorted(record), GRAMMAR[i - 1]
+            a = record.get("a")
+            if type(a) in kinds and "a" in record:
+                assert r["kind"] == kinds[type(a)]
+            elif isinstance(a, float):
+                assert r["kind"].startswith(("DOUBLE", "DECIMAL", "BIGINT")), GRAMMAR[i - 1]
+
+
+def test_malformed_lines_carry_the_decoders_message(spark, tmp_path):
+    lines = [line for line in GRAMMAR if (decoded(line) or (None,))[0]]
+    (tmp_path / "m.json").write_text("\n".join(["", *lines, " "]))
+    found = validate_file(spark, "customers", str(tmp_path / "m.json")).failures.collect()
+    expected = []
+    for i, line in enumerate(lines, 2):
+        try:
+            json.loads(line.strip())
+            expected.append((i, NOT_OBJECT, line.strip()))
+        except json.JSONDecodeError as error:
+            expected.append((i, error.msg, line.strip()))
+    assert sorted((r["line_number"], r["message"], r["invalid_value"]) for r in found) == expected
+
+
+def test_numbers_that_are_none(spark, tmp_path):
+    from conftest import customer
+
+    lines = [json.dumps(customer(i, **change)) for i, change in enumerate(
+        [{"customer_age": float("nan")}, {"customer_age": float("inf")}, {"customer_age": float("-inf")}, {"state": float("nan")}, {}], 1)]
+    lines += [json.dumps(customer(6))[:-1] + ', "customer_age": 30, "state": "CA"}']
+    (tmp_path / "n.json").write_text("\n\n".join(lines))
+    outcome = validate_file(spark, "customers", str(tmp_path / "n.json"))
+    got = sorted((r["line_number"], r["rule"], r["message"]) for r in outcome.failures.collect())
+    assert got == sorted([
+        (1, "type", "nan is not of type 'integer'"), (3, "type", "inf is not of type 'integer'"),
+        (3, "maximum", "inf is greater than the maximum of 120"), (5, "type", "-inf is not of type 'integer'"),
+        (5, "minimum", "-inf is less than the minimum of 18"), (7, "type", "nan is not of type 'string'")])
+    assert outcome.valid_rows.count() == 2
+
+
+@pytest.mark.parametrize("most", [1 << 20, 3])
+def test_numbering_moves_no_text(spark, tmp_path, most):
+    for name in "abc":
+        (tmp_path / f"{name}.json").write_text("\n".join(f"{name}{i} " + "z" * (i % 60) for i in range(1, 3001)))
+    settings = {"spark.sql.files.maxPartitionBytes": "9000", "spark.sql.autoBroadcastJoinThreshold": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        placed = placed_lines(spark, str(tmp_path))
+        index = split_index(placed)
+        assert index.count() > 12
+        rows = numbered(placed, index, most)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        got = [(r["line_number"], r["line"]) for r in rows.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 9000 and all(line[1:].split()[0] == str(n) for n, line in got)
+
+
+def test_failures_of_a_scan_have_numbers(spark, tmp_path):
+    from conftest import customer
+
+    lines = ["" if i % 7 == 0 else json.dumps(customer(i, **({"state": "N1"} if i % 50 == 1 else {}))) for i in range(1, 2001)]
+    (tmp_path / "c.json").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        outcome = validate_file(spark, "customers", str(tmp_path / "c.json"))
+        got = sorted(r["line_number"] for r in outcome.failures.collect())
+        assert got == [i for i in range(1, 2001) if i % 50 == 1 and i % 7]
+        assert outcome.valid_rows.count() == sum(1 for i in range(1, 2001) if i % 7) - len(got)
+        assert "split_start" not in outcome.failures.columns
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
