@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from paylens.contracts import DATASETS
 from paylens.functions.identifiers import check_run_id
+from paylens.sinks.generations import Generation, commit, live_generation
 from paylens.sinks.partitions import (
     expected_loads, partition_problems, read_partition_manifest)
 from paylens.sinks.snapshots import require_no_problems
 from paylens.sources.landing import RAW_SCHEMA, land_run, with_lineage_columns
 from paylens.workspace import Storage, together
 
-POINTER, PREVIOUS = "CURRENT", "PREVIOUS"
-
-
 def load_facts(landed: dict[str, DataFrame], run_id: str) -> DataFrame:
     """Per dataset: rows, files, rows of another run, rows without file or row number."""
     frames = []
@@ -61,15 +59,12 @@ def guardrail_problems(facts: DataFrame, expected: DataFrame) -> DataFrame:
 
 def raw_version(spark: SparkSession, warehouse: str) -> str | None:
     """Folder of the live RAW version, or None before the first promotion."""
-    storage, pointer = Storage(spark), f"{warehouse}/raw/{POINTER}"
-    if not storage.exists(pointer):
-        return None
-    return f"{warehouse}/raw/versions/{storage.read_text(pointer).strip()}"
+    return live_generation(spark, warehouse).raw_folder(warehouse)
 
 
-def read_raw(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    """The live RAW tables (older ones get the lineage columns they lack)."""
-    version = raw_version(spark, warehouse)
+def read_raw(spark: SparkSession, warehouse: str, generation: Generation | None = None) -> dict[str, DataFrame]:
+    """The RAW tables of the live or the given generation (older ones get the lineage columns they lack)."""
+    version = (generation or live_generation(spark, warehouse)).raw_folder(warehouse)
     if version is None:
         return {n: spark.createDataFrame([], RAW_SCHEMA) for n in DATASETS}
     return {n: with_lineage_columns(spark.read.parquet(f"{version}/{n}")) for n in DATASETS}
@@ -84,32 +79,25 @@ def write_raw_version(spark: SparkSession, warehouse: str, label: str,
     return version
 
 
-def promote(spark: SparkSession, warehouse: str, version: str) -> None:
-    """Make a staged version live: one atomic replacement of the pointer file.
+def promote(spark: SparkSession, warehouse: str, version: str, base: Generation | None = None) -> Generation:
+    """Make a staged version live, with the models of the generation before, in one atomic commit.
 
-    The version that was live stays for readers that still use it; the one
-    before it, named in a second pointer, is removed.  Versions that were never
-    live are left alone, because another load may be staging them.
+    ``base`` is the generation that was live when the work began (now, if not
+    given).  If another commit came in between, nothing changes and
+    ``ConcurrentCommit`` is raised.
     """
-    storage, live = Storage(spark), f"{warehouse}/raw/{POINTER}"
-    earlier = storage.read_text(live).strip() if storage.exists(live) else None
-    storage.write_text(live, version)
-    if earlier and earlier != version:
-        last = f"{warehouse}/raw/{PREVIOUS}"
-        retired = storage.read_text(last).strip() if storage.exists(last) else None
-        storage.write_text(last, earlier)
-        if retired and retired not in (version, earlier):
-            storage.delete(f"{warehouse}/raw/versions/{retired}")
+    return commit(spark, warehouse, base or live_generation(spark, warehouse), raw=version)
 
 
 def load_run(spark: SparkSession, run_dir: str, published_root: str, run_id: str, warehouse: str,
              execute: bool = True, loaded_at: str | None = None) -> dict[str, DataFrame] | None:
     """Check the manifest, stage, check the staged tables, then promote.
 
-    Any failure leaves the previous version live.  ``execute=False`` stops
-    after the manifest check.
+    Any failure leaves the previous version live, also another load's commit in
+    the meantime.  ``execute=False`` stops after the manifest check.
     """
     check_run_id(run_id)
+    base = live_generation(spark, warehouse)
     require_no_problems(partition_problems(spark, run_dir, run_id), "Manifest check", warehouse)
     if not execute:
         return None
@@ -122,8 +110,8 @@ def load_run(spark: SparkSession, run_dir: str, published_root: str, run_id: str
         expected = expected_loads(spark, *read_partition_manifest(spark, run_dir))
         require_no_problems(guardrail_problems(load_facts(staged, run_id), expected),
                             "Load check", warehouse)
+        promote(spark, warehouse, version, base)
     except Exception:
         Storage(spark).delete(folder)
         raise
-    promote(spark, warehouse, version)
     return read_raw(spark, warehouse)

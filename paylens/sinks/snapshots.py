@@ -64,7 +64,8 @@ def snapshot_problems(spark: SparkSession, run_dir: str, run_id: str,
                       seed: int | None = None, counts: bool = False) -> DataFrame:
     """dataset, file_name, problem — empty when the snapshot equals its manifest.
 
-    ``counts`` (with ``seed``) is the stricter check made before an existing
+    A file of a dataset that is not listed is a problem too: it would be read
+    with the others.  ``counts`` (with ``seed``) is the stricter check made before an existing
     snapshot is reused.
     """
     header, listed = read_raw_manifest(spark, run_dir)
@@ -82,11 +83,12 @@ def snapshot_problems(spark: SparkSession, run_dir: str, run_id: str,
         F.lit("dataset not listed").alias("problem"))
 
     actual = describe_snapshot(spark, run_dir).select(
-        "file_name", F.col("record_count").alias("found_count"),
+        F.col("dataset").alias("found_dataset"), "file_name", F.col("record_count").alias("found_count"),
         F.col("file_size_bytes").alias("found_size"), F.col("sha256").alias("found_sha256"))
     wrong_name = F.coalesce(_dataset_of(F.col("file_name")), F.lit("")) != F.col("dataset")
     problem = (
-        F.when(wrong_name, "listed under another dataset")
+        F.when(F.col("dataset").isNull(), "file not listed")
+        .when(wrong_name, "listed under another dataset")
         .when(F.col("found_size").isNull(), "file absent")
         .when(~F.col("found_size").eqNullSafe(F.col("file_size_bytes")), "size differs")
         .when(~F.col("found_sha256").eqNullSafe(F.col("sha256")), "content differs"))
@@ -94,8 +96,8 @@ def snapshot_problems(spark: SparkSession, run_dir: str, run_id: str,
         problem = problem.when(~F.col("found_count").eqNullSafe(F.col("record_count")),
                                "record count differs")
     compared = (
-        listed.join(actual, "file_name", "left")
-        .select("dataset", "file_name", problem.alias("problem"))
+        listed.join(actual.filter(F.col("found_dataset").isin(list(DATASETS))), "file_name", "full_outer")
+        .select(F.coalesce("dataset", "found_dataset").alias("dataset"), "file_name", problem.alias("problem"))
         .filter(F.col("problem").isNotNull()))
     return notes.unionByName(absent).unionByName(compared)
 
