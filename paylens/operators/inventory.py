@@ -6,15 +6,40 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylens.workspace import settle
+
+
+#: Bytes of formatted lines that the chained digest takes at once.
+CHUNK_BYTES = 1 << 20
+
+
+def _formatted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A range of sorted lines as large pieces of text, numbered in order."""
+    part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def piece() -> pd.DataFrame:
+        return pd.DataFrame({"part": [part], "number": [number], "lines": ["\n".join(held).encode()]})
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    digest, first = hashlib.sha256(), True
     for batch in batches:
         for line in batch["entry"]:
-            digest.update(line.encode() if first else b"\n" + line.encode())
+            held.append(line)
+            size += len(line)
+            if size >= CHUNK_BYTES:
+                yield piece()
+                number, held, size = number + 1, [], 0
+    if held:
+        yield piece()
+
+
+def _chained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    digest, first = hashlib.sha256(), True
+    for batch in batches:
+        for lines in batch["lines"]:
+            digest.update(lines if first else b"\n" + lines)
             first = False
     yield pd.DataFrame({"inventory_sha256": [digest.hexdigest()]})
 
@@ -22,15 +47,19 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def inventory_sha256(files: DataFrame) -> DataFrame:
     """One row: SHA-256 over the ``key|size|sha256`` lines sorted by key, newline-joined.
 
-    A running hash is sequential by definition.  One task therefore streams the
-    sorted file list (names and hashes, never contents) in Arrow batches with
-    a spilling sort below it; nothing is collected into one value.
+    Sorting and formatting are spread over range partitions, written as pieces
+    of about a megabyte.  Only the digest itself is sequential by definition:
+    one task streams the finished pieces, a handful of rows, in order.
     """
     lines = files.select(
         "relative_key",
         F.concat_ws("|", "relative_key", F.col("size").cast("string"), "sha256").alias("entry"))
-    ordered = lines.repartition(1).sortWithinPartitions("relative_key").select("entry")
-    return ordered.mapInPandas(_fold, "inventory_sha256 string")
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = settle(
+        lines.repartitionByRange(parts, "relative_key").sortWithinPartitions("relative_key").select("entry")
+        .mapInPandas(_formatted, "part int, number int, lines binary"), "inventory")
+    ordered = pieces.repartition(1).sortWithinPartitions("part", "number").select("lines")
+    return ordered.mapInPandas(_chained, "inventory_sha256 string")
 
 
 def inventory_diff(expected: DataFrame, published: DataFrame) -> DataFrame:

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from paylens.contracts import DATASETS, Dataset
 from paylens.functions.identifiers import check_run_id, utc_text
 from paylens.operators.verdicts import dataset_summaries, run_summary
+from paylens.plans.journal import Journal, digest_of
 from paylens.plans.validation import validate_run
+from paylens.sinks.generations import live_generation
 from paylens.sinks.materialise import build_models
 from paylens.sinks.outcomes import read_reports, write_outcomes
 from paylens.sinks.partitions import partition_run
-from paylens.sinks.promotion import load_run, read_raw
+from paylens.sinks.promotion import load_run
 from paylens.sinks.publishing import publish_run
 from paylens.sinks.snapshots import create_snapshot, require_no_problems, snapshot_problems
 from paylens.workspace import Storage, scratch_scope
@@ -65,21 +67,29 @@ def run_batch(spark: SparkSession, root: str, run_id: str,
               lines: dict[str, DataFrame] | None = None, publish_to: str | None = None,
               execute_publish: bool = False, reload_raw: bool = False,
               execute_reload: bool = False, run_models: bool = False,
-              as_of: str | None = None, contracts: dict[str, Dataset] = DATASETS) -> dict:
+              as_of: str | None = None, contracts: dict[str, Dataset] = DATASETS,
+              published_at: str | None = None, resume: bool = False) -> dict:
     """Snapshot (when ``lines`` are given), validate, partition, publish, load, model.
 
-    The audit record is written whatever happens; a failing stage is re-raised.
-    Stage, failure and inventory tables below the scratch folder are gone afterwards.
+    A load without a publication in the same call reads what was published to
+    ``published_at``.  ``resume`` keeps a journal and skips stages whose inputs and
+    outputs it proves unchanged.  The audit record is written whatever happens; a failing
+    stage is re-raised.  Stage, failure and inventory tables below the scratch
+    folder are gone afterwards.
     """
     check_run_id(run_id)
+    published = publish_to or published_at
+    if reload_raw and not published:
+        raise ValueError("A load needs publish_to, or published_at for an earlier publication.")
     with scratch_scope(spark):
         return _run_batch(spark, root, run_id, lines, publish_to, execute_publish, reload_raw,
-                          execute_reload, run_models, as_of, contracts)
+                          execute_reload, run_models, as_of, contracts, published, Journal(spark, root, run_id, resume))
 
 
 def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, DataFrame] | None,
                publish_to: str | None, execute_publish: bool, reload_raw: bool, execute_reload: bool,
-               run_models: bool, as_of: str | None, contracts: dict[str, Dataset]) -> dict:
+               run_models: bool, as_of: str | None, contracts: dict[str, Dataset], published: str | None,
+               journal: Journal) -> dict:
     started = time.perf_counter()
     warehouse, run_dir = f"{root}/warehouse", f"{root}/partitioned/{run_id}"
     record = {  # Fixed values: the names of the audit record's fields.
@@ -88,7 +98,7 @@ def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, Dat
         "failure_reason": None,
         "config": {
             "skip_snapshot": lines is None, "publish_to": publish_to,
-            "publish_mode": "execute" if execute_publish else "dry_run",
+            "published_at": published, "publish_mode": "execute" if execute_publish else "dry_run",
             "reload_requested": reload_raw,
             "reload_mode": "execute" if execute_reload else "dry_run",
             "run_models": run_models,
@@ -97,14 +107,16 @@ def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, Dat
         "audit_file": f"pipeline_audit_logs/pipeline_run_{run_id}.json",
     }
 
-    def step(name: str, work: Callable[[], object]) -> None:
+    def step(name: str, work: Callable[[], tuple[str, bool] | object]) -> str:
         timer = time.perf_counter()
         entry = {"step_name": name, "started_at_utc": utc_text(), "ended_at_utc": None,
                  "duration_seconds": None, "status": "RUNNING", "failure_reason": None}
         record["steps"].append(entry)
         try:
-            work()
-            entry["status"] = "SUCCESS"
+            done = work()
+            digest, skipped = done if isinstance(done, tuple) else ("", False)
+            entry["status"] = "SKIPPED" if skipped else "SUCCESS"
+            return digest
         except Exception as error:
             entry["status"] = "FAILED"
             entry["failure_reason"] = f"{type(error).__name__}: {error}"
@@ -114,22 +126,39 @@ def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, Dat
             entry["ended_at_utc"] = utc_text()
             entry["duration_seconds"] = round(time.perf_counter() - timer, 2)
 
+    def at(stage: str, inputs: str, folders: list[str], work: Callable[[], object]) -> tuple[str, bool]:
+        return journal.run(stage, inputs, lambda: journal.proof(folders), work)
+
+    def tables() -> str:
+        live = live_generation(spark, warehouse)
+        return digest_of(live.raw, live.models)
+
+    def loaded(inputs: str) -> tuple[str, bool]:
+        return journal.run("load", digest_of(inputs, published, as_of, execute_reload),
+                           lambda: str(live_generation(spark, warehouse).raw), lambda: load_run(
+            spark, run_dir, f"{published}/raw", run_id, warehouse, execute=execute_reload, loaded_at=as_of))
+
     try:
+        raw = f"{root}/raw/{run_id}"
         if lines is not None:
-            step("Write raw snapshot", lambda: create_snapshot(spark, f"{root}/raw", run_id, lines))
-        step("Validate data contracts", lambda: validate_and_store(
-            spark, root, run_id, contracts))
-        step("Partition validated data", lambda: partition_run(
-            spark, run_id, f"{root}/validated/{run_id}", run_dir))
+            # An existing snapshot is verified, never written again.
+            step("Write raw snapshot", lambda: create_snapshot(spark, f"{root}/raw", run_id, lines)[0])
+        digest = step("Validate data contracts", lambda: at(
+            "validate", digest_of(journal.folder_digest(raw), sorted(contracts.items())),
+            [f"{root}/{f}/{run_id}" for f in ("validated", "validation_reports", "quarantine")],
+            lambda: validate_and_store(spark, root, run_id, contracts)))
+        digest = step("Partition validated data", lambda: at("partition", digest, [run_dir], lambda: partition_run(
+            spark, run_id, f"{root}/validated/{run_id}", run_dir)))
         if publish_to:
+            # A publication compares what is there with the batch and copies only what it must.
             step("Publish partitioned files", lambda: publish_run(
                 spark, run_dir, publish_to, run_id, execute=execute_publish))
         if reload_raw:
-            step("Reload RAW tables", lambda: load_run(
-                spark, run_dir, f"{publish_to}/raw", run_id, warehouse,
-                execute=execute_reload, loaded_at=as_of))
+            digest = step("Reload RAW tables", lambda: loaded(digest))
         if run_models:
-            step("Build models", lambda: build_models(read_raw(spark, warehouse), warehouse, as_of))
+            step("Build models", lambda: journal.run(
+                "models", digest_of(digest, live_generation(spark, warehouse).raw, as_of), tables,
+                lambda: build_models(spark, warehouse, as_of)))
         record["status"] = "SUCCESS"
         return record
     except Exception:

@@ -2,37 +2,57 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from paylens.functions.identifiers import plain_uri
+from paylens.functions.json_fields import is_blank
 from paylens.sources.jsonl import with_records
 
 
-def read_new_records(spark: SparkSession, folder: str, files_per_trigger: int = 1000,
-                     name_filter: str = "*.json") -> DataFrame:
-    """Streaming rows of files appearing below ``folder``: raw_record, loaded_at, and for a
-    malformed line instead of a record its text and problem.
+@dataclass(frozen=True)
+class Arrivals:
+    """How files are taken from the watched folder."""
+
+    name_filter: str = "*.json"
+    #: Files of one micro-batch; after a backlog the rest follows in the next ones.
+    files_per_trigger: int = 1000
+    #: Files the source remembers from one listing for the next batches, instead of listing anew.
+    cached_files: int = 10_000
+    #: A file this much older than the newest one is not looked at: what the source has to remember.
+    max_file_age: str = "3650d"
+    #: Folder outside the watched one for ingested files; the watched folder then stays short.
+    archive: str | None = None
+
+
+def read_new_records(spark: SparkSession, folder: str, arrivals: Arrivals = Arrivals()) -> DataFrame:
+    """Streaming rows of files appearing below ``folder``: raw_record, source_file, loaded_at, and
+    for a malformed line instead of a record its text and problem.
 
-    Blank lines are skipped.  The file limit bounds one micro-batch after a
-    backlog, the rest follows in the next ones.
+    Blank lines are skipped.
     """
-    lines = (
-        spark.readStream.option("pathGlobFilter", name_filter)
+    reader = (
+        spark.readStream.option("pathGlobFilter", arrivals.name_filter)
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .text(folder)
-        .select(F.col("value").alias("line"))
-        .filter(F.col("line").rlike(r"\S")))
+        .option("maxFilesPerTrigger", arrivals.files_per_trigger)
+        .option("maxCachedFiles", arrivals.cached_files)
+        .option("maxFileAge", arrivals.max_file_age))
+    if arrivals.archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", arrivals.archive)
+    lines = reader.text(folder).select(
+        F.col("value").alias("line"), plain_uri(F.col("_metadata.file_path")).alias("source_file"),
+    ).filter(~is_blank(F.col("line")))
     return with_records(lines).select(
-        F.col("record").alias("raw_record"),
+        F.col("record").alias("raw_record"), "source_file",
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
         F.when(F.col("problem").isNotNull(), F.col("line")).alias("bad_line"), "problem")
 
 
 def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str,
-           continuous: str | None = None, files_per_trigger: int = 1000,
-           name_filter: str = "*.json") -> StreamingQuery:
+           continuous: str | None = None, arrivals: Arrivals = Arrivals()) -> StreamingQuery:
     """Append new records, and malformed lines as such, to the Parquet ``table``.
 
     One bad line neither stops the query nor gets lost: ``records`` and
@@ -41,7 +61,7 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str,
     as "1 minute") everything present is ingested and the query ends.
     """
     writer = (
-        read_new_records(spark, folder, files_per_trigger, name_filter).writeStream.format("parquet")
+        read_new_records(spark, folder, arrivals).writeStream.format("parquet")
         .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(processingTime=continuous) if continuous \
         else writer.trigger(availableNow=True)
@@ -49,13 +69,14 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str,
 
 
 def records(spark: SparkSession, table: str) -> DataFrame:
-    """The ingested records."""
-    return spark.read.parquet(table).filter("problem is null").select("raw_record", "loaded_at")
+    """The ingested records with the file they came in."""
+    return spark.read.parquet(table).filter("problem is null").select("raw_record", "source_file", "loaded_at")
 
 
 def quarantined(spark: SparkSession, table: str) -> DataFrame:
     """The lines that were no JSON objects, with the reason."""
-    return spark.read.parquet(table).filter("problem is not null").select("bad_line", "problem", "loaded_at")
+    return spark.read.parquet(table).filter("problem is not null").select(
+        "bad_line", "problem", "source_file", "loaded_at")
 
 
 def loaded_rows(table: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from paylens.contracts import DATASETS, HARD_FAIL, QUARANTINE
 from paylens.functions.identifiers import plain_uri
+from paylens.functions.json_fields import is_blank
 from paylens.operators.inventory import (
     inventory_diff, inventory_sha256, marker_matches, set_difference)
 from paylens.operators.verdicts import batch_status, pipeline_action
@@ -22,6 +23,7 @@ from paylens.plans.batch import run_batch
 from paylens.plans.bronze import BRONZE_TYPES, MONEY, TIME, WHOLE, bronze
 from paylens.plans.monitoring import displayable, in_dashboard_order
 from paylens.plans.validation import validate_lines, validate_run
+from paylens.sinks.generations import live_generation
 from paylens.sinks.materialise import build_models, read_mart
 from paylens.sinks.outcomes import REPORT_SCHEMA, read_reports, write_outcomes
 from paylens.sinks.partitions import (
@@ -33,7 +35,7 @@ from paylens.sinks.snapshots import create_snapshot, read_raw_manifest, snapshot
 from paylens.sources.files import count_records
 from paylens.sources.jsonl import read_json_lines
 from paylens.sources.landing import land_run, with_lineage_columns
-from paylens.streaming.ingest import ingest, latest_records, loaded_rows, quarantined, records
+from paylens.streaming.ingest import Arrivals, ingest, latest_records, loaded_rows, quarantined, records
 from paylens.workload.model_queries import (
     BRONZE_COLUMNS, BRONZE_CTES, MARTS, comparable, plain, query, with_models)
 from paylens.workload.rule_queries import ACTION, checked_intake, report_sql, with_intake
@@ -56,7 +58,7 @@ def each_run(name: str, oracle: Callable[[str], str]):
 def finished_run(spark: SparkSession, sf_dir: str, run: str) -> str:
     """Root folder of one run taken through every stage; shared by the queries of a session."""
     key = (spark.sparkContext.applicationId, sf_dir, run)
-    if key not in _RUNS or not Storage(spark).exists(f"{_RUNS[key]}/warehouse/raw/CURRENT"):
+    if key not in _RUNS or not live_generation(spark, f"{_RUNS[key]}/warehouse").models:
         root = scratch_dir(spark, "run")
         run_batch(spark, root, run, {n: clean_lines(spark, sf_dir, n, run) for n in DATASETS},
                   publish_to=f"{root}/published", execute_publish=True, reload_raw=True,
@@ -122,11 +124,15 @@ def _delivered_total(run: str) -> str:
 
 # --------------------------------------------------------------------- scans
 
-_NOISE = f"""with noise as (select month as file, line, trim(line) = '' as blank,
+_NOISE = f"""with noise as (select month as file, line, trim(line, ' ' || chr(160) || chr(12288)) as said,
   row_number() over (partition by month order by o_orderkey, line) as line_number from ({for_duckdb(NOISY)})),
-kinds as (select file, line_number, line, case when not json_valid(line) then 'Line is not valid JSON.'
-  when json_type(line) <> 'OBJECT' then 'JSON line must contain an object.' end as problem
-  from noise where not blank)"""
+kinds as (select file, line_number, line,
+  case when said like '%NaN}}' then null
+  when said like '%INF}}' or not json_valid(said) then 'Line is not valid JSON.'
+  when json_type(said) <> 'OBJECT' then 'JSON line must contain an object.' end as problem,
+  case when said like '%NaN}}' then null when said like '%trailing' then 'Extra data'
+  when said like '%INF}}' then 'Expecting value' when not json_valid(said) then 'Unterminated string starting at' else problem end as message
+  from noise where said <> '')"""
 
 
 def _noisy_file(spark: SparkSession, sf_dir: str) -> str:
@@ -136,20 +142,20 @@ def _noisy_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@query("jsonl_scan", _NOISE + " select * from kinds")
+@query("jsonl_scan", _NOISE + " select file, line_number, line, problem from kinds")
 def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_lines(spark, _noisy_file(spark, sf_dir)).select(
         F.regexp_extract("source_file", "/month=([0-9]+)/", 1).alias("file"), "line_number", "line", "problem")
 
 
 @query("jsonl_line_numbers", f"""{_NOISE}
-select count(*) as lines, (select count(*) from noise where blank) as blank_lines, 0 as wrong_numbers
+select count(*) as lines, (select count(*) from noise where said = '') as blank_lines, 0 as wrong_numbers
 from noise""")
 def jsonl_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per file, distinct numbers from 1 and gaps only where lines are blank."""
     path = _noisy_file(spark, sf_dir)
     total = spark.read.text(path).groupBy(plain_uri(F.col("_metadata.file_path")).alias("file")).agg(
-        F.count("*").alias("lines"), F.count_if(~F.col("value").rlike(r"\S")).alias("blank"))
+        F.count("*").alias("lines"), F.count_if(is_blank(F.col("value"))).alias("blank"))
     numbered = read_json_lines(spark, path).groupBy(plain_uri(F.col("source_file")).alias("file")).agg(
         F.count("*").alias("rows"), F.count_distinct("line_number").alias("distinct"),
         F.min("line_number").alias("low"), F.max("line_number").alias("high"))
@@ -162,8 +168,8 @@ def jsonl_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rule_valid_jsonl", f"""{_NOISE}
 select 'FAILED' as batch_status, 'BLOCK_S3_UPLOAD' as pipeline_action, 'valid_json_lines' as rule,
-  'hard_fail' as severity, problem as message, count(*) as failures from kinds
-where problem is not null group by problem""")
+  'hard_fail' as severity, message, count(*) as failures from kinds
+where problem is not null group by message""")
 def rule_valid_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = read_json_lines(spark, _noisy_file(spark, sf_dir))
     outcome = validate_lines(parsed, DATASETS["transactions"], None)
@@ -240,17 +246,19 @@ def _replace_table(spark: SparkSession, folder: str, changed: DataFrame) -> None
 
 def _damaged_snapshot(spark: SparkSession, sf_dir: str, run: str) -> str:
     """A snapshot whose manifest promises, by rank: other content, other sizes, files that are
-    not there, other record counts; the smallest dataset is not listed at all."""
+    not there, other record counts; the smallest dataset is not listed at all.  The largest
+    one holds a file more."""
     lines = {n: clean_lines(spark, sf_dir, n, run) for n in DATASETS}
     folder, _ = create_snapshot(spark, scratch_dir(spark, "raw"), run, lines)
     _, files = read_raw_manifest(spark, folder)
     ranks = _ranked(files.groupBy("dataset").agg(F.sum("record_count").alias("record_count")))
-    rank = F.col("rank")
+    largest, rank = ranks.filter("rank = 1").first()["dataset"], F.col("rank")
     _replace_table(spark, folder, files.join(ranks, "dataset").filter("rank < 5").select(
         "dataset", F.concat("file_name", F.when(rank == 3, ".gone").otherwise("")).alias("file_name"),
         (F.col("record_count") + (rank == 4).cast("int")).alias("record_count"),
         (F.col("file_size_bytes") + (rank == 2).cast("int")).alias("file_size_bytes"),
         F.when(rank == 1, F.sha2("sha256", 256)).otherwise(F.col("sha256")).alias("sha256")))
+    Storage(spark).write_text(f"{folder}/{DATASETS[largest].file_name}/part-late.txt", "{}\n")
     return folder
 
 
@@ -259,7 +267,8 @@ _SNAPSHOT_PROBLEM = """case rank when 1 then 'content differs' when 2 then 'size
 
 
 @each_run("raw_manifest_verify", lambda run: with_loaded(
-    f"select dataset, {_SNAPSHOT_PROBLEM} as problem from ({_by_delivered(run)}) where rank <> 4", run))
+    f"select dataset, {_SNAPSHOT_PROBLEM} as problem from ({_by_delivered(run)}) where rank <> 4 "
+    f"union all select dataset, 'file not listed' from ({_by_delivered(run)}) where rank in (1, 3, 5)", run))
 def raw_manifest_verify(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     folder = _damaged_snapshot(spark, sf_dir, run)
     return snapshot_problems(spark, folder, run).select("dataset", "problem").distinct()
@@ -267,6 +276,7 @@ def raw_manifest_verify(spark: SparkSession, sf_dir: str, run: str) -> DataFrame
 
 @each_run("raw_snapshot_verify", lambda run: with_loaded(
     f"select dataset, {_SNAPSHOT_PROBLEM} as problem from ({_by_delivered(run)}) "
+    f"union all select dataset, 'file not listed' from ({_by_delivered(run)}) where rank in (1, 3, 5) "
     "union all select null, 'snapshot was made with another seed'", run))
 def raw_snapshot_verify(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     """The strict check before reuse: record counts and the seed count too."""
@@ -567,11 +577,11 @@ _MATERIALIZED: dict[tuple[str, str], str] = {}
 def _materialized(spark: SparkSession, sf_dir: str) -> str:
     """Warehouse with the stored models of both runs; shared by the queries of a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MATERIALIZED or not Storage(spark).exists(f"{_MATERIALIZED[key]}/raw/CURRENT"):
+    if key not in _MATERIALIZED or not live_generation(spark, _MATERIALIZED[key]).models:
         warehouse = scratch_dir(spark, "models")
         raw = {n: landed(spark, sf_dir, n) for n in DATASETS}
         promote(spark, warehouse, write_raw_version(spark, warehouse, "both", raw))
-        build_models(read_raw(spark, warehouse), warehouse, LOADED[RUN_A])
+        build_models(spark, warehouse, LOADED[RUN_A])
         _MATERIALIZED[key] = warehouse
     return _MATERIALIZED[key]
 
@@ -709,7 +719,7 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
                 .write.text(f"{base}/incoming/noise")
         clean_lines(spark, sf_dir, "transactions", run).select("line").write.text(f"{base}/incoming/{run}")
         ingest(spark, f"{base}/incoming", f"{base}/table", f"{base}/checkpoint",
-               name_filter="*.txt").awaitTermination()
+               arrivals=Arrivals("*.txt", files_per_trigger=1_000_000)).awaitTermination()
     return f"{base}/table"
 
 
@@ -735,8 +745,9 @@ def stream_ingest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_rows(records(spark, _ingested(spark, sf_dir)))
 
 
+# The second start ingests run B in one batch, so its records have one load time, the newest.
 @query("latest_ingested", f"""with br as ({for_duckdb(TYPED["transactions"])})
-select transaction_id, cast(loaded_at as varchar) as loaded_at from br
-order by loaded_at desc, transaction_id limit 10""")
+select transaction_id from br where pipeline_run_id = '{RUN_B}' order by transaction_id limit 10""")
 def latest_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(latest_records(landed(spark, sf_dir, "transactions")))
+    """The newest records of the stream's table."""
+    return latest_records(records(spark, _ingested(spark, sf_dir))).select("transaction_id")

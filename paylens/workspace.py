@@ -26,6 +26,8 @@ RUNTIME_SETTINGS = {
     # columns, so the bronze casts read only the members they ask for.
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
+    # JSON with a repeated name is valid; its last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # The JVM never compiles methods above 8000 bytes; let wide projections be
     # generated in pieces instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -101,12 +103,23 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Driver heap, in bytes, that planning and running one of several jobs may take.
+JOB_HEAP = 512 << 20
+
+
+def workers_for(jobs: int) -> int:
+    """How many of some independent jobs run at once: as many as the driver's heap has room for."""
+    spark = SparkSession.getActiveSession()
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory() if spark else JOB_HEAP
+    return max(1, min(jobs, heap // JOB_HEAP))
+
+
 def together(jobs: dict[str, Callable[[], object]]) -> dict:
-    """Submit independent jobs at once, so small ones share the cluster.
+    """Submit independent jobs at once, so small ones share the cluster, within the driver's memory.
 
     All run to their end; the first failure in the given order is then raised.
     """
-    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+    with ThreadPoolExecutor(max_workers=workers_for(len(jobs))) as pool:
         running = {name: pool.submit(copy_context().run, job) for name, job in jobs.items()}
     return {name: future.result() for name, future in running.items()}
 

@@ -2,7 +2,7 @@ import json
 
 from conftest import transaction
 
-from paylens.streaming.ingest import ingest, latest_records, loaded_rows, quarantined, records
+from paylens.streaming.ingest import Arrivals, ingest, latest_records, loaded_rows, quarantined, records
 
 
 def test_each_file_is_ingested_once_across_restarts(spark, tmp_path):
@@ -27,3 +27,29 @@ def test_each_file_is_ingested_once_across_restarts(spark, tmp_path):
     assert loaded_rows(run()).first()[0] == 4
     assert [(r.bad_line, r.problem) for r in quarantined(spark, str(tmp_path / "t")).collect()] == [
         ("{broken", "Line is not valid JSON.")]
+
+
+def test_a_backlog_is_taken_in_steps_and_archived(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    arrivals = Arrivals(files_per_trigger=2, archive=str(tmp_path / "archive"))
+
+    def run():
+        ingest(spark, str(folder), str(tmp_path / "t"), str(tmp_path / "c"), arrivals=arrivals).awaitTermination()
+        return records(spark, str(tmp_path / "t"))
+
+    for n in range(1, 6):
+        (folder / f"{n}.json").write_text(json.dumps(transaction(n)) + "\n")
+    table = run()
+    assert loaded_rows(table).first()[0] == 5
+    # One trigger takes two files, so the five files have at least three load times.
+    assert table.select("loaded_at").distinct().count() >= 3
+    assert {r.source_file.rsplit("/", 1)[1] for r in table.collect()} == {f"{n}.json" for n in range(1, 6)}
+    (folder / "6.json").write_text(json.dumps(transaction(6)) + "\n\u00a0\n" + '{"a": NaN}\n{broken\n')
+    assert loaded_rows(run()).first()[0] == 7
+    assert [r.bad_line for r in quarantined(spark, str(tmp_path / "t")).collect()] == ["{broken"]
+    assert loaded_rows(run()).first()[0] == 7
+    # The source moves the files of a batch once the next one has begun.
+    archived = {p.name for p in (tmp_path / "archive").rglob("*.json")}
+    assert archived and archived.isdisjoint(p.name for p in folder.glob("*.json"))
+    assert latest_records(run(), limit=1).columns == ["transaction_id", "loaded_at"]
