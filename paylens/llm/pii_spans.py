@@ -202,12 +202,9 @@ def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [None if t is None else masked(t, spans_of(t)) for t in batch.column("text").to_pylist()]
         columns = dict(zip(batch.schema.names, batch.columns))
         columns["text"] = pa.array(texts, batch.schema.field("text").type)
-        if "n_chars" in columns:
-            lengths = pa.array([None if t is None else len(t) for t in texts], pa.int64())
-            columns["n_chars"] = lengths.cast(batch.schema.field("n_chars").type)
         yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """All documents with their spans replaced by ``<KIND>``; ``n_chars`` follows the text."""
+    """All documents with their spans replaced by ``<KIND>``; all other columns stay as they are."""
     return bounded_batches(docs).mapInArrow(_masked, docs.schema)

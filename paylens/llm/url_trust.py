@@ -7,6 +7,11 @@ hosts with pages that a rule blocks.  A host is blocked when its distrust is
 above the given share of both.  Ranks are whole numbers (parts of ``MASS``),
 so sums do not depend on their order and results are the same on every run.
 
+Rounds go on until the ranks' summed change is at most one in ``SETTLED`` of the
+mass of a kind.  Each round keeps ``DAMPING_PERCENT`` of a difference, so that
+happens within ``MOST_ROUNDS`` rounds on any graph; all that hosts further away
+could still get together is of that order.
+
 Everything is DataFrame operations.  Links are counted per page before the
 shuffle by host pair; ranks are one row per host; pages are joined as the
 preserved side, so adaptive execution can split a host with very many pages.
@@ -22,6 +27,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -39,13 +45,15 @@ RULES = (Rule("allow", "org/"), Rule("block", "example.org/es/"), Rule("block",
          Rule("allow", "com/fr/"), Rule("block", "com/de/"))
 
 MASS = 10 ** 15
-ROUNDS, DAMPING_PERCENT = 10, 85
+DAMPING_PERCENT, SETTLED = 85, 100
+#: Both kinds' mass may move as a whole in the first round, out of one host into another.
+MOST_ROUNDS = math.ceil(math.log(4 * SETTLED) / -math.log(DAMPING_PERCENT / 100)) + 1
 #: A host is blocked above this share of distrust in its trust and distrust.
 DISTRUST_PERCENT = 50
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Fixed value: the target of a hyperlink.
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)"""
+#: The target of a hyperlink, in quotes or without, as far as a host can reach.
+HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]*)"""
 
 
 def host_of(url: Column) -> Column:
@@ -104,7 +112,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def ranks(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame:
-    """(kind, host, mass) after all rounds; ``edges`` (kind, src, dst, weight) and
+    """(kind, host, mass) once settled; ``edges`` (kind, src, dst, weight) and
     ``seeds`` (kind, host, weight) hold a graph per kind."""
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
     edges = scratch.settle(edges.join(out, ["kind", "src"]), "edges")
@@ -114,14 +122,19 @@ def ranks(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame:
         .select("kind", "host", F.expr(f"cast({MASS} as decimal(38)) * weight div total").alias("seed")), "seeds")
     jump = start.select("kind", "host", F.expr(f"seed * {100 - DAMPING_PERCENT} div 100").alias("mass"))
     current = start.select("kind", "host", F.col("seed").alias("mass"))
-    for turn in range(ROUNDS):
+    for turn in range(MOST_ROUNDS):
         sent = (edges.join(current.withColumnRenamed("host", "src"), ["kind", "src"])
                 .select("kind", F.col("dst").alias("host"),
                         F.expr(f"cast(mass as decimal(20)) * {DAMPING_PERCENT} * weight div (100 * total)").alias("mass")))
-        following = sent.unionByName(jump).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        current = scratch.settle(following, f"ranks{turn}")
+        following = scratch.settle(
+            sent.unionByName(jump).groupBy("kind", "host").agg(F.sum("mass").alias("mass")), f"ranks{turn}")
+        moved = (following.unionByName(current.withColumn("mass", -F.col("mass")))
+                 .groupBy("kind", "host").agg(F.sum("mass").alias("by")).agg(F.sum(F.abs("by"))).first()[0] or 0)
         if turn:
             scratch.drop(f"ranks{turn - 1}")
+        current = following
+        if moved * SETTLED <= MASS:
+            break
     return current
 
 
@@ -151,7 +164,7 @@ def _sql_host(url: str) -> str:
 
 
 def oracle(rules: tuple[Rule, ...] = RULES) -> str:
-    """The same result in DuckDB SQL, every round written out."""
+    """The same result in DuckDB SQL, every possible round written out."""
     ordered = sorted(rules, key=lambda r: -len(r.rule))
 
     def case(value) -> str:
@@ -164,7 +177,7 @@ def oracle(rules: tuple[Rule, ...] = RULES) -> str:
 
     href = HREF.replace("'", "''")
     rounds = ["r0 as (select kind, host, seed as mass from seeds)"]
-    for i in range(ROUNDS):
+    for i in range(MOST_ROUNDS):
         rounds.append(f"""r{i + 1} as (select kind, host, sum(mass)::hugeint as mass from (
             select e.kind, e.dst as host, (r.mass * {DAMPING_PERCENT} * e.weight) // (100 * e.total) as mass
             from edges e join r{i} r on e.kind = r.kind and e.src = r.host
@@ -187,8 +200,14 @@ def oracle(rules: tuple[Rule, ...] = RULES) -> str:
     seeds as materialized (select kind, host, ({MASS}::hugeint * weight) //
         (sum(weight) over (partition by kind))::hugeint as seed from w),
     {", ".join(x.replace(" as (", " as materialized (", 1) for x in rounds)},
+    states as ({" union all ".join(f"select {i} as i, * from r{i}" for i in range(MOST_ROUNDS + 1))}),
+    moved as (select i, sum(abs(d)) as change from (select i, kind, host, sum(mass) as d from (
+        select * from states union all select i + 1, kind, host, -mass from states) where i > 0 and i <= {MOST_ROUNDS}
+        group by i, kind, host) group by i),
+    chosen as (select coalesce(min(i) filter (change * {SETTLED} <= {MASS}), {MOST_ROUNDS}) as i from moved),
     h as (select host, coalesce(sum(mass) filter (kind = 'trust'), 0) as trust,
-        coalesce(sum(mass) filter (kind = 'distrust'), 0) as distrust from r{ROUNDS} group by host)
+        coalesce(sum(mass) filter (kind = 'distrust'), 0) as distrust
+        from states where i = (select i from chosen) group by host)
     select page_id, j.host, path, rule, coalesce(ruled, case when coalesce(distrust, 0) * 100 >
         (coalesce(trust, 0) + coalesce(distrust, 0)) * {DISTRUST_PERCENT} then 'block' else 'allow' end) as verdict,
         coalesce(trust, 0)::bigint as trust, coalesce(distrust, 0)::bigint as distrust
