@@ -92,7 +92,7 @@ def test_plain_manifest_with_one_file_per_dataset(spark, tmp_path):
     (tmp_path / "raw_manifest.json").write_text(json.dumps(manifest))
     assert texts(snapshot_problems(spark, str(tmp_path), "other", 3, counts=True)) == [
         "customers customers.json record count differs", "disputes dataset not listed",
-        "manifest belongs to another run"]
+        "disputes disputes.json file not listed", "manifest belongs to another run"]
 
 
 # ------------------------------------------------------------------- outcomes
