@@ -36,7 +36,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; personal data in their texts is replaced by its kind."""
-    return pii_spans.mask(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+    return pii_spans.mask(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
