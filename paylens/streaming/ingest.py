@@ -28,11 +28,12 @@ class Arrivals:
     archive: str | None = None
 
 
-def read_new_records(spark: SparkSession, folder: str, arrivals: Arrivals = Arrivals()) -> DataFrame:
+def read_new_records(spark: SparkSession, folder: str, arrivals: Arrivals = Arrivals(),
+                     loaded_at: str | None = None) -> DataFrame:
     """Streaming rows of files appearing below ``folder``: raw_record, source_file, loaded_at, and
     for a malformed line instead of a record its text and problem.
 
-    Blank lines are skipped.
+    Blank lines are skipped.  Without ``loaded_at`` a row has its micro-batch's time.
     """
     reader = (
         spark.readStream.option("pathGlobFilter", arrivals.name_filter)
@@ -45,14 +46,16 @@ def read_new_records(spark: SparkSession, folder: str, arrivals: Arrivals = Arri
     lines = reader.text(folder).select(
         F.col("value").alias("line"), plain_uri(F.col("_metadata.file_path")).alias("source_file"),
     ).filter(~is_blank(F.col("line")))
+    load_time = F.lit(loaded_at) if loaded_at else F.current_timestamp()
     return with_records(lines).select(
         F.col("record").alias("raw_record"), "source_file",
-        F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
+        load_time.cast("timestamp_ntz").alias("loaded_at"),
         F.when(F.col("problem").isNotNull(), F.col("line")).alias("bad_line"), "problem")
 
 
 def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str,
-           continuous: str | None = None, arrivals: Arrivals = Arrivals()) -> StreamingQuery:
+           continuous: str | None = None, arrivals: Arrivals = Arrivals(),
+           loaded_at: str | None = None) -> StreamingQuery:
     """Append new records, and malformed lines as such, to the Parquet ``table``.
 
     One bad line neither stops the query nor gets lost: ``records`` and
@@ -61,7 +64,7 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str,
     as "1 minute") everything present is ingested and the query ends.
     """
     writer = (
-        read_new_records(spark, folder, arrivals).writeStream.format("parquet")
+        read_new_records(spark, folder, arrivals, loaded_at).writeStream.format("parquet")
         .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(processingTime=continuous) if continuous \
         else writer.trigger(availableNow=True)

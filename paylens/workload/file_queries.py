@@ -719,7 +719,7 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
                 .write.text(f"{base}/incoming/noise")
         clean_lines(spark, sf_dir, "transactions", run).select("line").write.text(f"{base}/incoming/{run}")
         ingest(spark, f"{base}/incoming", f"{base}/table", f"{base}/checkpoint",
-               arrivals=Arrivals("*.txt", files_per_trigger=1_000_000)).awaitTermination()
+               arrivals=Arrivals("*.txt", files_per_trigger=1_000_000), loaded_at=LOADED[run]).awaitTermination()
     return f"{base}/table"
 
 
@@ -745,9 +745,9 @@ def stream_ingest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_rows(records(spark, _ingested(spark, sf_dir)))
 
 
-# The second start ingests run B in one batch, so its records have one load time, the newest.
 @query("latest_ingested", f"""with br as ({for_duckdb(TYPED["transactions"])})
-select transaction_id from br where pipeline_run_id = '{RUN_B}' order by transaction_id limit 10""")
+select transaction_id, cast(loaded_at as varchar) as loaded_at from br
+order by loaded_at desc, transaction_id limit 10""")
 def latest_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest records of the stream's table."""
     return latest_records(records(spark, _ingested(spark, sf_dir))).select("transaction_id")

@@ -53,3 +53,18 @@ def test_a_backlog_is_taken_in_steps_and_archived(spark, tmp_path):
     archived = {p.name for p in (tmp_path / "archive").rglob("*.json")}
     assert archived and archived.isdisjoint(p.name for p in folder.glob("*.json"))
     assert latest_records(run(), limit=1).columns == ["transaction_id", "loaded_at"]
+
+
+def test_the_newest_records_are_those_of_the_whole_table(spark, tmp_path):
+    def run(numbers, loaded_at):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{numbers[0]}.json").write_text("\n".join(json.dumps(transaction(n)) for n in numbers))
+        ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c"),
+               loaded_at=loaded_at).awaitTermination()
+        return records(spark, str(tmp_path / "t"))
+
+    run([1, 2, 3], "2026-01-02 03:04:05")
+    newest = latest_records(run([9, 8], "2026-02-03 04:05:06"), limit=3).collect()
+    assert [(r.transaction_id, str(r.loaded_at)) for r in newest] == [
+        ("TXN_00000008", "2026-02-03 04:05:06"), ("TXN_00000009", "2026-02-03 04:05:06"),
+        ("TXN_00000001", "2026-01-02 03:04:05")]
