@@ -1,3 +1,4 @@
+import glob
 import math
 import os
 
@@ -62,3 +63,17 @@ def test_counts_read_stored_tables(spark):
 
     plan = _counts(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("ReadSchema: struct<>") + plan.count("pushedAggregates") >= 11
+
+
+@pytest.mark.parametrize("label, names", [
+    ("outcomes", ("validated_write", "quarantine_write", "report_write", "validation_audit_append")),
+    ("partitioned", ("partition_manifest_verify_run_b", "publish_manifest_verify_run_b"))])
+def test_queries_of_one_session_store_their_files_once(spark, label, names):
+    def stored():
+        return set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/paylens/{label}-*"))
+
+    entry_points.queries()[names[0]](spark, SF_DIR)
+    before = stored()
+    for name in names:
+        entry_points.queries()[name](spark, SF_DIR)
+    assert stored() == before != set()
