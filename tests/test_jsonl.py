@@ -1,13 +1,14 @@
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from paylens.functions.json_fields import kind_sql
+from paylens.functions.json_fields import BLANK, kind_sql, stripped
 from paylens.plans.validation import validate_file
 from paylens.sources.jsonl import (
-    NOT_JSON, NOT_OBJECT, numbered, placed_lines, read_json_lines, read_lines, split_index)
+    NOT_JSON, NOT_OBJECT, numbered, placed_lines, read_json_lines, read_lines, split_index, with_records)
 
 
 def test_line_numbers_over_many_splits(spark, tmp_path):
@@ -167,3 +168,14 @@ def test_failures_of_a_scan_have_numbers(spark, tmp_path):
         assert "split_start" not in outcome.failures.columns
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_blanks_are_taken_off_the_ends_without_a_pattern(spark):
+    """A pattern tries every run of blanks inside a line, at a cost of its length squared."""
+    blanks = [chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000 and re.match(f"[{BLANK}]", chr(i))]
+    inner = "x" + "".join(blanks) + "y"
+    rows = spark.createDataFrame([(b + inner + b * 2, inner) for b in blanks] + [(inner, inner), ("".join(blanks), "")],
+                                 "line string, want string")
+    assert rows.filter(stripped(F.col("line")) != F.col("want")).isEmpty() and rows.count() == len(blanks) + 2
+    plan = with_records(rows.select("line"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace(line" not in plan and "RLIKE(_text" not in plan
