@@ -761,4 +761,4 @@ select transaction_id, cast(loaded_at as varchar) as loaded_at from br
 order by loaded_at desc, transaction_id limit 10""")
 def latest_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest records of the stream's table."""
-    return latest_records(records(spark, _ingested(spark, sf_dir))).select("transaction_id")
+    return comparable(latest_records(records(spark, _ingested(spark, sf_dir))))
