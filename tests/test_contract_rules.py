@@ -22,6 +22,10 @@ CASES = [
     ("customers", customer(created_at="2026-1-01"), [("created_at", "pattern"), ("created_at", "format")]),
     ("customers", customer(created_at="2026-02-30"), [("created_at", "format")]),
     ("customers", customer(nick="x", alias="y"), [("record", "additionalProperties")]),
+    # As many members as the contract has, and commas inside a value.
+    ("customers", {k: v for k, v in customer(nick="a,b").items() if k != "state"},
+     [("record", "additionalProperties"), ("record", "required")]),
+    ("customers", customer(account_id="A,B"), [("account_id", "pattern")]),
     ("customers", {"customer_id": "CUST_000001"}, [("record", "required")] * 5),
     ("transactions", transaction(transaction_amount=0), [("transaction_amount", "exclusiveMinimum")]),
     ("transactions", transaction(transaction_amount=1e-9), []),
