@@ -77,3 +77,25 @@ def test_queries_of_one_session_store_their_files_once(spark, label, names):
     for name in names:
         entry_points.queries()[name](spark, SF_DIR)
     assert stored() == before != set()
+
+
+def test_a_query_takes_a_run_only_as_far_as_it_reads(spark):
+    """A run goes on from where an earlier query left it, and its log has one complete pass."""
+    from paylens.workload import file_queries as files
+
+    sf_dir = f"{SF_DIR}/../{os.path.basename(SF_DIR)}"  # another key than the queries above
+    read = {}
+    for upto, name in ((files.PARTITIONED, "partition_write"), (files.PUBLISHED, "raw_land"),
+                       (files.MODELLED, "run_audit_append")):
+        read[name] = entry_points.queries()[name](spark, sf_dir).collect()
+        root = files.taken_run(spark, sf_dir, files.RUN_A, upto)
+        assert os.path.exists(f"{root}/published") == (upto >= files.PUBLISHED)
+        assert os.path.exists(f"{root}/warehouse/models") == (upto >= files.MODELLED)
+    assert root == files.taken_run(spark, sf_dir, files.RUN_A, files.PARTITIONED)
+    assert [r["steps"] for r in read["run_audit_append"]] == [6]
+    written = {r["dataset"]: 0 for r in read["partition_write"]}
+    for r in read["partition_write"]:
+        written[r["dataset"]] += r["record_count"]
+    for r in read["raw_land"]:
+        written[r["dataset"]] -= r["row_count"]
+    assert set(written.values()) == {0} and len(written) == 5
