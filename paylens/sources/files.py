@@ -137,8 +137,10 @@ def count_records(spark: SparkSession, root: str, name_filter: str = "*") -> Dat
         .option("pathGlobFilter", name_filter)
         .text(root)
     )
-    return text.groupBy(plain_uri(F.col("_metadata.file_path")).alias("path")).agg(
-        F.count_if(F.col("value").rlike(r"\S")).alias("record_count"))
+    # A path is decoded once per file and not once per line.
+    return text.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count_if(F.col("value").rlike(r"\S")).alias("record_count"),
+    ).withColumn("path", plain_uri(F.col("path")))
 
 
 def describe_files(spark: SparkSession, root: str, name_filter: str = "*") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.contracts import DATASETS
@@ -31,13 +31,16 @@ def land_dataset(spark: SparkSession, published_root: str, run_id: str, dataset:
     """
     check_run_id(run_id)
     folder = f"{published_root.rstrip('/')}/run_id={run_id}/{dataset}"
-    rows = strict_records(read_json_lines(spark, folder, "*.json"), f"load of {dataset}")
+
+    def below_run(path: Column) -> Column:
+        return F.regexp_extract(plain_uri(path), f"(run_id={run_id}/.*)$", 1)
+
+    rows = strict_records(read_json_lines(spark, folder, "*.json", below_run), f"load of {dataset}")
     load_time = F.lit(loaded_at) if loaded_at else F.current_timestamp()
     return rows.select(
         F.col("record").alias("raw_record"),
         F.lit(run_id).alias("pipeline_run_id"),
-        F.regexp_extract(plain_uri(F.col("source_file")), f"(run_id={run_id}/.*)$", 1)
-        .alias("source_file"),
+        F.col("file_name").alias("source_file"),
         F.col("line_number").alias("source_row_number"),
         load_time.cast("timestamp_ntz").alias("loaded_at"),
     )

@@ -179,3 +179,35 @@ def test_blanks_are_taken_off_the_ends_without_a_pattern(spark):
     assert rows.filter(stripped(F.col("line")) != F.col("want")).isEmpty() and rows.count() == len(blanks) + 2
     plan = with_records(rows.select("line"))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace(line" not in plan and "RLIKE(_text" not in plan
+
+
+def test_paths_are_taken_apart_once_per_file(spark, tmp_path):
+    """Decoding a path for every line took longer than reading the line."""
+    from paylens.functions.identifiers import plain_uri
+    from paylens.sources.files import count_records
+
+    for name in ("a+b.json", "c d%41.json"):
+        (tmp_path / name).write_text('{"a": 1}\n\n{"a": 2}\n')
+    counts = count_records(spark, str(tmp_path), "*.json")
+    assert sorted((r["path"].rsplit("/", 1)[1], r["record_count"]) for r in counts.collect()) == [
+        ("a+b.json", 2), ("c d%41.json", 2)]
+    # The raw path is the key; what decodes it comes after the counts.
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace(" in plan and "replace(" not in re.search(r"Aggregate \[([^\]]*)\]", plan)[1]
+    rows = read_json_lines(spark, str(tmp_path), "*.json", lambda path: F.substring_index(plain_uri(path), "/", -1))
+    assert "substring_index" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["file_name"], r["line_number"]) for r in rows.collect()) == [
+        ("a+b.json", 1), ("a+b.json", 3), ("c d%41.json", 1), ("c d%41.json", 3)]
+
+
+def test_most_lines_are_searched_once(spark):
+    """Searching every line for braces and plus signs took a good part of each parse."""
+    cases = [
+        ('{"a": "x+y"}', None), ('{"a": +1}', NOT_JSON), ('{"a": 1e+5}', None), ('{"a": INF}', NOT_JSON),
+        ('{"a": "INF"}', None), ('{"a": -Infinity}', None), ("{}", None), ("{", NOT_JSON),
+        ('\u3000{"a": +1} ', NOT_JSON), ('{"a": "x"}\n', None), ('{"a": "x"}\n{"b": 1}', NOT_JSON),
+        (" {} ", None), ('{"a": "}"}', None), ("{" + " " * 200_000, NOT_JSON), ('{"a": "é\u2028"}', None)]
+    rows = with_records(spark.createDataFrame(cases, "line string, want string"))
+    assert [(r["line"][:30], r["problem"], r["record"] is None) for r in rows.collect()] == [
+        (line[:30], want, want is not None) for line, want in cases]
+    assert "RLIKE(line" in rows._jdf.queryExecution().optimizedPlan().toString()
