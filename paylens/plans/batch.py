@@ -21,7 +21,7 @@ from paylens.sinks.partitions import partition_run
 from paylens.sinks.promotion import load_run
 from paylens.sinks.publishing import publish_run
 from paylens.sinks.snapshots import create_snapshot, require_no_problems, snapshot_problems
-from paylens.workspace import Storage, scratch_scope
+from paylens.workspace import Storage, brief_shuffles, scratch_scope
 
 PIPELINE_NAME = "payment_risk_batch"
 
@@ -40,7 +40,7 @@ def validation_summary(spark: SparkSession, root: str, run_id: str) -> dict:
 
 
 def validate_and_store(spark: SparkSession, root: str, run_id: str,
-                       contracts: dict[str, Dataset] = DATASETS) -> None:
+                       contracts: dict[str, Dataset] = DATASETS, compressed: bool = False) -> None:
     """Validate a whole snapshot, store its outcome, fail when a dataset failed."""
     raw = f"{root}/raw/{run_id}"
     require_no_problems(snapshot_problems(spark, raw, run_id), "Snapshot check", root)
@@ -48,7 +48,7 @@ def validate_and_store(spark: SparkSession, root: str, run_id: str,
         Storage(spark).delete(f"{root}/{folder}/{run_id}")
     # The next stage regroups rows by month, so the files need no order.
     reports = write_outcomes(spark, validate_run(spark, run_id, raw, contracts=contracts),
-                             run_id, root, keep_order=False)
+                             run_id, root, keep_order=False, compressed=compressed)
     failed = [r["dataset"] for r in reports if r["batch_status"] == "FAILED"]
     if failed:
         raise RuntimeError(f"Contract validation failed: {', '.join(failed)}")
@@ -68,29 +68,31 @@ def run_batch(spark: SparkSession, root: str, run_id: str,
               execute_publish: bool = False, reload_raw: bool = False,
               execute_reload: bool = False, run_models: bool = False,
               as_of: str | None = None, contracts: dict[str, Dataset] = DATASETS,
-              published_at: str | None = None, resume: bool = False, done: tuple[str, ...] = ()) -> dict:
+              published_at: str | None = None, resume: bool = False, done: tuple[str, ...] = (),
+              compressed: bool = False) -> dict:
     """Snapshot (when ``lines`` are given), validate, partition, publish, load, model.
 
     A load without a publication in the same call reads what was published to
     ``published_at``.  ``resume`` keeps a journal and skips stages whose inputs and
     outputs it proves unchanged; ``done`` names the stages ("validate", "partition") that the
     caller itself has just finished for this root, which are skipped unproved.  The audit record is written whatever happens; a failing
-    stage is re-raised.  Stage, failure and inventory tables below the scratch
-    folder are gone afterwards.
+    stage is re-raised.  ``compressed`` keeps the record files of the snapshot, the outcomes
+    and the partitions as gzip.  Stage, failure and inventory tables below the scratch
+    folder are gone after their stage, shuffle files after their statement.
     """
     check_run_id(run_id)
     published = publish_to or published_at
     if reload_raw and not published:
         raise ValueError("A load needs publish_to, or published_at for an earlier publication.")
-    with scratch_scope(spark):
+    with scratch_scope(spark), brief_shuffles(spark):
         return _run_batch(spark, root, run_id, lines, publish_to, execute_publish, reload_raw,
-                          execute_reload, run_models, as_of, contracts, published, Journal(spark, root, run_id, resume), done)
+                          execute_reload, run_models, as_of, contracts, published, Journal(spark, root, run_id, resume), done, compressed)
 
 
 def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, DataFrame] | None,
                publish_to: str | None, execute_publish: bool, reload_raw: bool, execute_reload: bool,
                run_models: bool, as_of: str | None, contracts: dict[str, Dataset], published: str | None,
-               journal: Journal, done: tuple[str, ...]) -> dict:
+               journal: Journal, done: tuple[str, ...], compressed: bool) -> dict:
     started = time.perf_counter()
     warehouse, run_dir = f"{root}/warehouse", f"{root}/partitioned/{run_id}"
     record = {  # Fixed values: the names of the audit record's fields.
@@ -114,7 +116,8 @@ def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, Dat
                  "duration_seconds": None, "status": "RUNNING", "failure_reason": None}
         record["steps"].append(entry)
         try:
-            result = work()
+            with scratch_scope(spark):
+                result = work()
             digest, skipped = result if isinstance(result, tuple) else ("", False)
             entry["status"] = "SKIPPED" if skipped else "SUCCESS"
             return digest
@@ -145,13 +148,14 @@ def _run_batch(spark: SparkSession, root: str, run_id: str, lines: dict[str, Dat
         raw = f"{root}/raw/{run_id}"
         if lines is not None:
             # An existing snapshot is verified, never written again.
-            step("Write raw snapshot", lambda: create_snapshot(spark, f"{root}/raw", run_id, lines)[0])
+            step("Write raw snapshot", lambda: create_snapshot(
+                spark, f"{root}/raw", run_id, lines, compressed=compressed)[0])
         digest = step("Validate data contracts", lambda: at(
             "validate", digest_of(journal.folder_digest(raw), sorted(contracts.items())),
             [f"{root}/{f}/{run_id}" for f in ("validated", "validation_reports", "quarantine")],
-            lambda: validate_and_store(spark, root, run_id, contracts)))
+            lambda: validate_and_store(spark, root, run_id, contracts, compressed)))
         digest = step("Partition validated data", lambda: at("partition", digest, [run_dir], lambda: partition_run(
-            spark, run_id, f"{root}/validated/{run_id}", run_dir)))
+            spark, run_id, f"{root}/validated/{run_id}", run_dir, compressed)))
         if publish_to:
             # A publication compares what is there with the batch and copies only what it must.
             step("Publish partitioned files", lambda: publish_run(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paylens.contracts import DATASETS
 from paylens.functions.identifiers import check_run_id, utc_text
-from paylens.sources.files import describe_files
+from paylens.sources.files import describe_files, line_writer
 from paylens.workspace import Storage, small_rows, together
 
 MANIFEST = "raw_manifest.json"
@@ -124,11 +124,13 @@ def _require_same(spark: SparkSession, root: str, target: str, run_id: str, seed
 
 
 def create_snapshot(spark: SparkSession, root: str, run_id: str, lines: dict[str, DataFrame],
-                    seed: int | None = None, base_date: str | None = None) -> tuple[str, bool]:
+                    seed: int | None = None, base_date: str | None = None,
+                    compressed: bool = False) -> tuple[str, bool]:
     """Write ``line`` rows per dataset as one immutable run; (folder, already existed).
 
     Everything is written beside the target and appears with one rename.  An
-    existing snapshot is verified, never overwritten.
+    existing snapshot is verified, never overwritten.  Sizes and hashes in the manifest are
+    those of the stored files, also of ``compressed`` ones.
     """
     check_run_id(run_id)
     storage = Storage(spark)
@@ -139,7 +141,7 @@ def create_snapshot(spark: SparkSession, root: str, run_id: str, lines: dict[str
     draft = f"{root.rstrip('/')}/.{run_id}.{uuid.uuid4().hex}.tmp"
     storage.make_dirs(draft)
     together({
-        name: partial(rows.select("line").write.text, f"{draft}/{DATASETS[name].file_name}")
+        name: partial(line_writer(rows.select("line"), compressed).text, f"{draft}/{DATASETS[name].file_name}")
         for name, rows in lines.items()})
     files = describe_snapshot(spark, draft)
     files.write.json(f"{draft}/{FILE_TABLE}")

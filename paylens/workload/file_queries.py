@@ -32,7 +32,7 @@ from paylens.sinks.promotion import (
     guardrail_problems, load_facts, promote, read_raw, write_raw_version)
 from paylens.sinks.publishing import publish_run, run_folder
 from paylens.sinks.snapshots import create_snapshot, read_raw_manifest, snapshot_problems
-from paylens.sources.files import count_records
+from paylens.sources.files import JSON_FILES, count_records
 from paylens.sources.jsonl import read_json_lines
 from paylens.sources.landing import land_run, with_lineage_columns
 from paylens.streaming.ingest import Arrivals, ingest, latest_records, loaded_rows, quarantined, records
@@ -75,7 +75,7 @@ def taken_run(spark: SparkSession, sf_dir: str, run: str, upto: int) -> str:
         run_batch(spark, root, run, lines if upto == MODELLED or not reached else None,
                   publish_to=f"{root}/published" if upto >= PUBLISHED else None, execute_publish=True,
                   reload_raw=upto == MODELLED, execute_reload=True, run_models=upto == MODELLED,
-                  as_of=LOADED[run], contracts=CONTRACTS, done=("validate", "partition") if reached else ())
+                  as_of=LOADED[run], contracts=CONTRACTS, done=("validate", "partition") if reached else (), compressed=True)
         _RUNS[key] = root, upto
     return root
 
@@ -391,7 +391,7 @@ def partition_write(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     folder = f"{_partitioned(taken_run(spark, sf_dir, run, PARTITIONED), run)}/raw"
     parts = []
     for name, dataset in DATASETS.items():
-        text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(f"{folder}/{name}")
+        text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", JSON_FILES).text(f"{folder}/{name}")
         # The path is decoded once per file: a first count per file comes before the months.
         files = text.select(F.col("_metadata.file_path").alias("path"), F.get_json_object(
             "value", f"$.{dataset.primary_key}").alias("id")).groupBy("path").agg(
@@ -426,7 +426,8 @@ def _damaged_partitions(spark: SparkSession, sf_dir: str, run: str) -> str:
     if key in _DAMAGED and Storage(spark).exists(_DAMAGED[key]):
         return _DAMAGED[key]
     root, folder = taken_run(spark, sf_dir, run, PARTITIONED), scratch_dir(spark, "partitioned")
-    partition_run(spark, run, f"{root}/validated/{run}", folder)
+    with brief_shuffles(spark):
+        partition_run(spark, run, f"{root}/validated/{run}", folder, compressed=True)
     header, files = read_partition_manifest(spark, folder)
     counts = small_rows(spark, [(d["dataset"], d["records_partitioned"]) for d in header["datasets"]],
                         "dataset string, record_count bigint")
@@ -475,7 +476,7 @@ def run_publish(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     """A dry run, a publication and its repetition, with the published record count."""
     run_dir, target = _partitioned(taken_run(spark, sf_dir, run, PARTITIONED), run), scratch_dir(spark, "publish")
     states = [publish_run(spark, run_dir, target, run, execute=e) for e in (False, True, True)]
-    published = count_records(spark, run_folder(target, "raw", run), "part-*.json")
+    published = count_records(spark, run_folder(target, "raw", run), f"part-{JSON_FILES}")
     total = published.agg(F.sum("record_count").alias("records"))
     return total.select(F.explode(F.array(*[F.lit(s) for s in states])).alias("state"), "records")
 

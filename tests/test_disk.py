@@ -5,11 +5,19 @@ import json
 import pathlib
 import time
 
-from conftest import RUN_ID, customer
+import pytest
+from conftest import RUN_ID, as_lines, clean_run, customer
 
 from paylens.contracts import DATASETS
+from paylens.plans import batch
+from paylens.plans.batch import run_batch
 from paylens.plans.validation import validate_lines
+from paylens.sinks.materialise import read_mart
 from paylens.sinks.outcomes import write_outcome
+from paylens.sinks.partitions import partition_problems, publish_problems
+from paylens.sinks.snapshots import snapshot_problems
+from paylens.sources import files
+from paylens.sources.files import Inflater, RecordCounter
 from paylens.workspace import brief_shuffles, settle
 
 
@@ -58,3 +66,81 @@ def test_shuffle_files_go_with_their_statement(spark, tmp_path):
 def test_scratch_tables_are_zstd(spark):
     table = settle(spark.range(5), "zstd")
     assert table.inputFiles() and all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+
+
+def test_inflater_yields_the_text_in_bounded_pieces(monkeypatch):
+    monkeypatch.setattr(files, "CHUNK", 1000)
+    text = b"".join(b'{"n": %d}\n' % n for n in range(5000)) + b"\n \nlast"
+    for stored in (gzip.compress(text), gzip.compress(text[:70]) + gzip.compress(text[70:], 1), gzip.compress(b"")):
+        for step in (1, 7, 4096, len(stored)):
+            inflater, counter, pieces = Inflater(), RecordCounter(), []
+            for at in range(0, len(stored), step):
+                for piece in inflater.update(stored[at:at + step]):
+                    pieces.append(piece)
+                    counter.update(piece)
+            assert b"".join(pieces) == gzip.decompress(stored) and max(map(len, pieces)) <= 1000
+            assert counter.count == (5001 if len(stored) > 100 else 0)
+    damaged = bytearray(gzip.compress(text))
+    damaged[50:90] = b"x" * 40
+    inflater = Inflater()
+    assert len(b"".join(p for part in (damaged[:200], damaged[200:]) for p in inflater.update(bytes(part)))) < len(text)
+
+
+@pytest.fixture(scope="module")
+def compressed_run(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("compressed")
+    run_batch(spark, str(root), RUN_ID, as_lines(spark, clean_run()), publish_to=f"{root}/published",
+              execute_publish=True, reload_raw=True, execute_reload=True, run_models=True,
+              as_of="2026-05-01 00:00:00", compressed=True)
+    return root
+
+
+def test_compressed_run_holds_what_a_plain_one_holds(spark, compressed_run, tmp_path):
+    run_batch(spark, str(tmp_path), RUN_ID, as_lines(spark, clean_run()), publish_to=f"{tmp_path}/published",
+              execute_publish=True, reload_raw=True, execute_reload=True, run_models=True,
+              as_of="2026-05-01 00:00:00")
+    for folder in ("raw", "validated", "partitioned", "published"):
+        written = {root: sorted(line for p in records_of(root / folder) for line in (
+            gzip.decompress(p.read_bytes()) if p.suffix == ".gz" else p.read_bytes()).splitlines()
+            if "_manifest_files" not in p.parts and "_checksums" not in p.parts)
+            for root in (compressed_run, tmp_path)}
+        assert written[tmp_path] and written[compressed_run] == written[tmp_path], folder
+        assert all(p.suffix == ".gz" for p in records_of(compressed_run / folder)
+                   if not {"_manifest_files", "_checksums"} & {*p.parts}), folder
+    for mart in ("gold_fraud_summary_by_network", "gold_daily_dispute_kpis", "silver_dispute_outcomes"):
+        # Which file a record is in, and where, is Spark's choice.
+        rows = [sorted(str([r[c] for c in r.__fields__ if "source_" not in c]) for r in read_mart(
+            spark, f"{root}/warehouse", mart).collect()) for root in (compressed_run, tmp_path)]
+        assert rows[0] and rows[0] == rows[1], mart
+    tables = [p for p in (compressed_run / "warehouse").rglob("*.parquet") if not p.name.startswith(".")]
+    assert tables and all(p.name.endswith(".zstd.parquet") for p in tables)
+
+
+def test_damage_to_compressed_files_is_seen(spark, compressed_run):
+    raw, run_dir = compressed_run / "raw" / RUN_ID, compressed_run / "partitioned" / RUN_ID
+
+    def problems(frame):
+        return {r["problem"] for r in frame.collect()}
+
+    assert not problems(snapshot_problems(spark, str(raw), RUN_ID, counts=True))
+    assert not problems(partition_problems(spark, str(run_dir), RUN_ID))
+    assert not problems(publish_problems(spark, str(run_dir), RUN_ID))
+    part = next(p for p in records_of(raw / "customers.json") if p.stat().st_size > 30)
+    stored = part.read_bytes()
+    part.write_bytes(stored[:15] + bytes([stored[15] ^ 255]) + stored[16:])
+    assert problems(snapshot_problems(spark, str(raw), RUN_ID)) == {"content differs"}
+    part.write_bytes(stored)
+    data = next(p for p in (run_dir / "raw" / "customers").rglob("*.json.gz") if not p.name.startswith("."))
+    extra = data.parent / "extra.json.gz"
+    extra.write_bytes(gzip.compress(b"{}\n"))
+    assert problems(publish_problems(spark, str(run_dir), RUN_ID)) == {"file not listed"}
+    extra.unlink()
+
+
+def test_scratch_of_a_stage_is_gone_in_the_next(spark, tmp_path, monkeypatch):
+    scratch, seen = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "paylens", []
+    before, partition = {*scratch.iterdir()} if scratch.exists() else set(), batch.partition_run
+    monkeypatch.setattr(batch, "partition_run", lambda *a, **k: (
+        seen.append({*scratch.iterdir()} - before), partition(*a, **k))[1])
+    run_batch(spark, str(tmp_path), RUN_ID, as_lines(spark, clean_run()))
+    assert seen == [set()]
