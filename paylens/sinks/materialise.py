@@ -13,7 +13,7 @@ from paylens.plans.monitoring import pipeline_row_counts
 from paylens.plans.silver import dispute_outcomes, transactions_enriched
 from paylens.sinks.generations import Generation, commit, live_generation, reading
 from paylens.sinks.promotion import read_raw
-from paylens.workspace import Storage, together
+from paylens.workspace import TABLE_CODEC, Storage, together
 
 # Schema of each layer.
 LAYERS = {"bronze": "BRONZE", "silver": "SILVER", "gold": "MARTS", "monitoring": "MONITORING"}
@@ -22,7 +22,7 @@ LAYERS = {"bronze": "BRONZE", "silver": "SILVER", "gold": "MARTS", "monitoring":
 def store(df: DataFrame, folder: str, layer: str, name: str) -> DataFrame:
     """Write one model as ``<folder>/<layer schema>/<name>`` and read it back."""
     path = f"{folder}/{LAYERS[layer]}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=TABLE_CODEC)
     return df.sparkSession.read.parquet(path)
 
 

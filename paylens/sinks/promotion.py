@@ -15,7 +15,7 @@ from paylens.sinks.partitions import (
     expected_loads, partition_problems, read_partition_manifest)
 from paylens.sinks.snapshots import require_no_problems
 from paylens.sources.landing import RAW_SCHEMA, land_run, with_lineage_columns
-from paylens.workspace import Storage, together
+from paylens.workspace import TABLE_CODEC, Storage, together
 
 def load_facts(landed: dict[str, DataFrame], run_id: str) -> DataFrame:
     """Per dataset: rows, files, rows of another run, rows without file or row number."""
@@ -74,7 +74,7 @@ def write_raw_version(spark: SparkSession, warehouse: str, label: str,
                       landed: dict[str, DataFrame], version: str | None = None) -> str:
     """Stage the five tables as one new, not yet visible version; returns its name."""
     version = version or f"{label}-{uuid.uuid4().hex[:8]}"
-    together({n: partial(rows.write.parquet, f"{warehouse}/raw/versions/{version}/{n}")
+    together({n: partial(rows.write.parquet, f"{warehouse}/raw/versions/{version}/{n}", compression=TABLE_CODEC)
               for n, rows in landed.items()})
     return version
 
